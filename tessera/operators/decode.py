@@ -45,14 +45,21 @@ _HEADER_SCHEMA = T.StructType(_LAYOUT_SCHEMA.fields[:4])
 AUDIT_REASONS = ["no_id", "no_type", "no_payload", "no_layout", "bad_payload", "ok"]
 
 
+def _inline_table(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
+    """A constant table as a JVM-side inline relation (no Python RDD, no Python worker)."""
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])
+               for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def layout_table(spark: SparkSession, fields=None) -> DataFrame:
-    return spark.createDataFrame(list(fields or PAYLOAD_FIELDS), _LAYOUT_SCHEMA)
+    return _inline_table(spark, list(fields or PAYLOAD_FIELDS), _LAYOUT_SCHEMA)
 
 
 def layout_headers(spark: SparkSession, fields=None) -> DataFrame:
     """One row per decodable (technology, firmware, type) with its payload size."""
     heads = sorted({row[:4] for row in (fields or PAYLOAD_FIELDS)})
-    return spark.createDataFrame(heads, _HEADER_SCHEMA)
+    return _inline_table(spark, heads, _HEADER_SCHEMA)
 
 
 def _dispatch_condition(docs: DataFrame, layout: DataFrame) -> Column:

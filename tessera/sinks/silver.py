@@ -42,12 +42,16 @@ def write_silver_files(records: DataFrame, silver_root: str, partitions: int | N
     """
     spark = records.sparkSession
     target = f"{silver_root.rstrip('/')}/telemetry"
-    # An explicit count (sized by the deployment through shuffle partitions):
-    # AQE would coalesce small inputs into one task that then opens every file
-    # of every directory serially.
+    rows = silver_file_rows(records)
+    # An explicit count (sized by the deployment through shuffle partitions), so
+    # AQE does not coalesce small inputs into one task that opens every file of
+    # every directory serially; never more tasks than directories, so a small
+    # directory is not cut into several files.
+    dirs = rows.select(*SILVER_PARTITIONS).distinct().count()
     n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                           spark.sparkContext.defaultParallelism)
-    ordered = silver_file_rows(records).repartitionByRange(n, *SILVER_PARTITIONS, "timestamp", "name")
+    n = max(1, min(n, dirs))
+    ordered = rows.repartitionByRange(n, *SILVER_PARTITIONS, "timestamp", "name")
     (ordered.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*SILVER_PARTITIONS)
