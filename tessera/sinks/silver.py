@@ -52,10 +52,13 @@ def write_silver_files(records: DataFrame, silver_root: str, partitions: int | N
                           spark.sparkContext.defaultParallelism)
     n = max(1, min(n, dirs))
     ordered = rows.repartitionByRange(n, *SILVER_PARTITIONS, "timestamp", "name")
-    (ordered.write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*SILVER_PARTITIONS)
-     .parquet(target))
+    writer = ordered.write.partitionBy(*SILVER_PARTITIONS)
+    if has_partitions(spark, target, "technology"):
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(target)
+    else:
+        # Nothing to replace yet: skip the staging-and-rename commit of dynamic
+        # overwrite. A replay after a crash finds partitions and replaces them.
+        writer.mode("append").parquet(target)
     return target
 
 
@@ -72,18 +75,18 @@ def ensure_schemas(spark: SparkSession, root: str, names=("bronze", "silver", "g
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name} LOCATION '{root.rstrip('/')}/{name}.db'")
 
 
-def _has_table_data(spark: SparkSession, path: str) -> bool:
-    """True when the table folder holds at least one bucket directory.
+def has_partitions(spark: SparkSession, path: str, first_level: str) -> bool:
+    """True when ``path`` holds at least one ``<first_level>=`` partition directory.
 
-    (Dynamic partition overwrite writes no ``_SUCCESS`` marker, so the bucket
-    directories themselves are the evidence.)
+    (Dynamic partition overwrite writes no ``_SUCCESS`` marker, so the partition
+    directories themselves are the evidence.) One metadata call on the driver.
     """
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(jpath):
         return False
-    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(path + "/bucket=*"))
+    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/{first_level}=*"))
     return found is not None and len(found) > 0
 
 
@@ -129,7 +132,7 @@ def upsert_telemetry(records: DataFrame, table_path: str, work_root: str | None
         # Nothing decoded: nothing is written and nothing is replaced.
         return table_path
 
-    if not _has_table_data(spark, table_path):
+    if not has_partitions(spark, table_path, "bucket"):
         new.write.mode("overwrite").partitionBy("bucket").parquet(table_path)
     else:
         # At most ``buckets`` small integers reach the driver.
