@@ -69,26 +69,34 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, keys: list[str] | No
                      target: SilverTarget, fields=None) -> DataFrame:
     """Read the named objects (or every object below ``bronze_root``), refine, write.
 
-    Missing keys do not fail the batch: they are reported with status
-    ``missing`` and can be re-run with ``reprocess``.
+    A bad object never fails its neighbours. With explicit keys every requested
+    key gets an outcome: ``processed``, ``empty`` (read, nothing decoded),
+    ``unreadable`` (exists but gave no chunk rows: corrupt or empty file) or
+    ``missing``; the last two can be re-run with ``reprocess``.
     """
-    missing: list[str] = []
-    if keys is not None:
-        keys, missing = existing_keys(spark, bronze_root, sorted(set(keys)))
-    if keys is None or keys:
-        outcomes = process_chunks(read_bronze(spark, bronze_root, keys), target, fields)
-    else:
-        outcomes = None
-    if missing:
-        lost = spark.createDataFrame([(k,) for k in missing], "object_key string").select(
-            "object_key", F.lit(0).cast("long").alias("n_documents"), F.lit(0).cast("long").alias("n_records"),
-            F.lit("missing").alias("status"), F.lit(None).cast("string").alias("silver_prefix"),
-            F.lit(True).alias("single_device"))
-        outcomes = lost if outcomes is None else outcomes.unionByName(lost)
-    if outcomes is None:
-        return spark.createDataFrame([], "object_key string, n_documents long, n_records long, "
-                                         "status string, silver_prefix string, single_device boolean")
-    return outcomes
+    if keys is None:
+        return process_chunks(read_bronze(spark, bronze_root), target, fields)
+    requested = sorted(set(keys))
+    present, missing = existing_keys(spark, bronze_root, requested)
+    schema = "object_key string, n_documents long, n_records long, status string, silver_prefix string, " \
+             "single_device boolean"
+    outcomes = (process_chunks(read_bronze(spark, bronze_root, present), target, fields)
+                if present else spark.createDataFrame([], schema))
+    # The requested keys are control-plane data (one row per object of the batch).
+    found = set(present)
+    asked = spark.createDataFrame([(k, k in found) for k in requested], "object_key string, present boolean")
+    joined = asked.join(outcomes, "object_key", "left")
+    status = (F.when(~F.col("present"), "missing")
+              .when(F.col("status").isNull(), "unreadable")
+              .otherwise(F.col("status")))
+    return joined.select(
+        "object_key",
+        F.coalesce("n_documents", F.lit(0).cast("long")).alias("n_documents"),
+        F.coalesce("n_records", F.lit(0).cast("long")).alias("n_records"),
+        status.alias("status"),
+        "silver_prefix",
+        F.coalesce("single_device", F.lit(True)).alias("single_device"),
+    )
 
 
 def reprocess(spark: SparkSession, bronze_root: str, keys: list[str], target: SilverTarget,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,9 +44,12 @@ def read_bronze(spark: SparkSession, root: str, keys: Iterable[str] | None = Non
         return spark.createDataFrame([], BRONZE_CHUNKS).select(
             "*", F.lit(None).cast("string").alias("object_key"),
             F.lit(None).cast("timestamp").alias("delivery_time"))
+    # A corrupt object is skipped instead of failing every other object of the
+    # batch; it then has no rows and is reported as unreadable.
     df = (spark.read.schema(BRONZE_CHUNKS)
           .option("recursiveFileLookup", "true")
           .option("pathGlobFilter", "*.parquet")
+          .option("ignoreCorruptFiles", "true")
           .parquet(*paths))
     return df.select(
         *BRONZE_CHUNKS.fieldNames(),
@@ -64,8 +68,18 @@ def existing_keys(spark: SparkSession, root: str, keys: list[str]) -> tuple[list
     """
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    present, missing = [], []
-    for key, path in zip(keys, object_paths(root, keys)):
+
+    def exists(path: str) -> bool:
         jpath = jvm.org.apache.hadoop.fs.Path(path)
-        (present if jpath.getFileSystem(conf).exists(jpath) else missing).append(key)
+        return bool(jpath.getFileSystem(conf).exists(jpath))
+
+    paths = object_paths(root, keys)
+    if len(paths) > 16:
+        # Object-store metadata calls are latency bound: overlap them.
+        with ThreadPoolExecutor(max_workers=16) as pool:
+            found = list(pool.map(exists, paths))
+    else:
+        found = [exists(p) for p in paths]
+    present = [k for k, ok in zip(keys, found) if ok]
+    missing = [k for k, ok in zip(keys, found) if not ok]
     return present, missing

@@ -66,7 +66,6 @@ def test_rerun_is_idempotent(spark, workdir):
 
 
 def _deliveries(spark, bronze):
-    d1_rows = ONE_OBJECT + [("ext-2", "3CA551000001", "Softel", None, "126", 1, "EVENTS", 0, "6a18a5000000")]
     # ext-1: a smaller second delivery replaces the first one.
     k1 = put_object(spark, bronze, "telemetry/extraction_id=ext-1/d1", ONE_OBJECT, mtime=1_000)
     k2 = put_object(spark, bronze, "telemetry/extraction_id=ext-1/d2", ONE_OBJECT[:1], mtime=2_000)
@@ -75,7 +74,6 @@ def _deliveries(spark, bronze):
                     [("ext-3", "001BC5000003", None, None, "126", 7, "EVENTS", 0, "6a18a5000080")], mtime=1_000)
     k4 = put_object(spark, bronze, "telemetry/extraction_id=ext-3/d2",
                     [("ext-3", "001BC5000003", None, None, "126", 0, None, None, None)], mtime=2_000)
-    assert d1_rows
     return [k1, k2, k3, k4]
 
 
@@ -111,3 +109,15 @@ def test_object_mixing_devices_is_flagged(spark, workdir):
     # Each record still carries its own document's envelope.
     rows = read_table_rows(spark, f"{workdir}/t-table").select("device_id", "extraction_id").distinct()
     assert rows.where(F.col("extraction_id") == "ext-9").first()["device_id"] == "001BC5000009"
+
+
+def test_corrupt_and_empty_objects_are_reported_not_fatal(spark, workdir):
+    bronze = f"{workdir}/bronze"
+    good = put_object(spark, bronze, "telemetry/extraction_id=ext-1", ONE_OBJECT)
+    os.makedirs(f"{bronze}/telemetry/bad", exist_ok=True)
+    with open(f"{bronze}/telemetry/bad/x.parquet", "wb") as fh:
+        fh.write(b"this is not parquet")
+    empty = put_object(spark, bronze, "telemetry/empty", [])
+    out = {o["object_key"]: o["status"] for o in
+           bronze_to_silver(spark, bronze, [good, "telemetry/bad/x.parquet", empty], target_in(workdir)).collect()}
+    assert out == {good: "processed", "telemetry/bad/x.parquet": "unreadable", empty: "unreadable"}
