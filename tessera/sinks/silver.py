@@ -11,7 +11,15 @@ from tessera.schemas import SILVER_FILE, SILVER_PARTITIONS, TELEMETRY, TELEMETRY
 from tessera.session import fresh_dir
 
 TABLE_KEY = ["technology", "device_id", "extraction_id"]
-DEFAULT_BUCKETS = 16
+# A replace rewrites every bucket it touches, so a bucket should stay small
+# (a few hundred MB): size the count as table bytes / ~256 MB (``buckets_for``).
+DEFAULT_BUCKETS = 256
+
+
+def buckets_for(table_bytes: int, bucket_bytes: int = 256 << 20) -> int:
+    """Bucket count that keeps one bucket near ``bucket_bytes`` (a power of two)."""
+    want = max(1, -(-table_bytes // bucket_bytes))
+    return 1 << (want - 1).bit_length()
 
 
 # ---------------------------------------------------------------- B14: files
