@@ -20,8 +20,11 @@ def epoch_millis_to_ntz(millis: Column) -> Column:
 
 
 def epoch_seconds_of(ts: Column) -> Column:
-    """Whole epoch seconds of a zone-less timestamp (floor for times after 1970)."""
-    return F.timestamp_diff("SECOND", _epoch_ntz(), ts.cast("timestamp_ntz"))
+    """Whole epoch seconds of a zone-less timestamp, from its fields (days since
+    1970 and time of day), so no session time zone takes part."""
+    ntz = ts.cast("timestamp_ntz")
+    return (F.unix_date(ntz.cast("date")).cast("long") * 86400
+            + F.hour(ntz) * 3600 + F.minute(ntz) * 60 + F.second(ntz))
 
 
 def date_parts(ts: Column) -> list[Column]:

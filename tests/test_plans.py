@@ -36,3 +36,16 @@ def test_replacement_uses_aggregate_not_window(spark):
     plan = executed_plan(QUERIES["last_delivery_wins"](spark, SF))
     assert "Window" not in plan
     assert "LeftSemi" in plan
+
+
+def test_results_do_not_depend_on_the_session_time_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        # UTC offset differs between 1970 and 2024 here, so a zone-dependent epoch would show.
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Singapore")
+        shifted = sorted(tuple(r) for r in QUERIES["telemetry_decoded"](spark, SF).collect())
+        days = sorted(tuple(r) for r in QUERIES["silver_day_counts"](spark, SF).collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert shifted == sorted(tuple(r) for r in QUERIES["telemetry_decoded"](spark, SF).collect())
+    assert days == sorted(tuple(r) for r in QUERIES["silver_day_counts"](spark, SF).collect())
