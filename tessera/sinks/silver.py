@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,34 +42,77 @@ def silver_file_rows(records: DataFrame) -> DataFrame:
     )
 
 
+# Above this many output directories in one write, existence is not probed per
+# directory (the probe list would be large); dynamic overwrite handles it.
+MAX_PROBED_DIRS = 50_000
+
+
+_PLAIN_VALUE = re.compile(r"^[A-Za-z0-9_.\-]+$")
+
+
+def _dir_paths(target: str, dirs) -> list[str] | None:
+    """Paths of the output directories, or None when a value would be escaped or
+    defaulted by the writer (then the probe could miss a directory)."""
+    values = [[str(row[c]) if row[c] is not None else "" for c in SILVER_PARTITIONS] for row in dirs]
+    if any(not _PLAIN_VALUE.match(v) for vals in values for v in vals):
+        return None
+    return [target + "/" + "/".join(f"{c}={v}" for c, v in zip(SILVER_PARTITIONS, vals)) for vals in values]
+
+
+def any_path_exists(spark: SparkSession, paths: list[str]) -> bool:
+    """Metadata probe of many paths, overlapped (object-store calls are latency bound)."""
+    if not paths:
+        return False
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    fs = jvm.org.apache.hadoop.fs.Path(paths[0]).getFileSystem(conf)
+
+    def exists(path: str) -> bool:
+        return bool(fs.exists(jvm.org.apache.hadoop.fs.Path(path)))
+
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        return any(pool.map(exists, paths))
+
+
 def write_silver_files(records: DataFrame, silver_root: str, partitions: int | None = None) -> str:
     """Write ``<root>/telemetry/technology=/device_id=/year=/month=/day=/extraction_id=``.
 
-    Dynamic partition overwrite: a re-delivered extraction replaces its own
-    directories and leaves every other extraction (also of the same day) alone.
-    Rows are range-partitioned on the partition columns plus time, so small
-    extractions share a task (few files) while a hot extraction is split over
-    several tasks instead of landing in one.
+    A re-delivered extraction replaces its own directories and leaves every other
+    extraction (also of the same day) alone: dynamic partition overwrite. When
+    none of the directories of this write exist yet (new extractions, the usual
+    case) there is nothing to replace and the rows are appended, which skips the
+    staging-and-rename commit. Rows are range-partitioned on the partition
+    columns plus time, so small extractions share a task (few files) while a hot
+    extraction is split over several tasks instead of landing in one.
+
+    The input is read several times (directory list, range sample, write): pass
+    materialized rows (staged files or a checkpoint), as the pipeline does.
     """
     spark = records.sparkSession
     target = f"{silver_root.rstrip('/')}/telemetry"
     rows = silver_file_rows(records)
-    # An explicit count (sized by the deployment through shuffle partitions), so
-    # AQE does not coalesce small inputs into one task that opens every file of
-    # every directory serially; never more tasks than directories, so a small
+    # Directory list of this write: one row per output file, control-plane sized
+    # up to MAX_PROBED_DIRS.
+    dirs = rows.select(*SILVER_PARTITIONS).distinct().limit(MAX_PROBED_DIRS + 1).collect()
+    n_dirs = len(dirs) if len(dirs) <= MAX_PROBED_DIRS else rows.select(*SILVER_PARTITIONS).distinct().count()
+    # An explicit task count (sized by the deployment through shuffle partitions),
+    # so AQE does not coalesce small inputs into one task that opens every file
+    # of every directory serially; never more tasks than directories, so a small
     # directory is not cut into several files.
-    dirs = rows.select(*SILVER_PARTITIONS).distinct().count()
     n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                           spark.sparkContext.defaultParallelism)
-    n = max(1, min(n, dirs))
+    n = max(1, min(n, n_dirs))
     ordered = rows.repartitionByRange(n, *SILVER_PARTITIONS, "timestamp", "name")
     writer = ordered.write.partitionBy(*SILVER_PARTITIONS)
-    if has_partitions(spark, target, "technology"):
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(target)
-    else:
-        # Nothing to replace yet: skip the staging-and-rename commit of dynamic
-        # overwrite. A replay after a crash finds partitions and replaces them.
+    probe = _dir_paths(target, dirs) if n_dirs <= MAX_PROBED_DIRS else None
+    fresh = (not has_partitions(spark, target, "technology")
+             or (probe is not None and not any_path_exists(spark, probe)))
+    if fresh:
+        # Nothing to replace. A replay after a crash finds the directories and
+        # takes the overwrite path, so it converges to the same files.
         writer.mode("append").parquet(target)
+    else:
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(target)
     return target
 
 
@@ -99,8 +145,11 @@ def has_partitions(spark: SparkSession, path: str, first_level: str) -> bool:
 
 
 def register_table(spark: SparkSession, table: str, path: str) -> None:
+    """Expose the table path in the catalog; bucket directories are recovered as
+    catalog partitions (one listing of at most ``buckets`` directories)."""
     if not spark.catalog.tableExists(table):
         spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING parquet LOCATION '{path}'")
+    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     spark.sql(f"REFRESH TABLE {table}")
 
 

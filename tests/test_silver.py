@@ -106,3 +106,34 @@ def test_ensure_schemas(spark, workdir):
     ensure_schemas(spark, workdir)  # idempotent
     names = {d.name for d in spark.catalog.listDatabases()}
     assert {"bronze", "silver", "gold"} <= names
+
+
+def test_new_extraction_next_to_existing_ones_keeps_them(spark, records, workdir):
+    root = f"{workdir}/silver"
+    write_silver_files(records("ext-a", [("compressor_state", 1.0)]), root)
+    write_silver_files(records("ext-b", [("door_state", 0.0)]), root)          # append path
+    write_silver_files(records("ext-a", [("fan_state", 1.0), ("door_state", 1.0)]), root)  # replace path
+    back = sorted((r["source_extraction_id"], r["name"]) for r in read_silver_files(spark, root).collect())
+    assert back == [("ext-a", "door_state"), ("ext-a", "fan_state"), ("ext-b", "door_state")]
+
+
+def test_escaped_partition_values_take_the_replace_path(spark, workdir):
+    root = f"{workdir}/silver"
+    rows = [("s", 1.0, TS, "ImberaLink", "dev#1", "ext=1")]
+    schema = ("name string, value double, timestamp timestamp_ntz, technology string, device_id string, "
+              "extraction_id string")
+    write_silver_files(spark.createDataFrame(rows, schema), root)
+    write_silver_files(spark.createDataFrame([("t", 2.0) + rows[0][2:]], schema), root)
+    assert [r["name"] for r in read_silver_files(spark, root).collect()] == ["t"]
+
+
+def test_upsert_registers_the_catalog_table(spark, records, workdir):
+    ensure_schemas(spark, workdir)
+    name = f"silver.telemetry_decoded_{os.urandom(3).hex()}"
+    table = f"{workdir}/table"
+    upsert_telemetry(records("ext-1", [("compressor_state", 1.0), ("door_state", 0.0)]), table,
+                     work_root=f"{workdir}/s1", buckets=4, table=name)
+    upsert_telemetry(records("ext-1", [("compressor_state", 0.0)]), table,
+                     work_root=f"{workdir}/s2", buckets=4, table=name)
+    assert spark.catalog.tableExists(name)
+    assert [(r["name"], r["value"]) for r in spark.table(name).collect()] == [("compressor_state", 0.0)]
