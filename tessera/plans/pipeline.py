@@ -13,8 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import (decode_records, last_delivery_wins, object_outcomes, reassemble,
-                               resolve_technology)
+from tessera.operators import (audit_reason, decode_records, last_delivery_wins, object_outcomes,
+                               reassemble, resolve_technology)
 from tessera.sinks.silver import DEFAULT_BUCKETS, upsert_telemetry, write_silver_files
 from tessera.sources import existing_keys, read_bronze
 from tessera.session import fresh_dir
@@ -32,6 +32,21 @@ def records_of(chunks: DataFrame, fields=None) -> DataFrame:
     return decode_records(documents_of(chunks), fields)
 
 
+def write_rejects(docs: DataFrame, path: str, fields=None) -> None:
+    """B10 side table: every document that yields no records, with the reason and
+    the ids needed to find it again (extraction, device, sequence, object)."""
+    carried = [c for c in ("object_key",) if c in docs.columns]
+    (audit_reason(docs, fields).where(F.col("decode_reason") != "ok")
+     .select("extraction_id", "id_controller", "document_sequence", "technology", "ble_version", "type",
+             *carried, "decode_reason")
+     .write.mode("append").partitionBy("decode_reason").parquet(path))
+
+
+def _stage(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 @dataclass
 class SilverTarget:
     """Where a batch goes: Silver file root, table path (and optional catalog name)."""
@@ -40,6 +55,7 @@ class SilverTarget:
     table: str | None = None
     buckets: int = DEFAULT_BUCKETS
     file_partitions: int | None = None
+    rejects_path: str | None = None
 
 
 def process_chunks(chunks: DataFrame, target: SilverTarget, fields=None,
@@ -53,11 +69,11 @@ def process_chunks(chunks: DataFrame, target: SilverTarget, fields=None,
     """
     spark = chunks.sparkSession
     work = work_dir or fresh_dir(spark, "batch")
-    documents_of(chunks).write.mode("overwrite").parquet(f"{work}/documents")
-    docs = spark.read.parquet(f"{work}/documents")
+    docs = _stage(documents_of(chunks), f"{work}/documents")
+    if target.rejects_path:
+        write_rejects(docs, target.rejects_path, fields)
     decoded = decode_records(docs, fields)
-    last_delivery_wins(decoded).write.mode("overwrite").parquet(f"{work}/records")
-    winners = spark.read.parquet(f"{work}/records")
+    winners = _stage(last_delivery_wins(decoded), f"{work}/records")
     if not winners.isEmpty():
         write_silver_files(winners, target.silver_root, target.file_partitions)
         upsert_telemetry(winners, target.table_path, work_root=f"{work}/upsert",

@@ -18,7 +18,7 @@ from tessera.operators import (decode_audit, decode_records, last_delivery_wins,
                                qualifying_objects, reassemble, resolve_technology, telemetry)
 from tessera.plans.pipeline import SilverTarget, documents_of, records_of
 from tessera.schemas import DOCUMENT_KEYS
-from tessera.session import fresh_dir, shared_root
+from tessera.session import fresh_dir, materialize
 from tessera.sinks.silver import (read_silver_files, read_table_rows, silver_file_rows,
                                   upsert_telemetry, write_silver_files)
 from tessera.sources import (bronze_chunks, bronze_deliveries, notification_payloads,
@@ -82,10 +82,9 @@ def q_last_delivery_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_telemetry_upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two deliveries upserted one after the other into a fresh bucketed table."""
-    # Both upserts read the decoded deliveries: checkpoint once (shared checkpoint
-    # dir) instead of recomputing the scan and the reassembly shuffle per upsert.
-    shared_root(spark)
-    records = records_of(_deliveries(spark, sf_dir)).checkpoint()
+    # Both upserts read the decoded deliveries: materialize once in the shared
+    # folder instead of recomputing the scan and the reassembly shuffle per upsert.
+    records = materialize(records_of(_deliveries(spark, sf_dir)), "q-upserted-records")
     work = fresh_dir(spark, "q-upserted")
     table_path = f"{work}/table"
     for seq in (1, 2):
@@ -102,7 +101,7 @@ def q_object_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_silver_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write Silver files, read them back: raw envelope values and the date levels."""
     root = fresh_dir(spark, "q-silver")
-    write_silver_files(records_of(_chunks(spark, sf_dir)).checkpoint(), root)
+    write_silver_files(materialize(records_of(_chunks(spark, sf_dir)), "q-silver-records"), root)
     back = read_silver_files(spark, root)
     return back.select("name", "value", "timestamp",
                        F.col("source_technology").alias("technology"),

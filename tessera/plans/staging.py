@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.schemas import BRONZE_CHUNKS
 from tessera.sources.bronze import object_key_of
 
 
@@ -25,12 +26,13 @@ def stage_bronze_objects(chunks: DataFrame, bronze_root: str) -> str:
 def stage_notifications(spark: SparkSession, bronze_root: str, feed_dir: str, files: int = 20) -> str:
     """Write created-object notifications for every object below ``bronze_root``.
 
-    Keys come from the objects' file metadata (distributed), not from a driver
-    listing; the feed is spread over ``files`` JSON-lines files.
+    The object list comes from the file listing (metadata only, no file is
+    opened); the feed is spread over ``files`` JSON-lines files.
     """
-    objects = (spark.read.option("recursiveFileLookup", "true").parquet(bronze_root)
-               .select(object_key_of(F.col("_metadata.file_path"), bronze_root).alias("key"))
-               .distinct())
+    listed = (spark.read.schema(BRONZE_CHUNKS).option("recursiveFileLookup", "true")
+              .option("pathGlobFilter", "*.parquet").parquet(bronze_root).inputFiles())
+    objects = spark.createDataFrame([(p,) for p in sorted(listed)], "path string").select(
+        object_key_of(F.col("path"), bronze_root).alias("key"))
     record = F.struct(
         F.lit("s3:ObjectCreated:Put").alias("eventName"),
         F.struct(F.struct(F.lit("bronze").alias("name")).alias("bucket"),

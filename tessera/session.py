@@ -10,7 +10,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the results depend on (time zone, dynamic partition overwrite) and the
 # ones that keep the plans healthy at scale (AQE re-planning, skew splitting).
@@ -67,3 +67,17 @@ def shared_root(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, purpose: str) -> str:
     """A new, unique folder below the shared root (never reused, never cleared)."""
     return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` once as Parquet in a fresh folder below the shared root and
+    return the re-read table.
+
+    Cuts the lineage (a lost executor re-reads files instead of recomputing the
+    plan) in a single pass; ``DataFrame.checkpoint()`` would compute an
+    uncached plan twice.
+    """
+    spark = df.sparkSession
+    path = fresh_dir(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -121,3 +121,18 @@ def test_corrupt_and_empty_objects_are_reported_not_fatal(spark, workdir):
     out = {o["object_key"]: o["status"] for o in
            bronze_to_silver(spark, bronze, [good, "telemetry/bad/x.parquet", empty], target_in(workdir)).collect()}
     assert out == {good: "processed", "telemetry/bad/x.parquet": "unreadable", empty: "unreadable"}
+
+
+def test_rejected_documents_go_to_the_side_table(spark, workdir):
+    bronze = f"{workdir}/bronze"
+    rows = ONE_OBJECT[:1] + [
+        ("ext-1", "B4A2EB428B04", "ImberaLink", None, "136", 4, "EVENTS", 0, "6a18a5000000"),
+        ("ext-1", "B4A2EB428B04", "ImberaLink", None, "126", 5, None, None, None),
+        ("ext-1", "B4A2EB428B04", "ImberaLink", None, "126", 6, "EVENTS", 0, "6a18a50000"),
+    ]
+    key = put_object(spark, bronze, "telemetry/extraction_id=ext-1", rows)
+    target = target_in(workdir)
+    target.rejects_path = f"{workdir}/rejects"
+    bronze_to_silver(spark, bronze, [key], target).collect()
+    rejects = {(r["document_sequence"], r["decode_reason"]) for r in spark.read.parquet(target.rejects_path).collect()}
+    assert rejects == {(4, "no_layout"), (5, "no_type"), (6, "bad_payload")}
