@@ -67,3 +67,21 @@ def test_technology_is_resolved_before_dispatch(documents_df):
     records = decode_records(resolve_technology(docs)).collect()
     assert {r["device_id"] for r in records} == {"B4A2EB428B04"}
     assert {r["technology"] for r in records} == {"ImberaLink"}
+
+
+def test_layout_rows_decode_any_bit_slice(documents_df):
+    # A made-up layout for another technology: 12-bit field at bit 4, 3-bit field at bit 45,
+    # byte-spanning 10-bit field at bit 36 (payload 0x0ABC_0000_5A7D).
+    fields = [("ELTEC", "9", "EVENTS", 6, "twelve", 4, 12),
+              ("ELTEC", "9", "EVENTS", 6, "three", 45, 3),
+              ("ELTEC", "9", "EVENTS", 6, "ten", 36, 10)]
+    payload = "0abc00005a7d"
+    docs = documents_df([("e", "3CA551000001", "ELTEC", None, "9", 1, "EVENTS", payload)])
+    got = {r["name"]: r["value"] for r in decode_records(docs, fields).collect()}
+    value = int(payload, 16)
+
+    def bits(offset, width):
+        return (value >> (48 - offset - width)) & ((1 << width) - 1)
+
+    assert got == {"twelve": float(bits(4, 12)), "three": float(bits(45, 3)), "ten": float(bits(36, 10))}
+    assert got["twelve"] == float(0xABC)
