@@ -15,10 +15,15 @@ from tessera.sources.bronze import object_key_of
 
 
 def stage_bronze_objects(chunks: DataFrame, bronze_root: str) -> str:
-    """Write one Parquet object per extraction (the upstream invariant)."""
+    """Write one Parquet object per extraction (the upstream invariant: an object
+    is one delivery of one extraction, so an extraction is never split).
+
+    Range partitioning on the extraction packs small extractions into shared
+    tasks by row count instead of hashing them unevenly.
+    """
     target = f"{bronze_root.rstrip('/')}/telemetry"
     (chunks.withColumn("extraction", F.col("extraction_id"))
-     .repartition("extraction")
+     .repartitionByRange("extraction")
      .write.mode("overwrite").partitionBy("extraction").parquet(target))
     return target
 
@@ -26,13 +31,13 @@ def stage_bronze_objects(chunks: DataFrame, bronze_root: str) -> str:
 def stage_notifications(spark: SparkSession, bronze_root: str, feed_dir: str, files: int = 20) -> str:
     """Write created-object notifications for every object below ``bronze_root``.
 
-    The object list comes from the file listing (metadata only, no file is
-    opened); the feed is spread over ``files`` JSON-lines files.
+    Keys come from the objects' file metadata in a distributed scan (no path
+    list on the driver); the feed is spread over ``files`` JSON-lines files.
     """
-    listed = (spark.read.schema(BRONZE_CHUNKS).option("recursiveFileLookup", "true")
-              .option("pathGlobFilter", "*.parquet").parquet(bronze_root).inputFiles())
-    objects = spark.createDataFrame([(p,) for p in sorted(listed)], "path string").select(
-        object_key_of(F.col("path"), bronze_root).alias("key"))
+    objects = (spark.read.schema(BRONZE_CHUNKS).option("recursiveFileLookup", "true")
+               .option("pathGlobFilter", "*.parquet").parquet(bronze_root)
+               .select(object_key_of(F.col("_metadata.file_path"), bronze_root).alias("key"))
+               .distinct())
     record = F.struct(
         F.lit("s3:ObjectCreated:Put").alias("eventName"),
         F.struct(F.struct(F.lit("bronze").alias("name")).alias("bucket"),
