@@ -136,3 +136,14 @@ def test_rejected_documents_go_to_the_side_table(spark, workdir):
     bronze_to_silver(spark, bronze, [key], target).collect()
     rejects = {(r["document_sequence"], r["decode_reason"]) for r in spark.read.parquet(target.rejects_path).collect()}
     assert rejects == {(4, "no_layout"), (5, "no_type"), (6, "bad_payload")}
+
+
+def test_command_line_reprocess(spark, workdir, capsys):
+    from tessera.__main__ import main
+
+    bronze = f"{workdir}/bronze"
+    key = put_object(spark, bronze, "telemetry/extraction_id=ext-1", ONE_OBJECT)
+    main(["reprocess", "--bronze-root", bronze, "--silver-root", f"{workdir}/silver",
+          "--table-path", f"{workdir}/table", "--buckets", "4", key])
+    assert "processed" in capsys.readouterr().out
+    assert read_table_rows(spark, f"{workdir}/table").count() == 12
