@@ -51,3 +51,39 @@ def test_restart_from_checkpoint_processes_nothing_twice(spark, workdir):
         q.awaitTermination()
         assert q.exception() is None
     assert read_table_rows(spark, target.table_path).count() == 4
+
+
+def test_failed_batch_is_replayed_to_the_same_result(spark, workdir, monkeypatch):
+    import tessera.plans.pipeline as pipeline
+
+    chunks = spark.createDataFrame(ROWS, BRONZE_CHUNKS)
+    bronze, feed = f"{workdir}/bronze", f"{workdir}/feed"
+    stage_bronze_objects(chunks, bronze)
+    stage_notifications(spark, bronze, feed, files=1)
+    target = SilverTarget(silver_root=f"{workdir}/silver", table_path=f"{workdir}/table", buckets=4)
+
+    real_upsert = pipeline.upsert_telemetry
+
+    def crash_after_files(*args, **kwargs):
+        raise RuntimeError("lost the batch after the Silver files were written")
+
+    monkeypatch.setattr(pipeline, "upsert_telemetry", crash_after_files)
+    q = stream_silver(spark, feed, bronze, target, checkpoint=f"{workdir}/ckpt", available_now=True)
+    try:
+        q.awaitTermination()
+    except Exception:
+        pass
+    assert q.exception() is not None
+    files_before = sorted(glob.glob(f"{target.silver_root}/**/*.parquet", recursive=True))
+    assert files_before
+
+    monkeypatch.setattr(pipeline, "upsert_telemetry", real_upsert)
+    q = stream_silver(spark, feed, bronze, target, checkpoint=f"{workdir}/ckpt", available_now=True)
+    q.awaitTermination()
+    assert q.exception() is None
+    got = sorted(tuple(r) for r in telemetry(read_table_rows(spark, target.table_path)).collect())
+    want = sorted(tuple(r) for r in telemetry(records_of(chunks)).collect())
+    assert got == want
+    # The replay replaced the directories instead of adding a second file to each.
+    files_after = glob.glob(f"{target.silver_root}/**/*.parquet", recursive=True)
+    assert len(files_after) == len(files_before)
