@@ -88,10 +88,12 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, keys: list[str] | No
     A bad object never fails its neighbours. With explicit keys every requested
     key gets an outcome: ``processed``, ``empty`` (read, nothing decoded),
     ``unreadable`` (exists but gave no chunk rows: corrupt or empty file) or
-    ``missing``; the last two can be re-run with ``reprocess``.
+    ``missing``; the last two carry an ``error`` text and can be re-run with
+    ``reprocess``.
     """
     if keys is None:
-        return process_chunks(read_bronze(spark, bronze_root), target, fields)
+        return (process_chunks(read_bronze(spark, bronze_root), target, fields)
+                .withColumn("error", F.lit(None).cast("string")))
     requested = sorted(set(keys))
     present, missing = existing_keys(spark, bronze_root, requested)
     schema = "object_key string, n_documents long, n_records long, status string, silver_prefix string, " \
@@ -105,6 +107,8 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, keys: list[str] | No
     status = (F.when(~F.col("present"), "missing")
               .when(F.col("status").isNull(), "unreadable")
               .otherwise(F.col("status")))
+    error = (F.when(~F.col("present"), F.lit("object not found"))
+             .when(F.col("status").isNull(), F.lit("no readable chunk rows (corrupt or empty object)")))
     return joined.select(
         "object_key",
         F.coalesce("n_documents", F.lit(0).cast("long")).alias("n_documents"),
@@ -112,6 +116,7 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, keys: list[str] | No
         status.alias("status"),
         "silver_prefix",
         F.coalesce("single_device", F.lit(True)).alias("single_device"),
+        error.alias("error"),
     )
 
 

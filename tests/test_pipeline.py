@@ -95,9 +95,9 @@ def test_missing_object_is_reported_not_fatal(spark, workdir):
     bronze = f"{workdir}/bronze"
     key = put_object(spark, bronze, "telemetry/extraction_id=ext-1", ONE_OBJECT)
     target = target_in(workdir)
-    outcomes = {o["object_key"]: o["status"] for o in
+    outcomes = {o["object_key"]: (o["status"], o["error"]) for o in
                 bronze_to_silver(spark, bronze, [key, "telemetry/gone.parquet"], target).collect()}
-    assert outcomes == {key: "processed", "telemetry/gone.parquet": "missing"}
+    assert outcomes == {key: ("processed", None), "telemetry/gone.parquet": ("missing", "object not found")}
 
 
 def test_object_mixing_devices_is_flagged(spark, workdir):
