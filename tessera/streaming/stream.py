@@ -12,6 +12,8 @@ store and no watermark are needed.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,9 +22,10 @@ from tessera.operators import qualifying_objects
 from tessera.plans.pipeline import SilverTarget, bronze_to_silver
 from tessera.sources import parse_notifications
 
-# Pull batch size and wait of the queue consumer.
+# Pull batch size, wait and delivery attempts of the queue consumer.
 MAX_FILES_PER_TRIGGER = 10
 PROCESSING_TIME = "5 seconds"
+MAX_ATTEMPTS = 5
 
 
 def notification_stream(spark: SparkSession, notifications_dir: str,
@@ -33,8 +36,22 @@ def notification_stream(spark: SparkSession, notifications_dir: str,
             .withColumnRenamed("value", "payload"))
 
 
-def batch_handler(bronze_root: str, target: SilverTarget, outcomes_path: str | None, fields=None):
+def batch_handler(bronze_root: str, target: SilverTarget, outcomes_path: str | None, fields=None,
+                  max_attempts: int = MAX_ATTEMPTS, backoff_seconds: float = 1.0):
     def run(batch: DataFrame, batch_id: int) -> None:
+        # A failed attempt is retried in place (the sinks are idempotent, so a
+        # partial attempt is simply replaced); after the last attempt the error
+        # stops the query and the batch is replayed from the checkpoint on restart.
+        # Nothing is ever acknowledged without being processed.
+        for attempt in range(1, max_attempts + 1):
+            try:
+                return run_once(batch, batch_id)
+            except Exception:
+                if attempt == max_attempts:
+                    raise
+                time.sleep(backoff_seconds * attempt)
+
+    def run_once(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         qualified = qualifying_objects(parse_notifications(batch))
         # Only object keys (control-plane sized: bounded by the files per trigger)
@@ -53,9 +70,10 @@ def batch_handler(bronze_root: str, target: SilverTarget, outcomes_path: str | N
 def stream_silver(spark: SparkSession, notifications_dir: str, bronze_root: str, target: SilverTarget,
                   checkpoint: str, outcomes_path: str | None = None, available_now: bool = False,
                   processing_time: str = PROCESSING_TIME,
-                  max_files_per_trigger: int = MAX_FILES_PER_TRIGGER, fields=None) -> StreamingQuery:
+                  max_files_per_trigger: int = MAX_FILES_PER_TRIGGER, fields=None,
+                  max_attempts: int = MAX_ATTEMPTS) -> StreamingQuery:
     writer = (notification_stream(spark, notifications_dir, max_files_per_trigger).writeStream
-              .foreachBatch(batch_handler(bronze_root, target, outcomes_path, fields))
+              .foreachBatch(batch_handler(bronze_root, target, outcomes_path, fields, max_attempts))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()

@@ -68,7 +68,8 @@ def test_failed_batch_is_replayed_to_the_same_result(spark, workdir, monkeypatch
         raise RuntimeError("lost the batch after the Silver files were written")
 
     monkeypatch.setattr(pipeline, "upsert_telemetry", crash_after_files)
-    q = stream_silver(spark, feed, bronze, target, checkpoint=f"{workdir}/ckpt", available_now=True)
+    q = stream_silver(spark, feed, bronze, target, checkpoint=f"{workdir}/ckpt", available_now=True,
+                      max_attempts=1)
     try:
         q.awaitTermination()
     except Exception:
@@ -87,3 +88,27 @@ def test_failed_batch_is_replayed_to_the_same_result(spark, workdir, monkeypatch
     # The replay replaced the directories instead of adding a second file to each.
     files_after = glob.glob(f"{target.silver_root}/**/*.parquet", recursive=True)
     assert len(files_after) == len(files_before)
+
+
+def test_transient_failure_is_retried_within_the_batch(spark, workdir, monkeypatch):
+    import tessera.plans.pipeline as pipeline
+
+    chunks = spark.createDataFrame(ROWS, BRONZE_CHUNKS)
+    bronze, feed = f"{workdir}/bronze", f"{workdir}/feed"
+    stage_bronze_objects(chunks, bronze)
+    stage_notifications(spark, bronze, feed, files=1)
+    target = SilverTarget(silver_root=f"{workdir}/silver", table_path=f"{workdir}/table", buckets=4)
+    real_upsert, calls = pipeline.upsert_telemetry, []
+
+    def conflict_once(*args, **kwargs):
+        calls.append(1)
+        if len(calls) == 1:
+            raise RuntimeError("write conflict")
+        return real_upsert(*args, **kwargs)
+
+    monkeypatch.setattr(pipeline, "upsert_telemetry", conflict_once)
+    q = stream_silver(spark, feed, bronze, target, checkpoint=f"{workdir}/ckpt", available_now=True)
+    q.awaitTermination()
+    assert q.exception() is None and len(calls) == 2
+    got = sorted(tuple(r) for r in telemetry(read_table_rows(spark, target.table_path)).collect())
+    assert got == sorted(tuple(r) for r in telemetry(records_of(chunks)).collect())
