@@ -1,11 +1,14 @@
 """Command line: the two ways the refinement is triggered.
 
   python -m tessera reprocess --bronze-root R --silver-root S --table-path T KEY [KEY ...]
+  python -m tessera backfill --bronze-root R --silver-root S --table-path T
   python -m tessera stream --notifications N --bronze-root R --silver-root S --table-path T \
       --checkpoint C [--available-now]
 
 ``reprocess`` is the manual re-trigger of explicit objects (prints one outcome row
-per key); ``stream`` is the automatic path over a folder of notification files.
+per key); ``backfill`` runs every object below the Bronze root as one batch (no key
+list on the driver); ``stream`` is the automatic path over a folder of notification
+files.
 Both use the session configured by ``spark-submit`` / ``spark-defaults.conf``.
 """
 
@@ -15,7 +18,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from tessera.plans.pipeline import SilverTarget, reprocess
+from tessera.plans.pipeline import SilverTarget, bronze_to_silver, reprocess
 from tessera.session import apply_pipeline_conf
 from tessera.sinks.silver import DEFAULT_BUCKETS
 from tessera.streaming.stream import MAX_FILES_PER_TRIGGER, PROCESSING_TIME, stream_silver
@@ -29,7 +32,7 @@ def _target(args) -> SilverTarget:
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tessera")
     sub = parser.add_subparsers(dest="command", required=True)
-    for name in ("reprocess", "stream"):
+    for name in ("reprocess", "backfill", "stream"):
         p = sub.add_parser(name)
         p.add_argument("--bronze-root", required=True)
         p.add_argument("--silver-root", required=True)
@@ -52,6 +55,9 @@ def main(argv: list[str] | None = None) -> None:
     apply_pipeline_conf(spark)
     if args.command == "reprocess":
         reprocess(spark, args.bronze_root, args.keys, _target(args)).show(len(args.keys), truncate=False)
+    elif args.command == "backfill":
+        outcomes = bronze_to_silver(spark, args.bronze_root, None, _target(args))
+        outcomes.groupBy("status").count().show(truncate=False)
     else:
         query = stream_silver(spark, args.notifications, args.bronze_root, _target(args),
                               checkpoint=args.checkpoint, outcomes_path=args.outcomes_path,

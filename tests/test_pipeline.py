@@ -147,3 +147,16 @@ def test_command_line_reprocess(spark, workdir, capsys):
           "--table-path", f"{workdir}/table", "--buckets", "4", key])
     assert "processed" in capsys.readouterr().out
     assert read_table_rows(spark, f"{workdir}/table").count() == 12
+
+
+def test_command_line_backfill_reads_every_object(spark, workdir, capsys):
+    from tessera.__main__ import main
+
+    bronze = f"{workdir}/bronze"
+    put_object(spark, bronze, "telemetry/extraction_id=ext-1", ONE_OBJECT)
+    put_object(spark, bronze, "telemetry/extraction_id=ext-3",
+               [("ext-3", "001BC5000003", None, None, "126", 7, "EVENTS", 0, "6a18a5000080")])
+    main(["backfill", "--bronze-root", bronze, "--silver-root", f"{workdir}/silver",
+          "--table-path", f"{workdir}/table", "--buckets", "4"])
+    assert "processed" in capsys.readouterr().out
+    assert read_table_rows(spark, f"{workdir}/table").count() == 16
