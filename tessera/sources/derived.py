@@ -65,23 +65,28 @@ def bronze_deliveries(chunks: DataFrame) -> DataFrame:
 
     Extractions with id % 3 = 0 get a smaller second delivery that replaces the
     first; id % 3 = 1 get a payload-less second delivery that replaces nothing.
+    The first and the smaller second delivery come from one scan (each chunk row
+    is exploded into its delivery copies); only the payload-less delivery, one
+    row per extraction, needs its own (distinct) branch.
     """
     ext_no = F.substring("extraction_id", 5, 100).cast("int")
 
-    def key(name: str) -> F.Column:
-        return F.concat(F.lit("telemetry/extraction_id="), F.col("extraction_id"), F.lit(f"/{name}.parquet"))
+    def key(seq: F.Column) -> F.Column:
+        return F.concat(F.lit("telemetry/extraction_id="), F.col("extraction_id"),
+                        F.lit("/d"), seq.cast("string"), F.lit(".parquet"))
 
-    first = chunks.select("*", F.lit(1).alias("delivery_seq"), key("d1").alias("object_key"))
-    second = (chunks.where((ext_no % 3 == 0) & (F.col("document_sequence") % 2 == 0))
-              .select("*", F.lit(2).alias("delivery_seq"), key("d2").alias("object_key")))
+    copies = F.when((ext_no % 3 == 0) & (F.col("document_sequence") % 2 == 0),
+                    F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    delivered = (chunks.select("*", F.explode(copies).alias("delivery_seq"))
+                 .withColumn("object_key", key(F.col("delivery_seq"))))
     empty = (chunks.where(ext_no % 3 == 1)
              .select("extraction_id", "id_controller", "technology", "id_type").distinct()
              .select("extraction_id", "id_controller", "technology", "id_type",
                      F.lit("126").alias("ble_version"), F.lit(0).alias("document_sequence"),
                      F.lit(None).cast("string").alias("type"), F.lit(None).cast("int").alias("chunk_index"),
                      F.lit(None).cast("string").alias("data_chunk_hex"),
-                     F.lit(2).alias("delivery_seq"), key("d2").alias("object_key")))
-    return first.unionByName(second).unionByName(empty)
+                     F.lit(2).alias("delivery_seq"), key(F.lit(2)).alias("object_key")))
+    return delivered.unionByName(empty)
 
 
 def notification_payloads(events: DataFrame) -> DataFrame:
