@@ -31,7 +31,7 @@ def build_session(master: str | None = None, app_name: str = "tessera",
                .master(master or f"local[{cpus}]")
                .appName(app_name)
                .config("spark.ui.enabled", "false")
-               .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "8g"))
+               .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "4g"))
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus)))
     for key, value in {**PIPELINE_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
