@@ -148,6 +148,9 @@ def register_table(spark: SparkSession, table: str, path: str) -> None:
     """Expose the table path in the catalog; bucket directories are recovered as
     catalog partitions (one listing of at most ``buckets`` directories)."""
     if not spark.catalog.tableExists(table):
+        if "." in table:
+            # Namespace in the session catalog's warehouse (first use creates it).
+            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {table.rsplit('.', 1)[0]}")
         spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING parquet LOCATION '{path}'")
     spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     spark.sql(f"REFRESH TABLE {table}")

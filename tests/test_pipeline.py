@@ -143,10 +143,12 @@ def test_command_line_reprocess(spark, workdir, capsys):
 
     bronze = f"{workdir}/bronze"
     key = put_object(spark, bronze, "telemetry/extraction_id=ext-1", ONE_OBJECT)
+    name = f"cli_ns_{os.urandom(3).hex()}.telemetry_decoded"
     main(["reprocess", "--bronze-root", bronze, "--silver-root", f"{workdir}/silver",
-          "--table-path", f"{workdir}/table", "--buckets", "4", key])
+          "--table-path", f"{workdir}/table", "--table", name, "--buckets", "4", key])
     assert "processed" in capsys.readouterr().out
     assert read_table_rows(spark, f"{workdir}/table").count() == 12
+    assert spark.table(name).count() == 12
 
 
 def test_command_line_backfill_reads_every_object(spark, workdir, capsys):
