@@ -112,3 +112,44 @@ def test_transient_failure_is_retried_within_the_batch(spark, workdir, monkeypat
     assert q.exception() is None and len(calls) == 2
     got = sorted(tuple(r) for r in telemetry(read_table_rows(spark, target.table_path)).collect())
     assert got == sorted(tuple(r) for r in telemetry(records_of(chunks)).collect())
+
+
+def test_running_stream_picks_up_new_notifications(spark, workdir):
+    import os
+    import time
+
+    from pyspark.sql import functions as F
+
+    bronze, feed = f"{workdir}/bronze", f"{workdir}/feed"
+    os.makedirs(feed)
+    target = SilverTarget(silver_root=f"{workdir}/silver", table_path=f"{workdir}/table", buckets=4)
+    q = stream_silver(spark, feed, bronze, target, checkpoint=f"{workdir}/ckpt", processing_time="1 second")
+    try:
+        def deliver(rows, name):
+            stage_bronze_objects(spark.createDataFrame(rows, BRONZE_CHUNKS), f"{bronze}/{name}")
+            key = glob.glob(f"{bronze}/{name}/telemetry/**/*.parquet", recursive=True)[0]
+            rel = key[len(bronze) + 1:].replace("/", "%2F").replace("=", "%3D")
+            with open(f"{feed}/{name}.json", "w") as fh:
+                fh.write('{"Records":[{"eventName":"s3:ObjectCreated:Put","s3":{"object":{"key":"%s"}}}]}\n' % rel)
+
+        def table_rows():
+            if not glob.glob(f"{target.table_path}/bucket=*"):
+                return []
+            return read_table_rows(spark, target.table_path).where(F.col("extraction_id") == "ext-1").collect()
+
+        def wait_for(pred, seconds=120):
+            deadline = time.time() + seconds
+            while time.time() < deadline:
+                if pred():
+                    return True
+                time.sleep(1)
+            return False
+
+        deliver(ROWS[:1], "d1")
+        assert wait_for(lambda: len(table_rows()) == 4)
+        time.sleep(1.1)  # a later modification time for the re-delivery
+        deliver([ROWS[0][:8] + ("6a18a50008a8",)], "d2")  # same extraction, all fields ON
+        assert wait_for(lambda: sorted(r["value"] for r in table_rows()) == [1.0, 1.0, 1.0, 1.0])
+    finally:
+        q.stop()
+    assert q.exception() is None
