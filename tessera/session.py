@@ -12,8 +12,11 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings the results depend on (time zone, dynamic partition overwrite) and the
-# ones that keep the plans healthy at scale (AQE re-planning, skew splitting).
+# Settings for sessions this package builds itself (tests, bench, command line).
+# Results do not depend on them: timestamps are computed without the session zone
+# and every replacing write sets its overwrite mode explicitly. AQE re-planning
+# and skew splitting are Spark defaults, stated here so a deployment that turned
+# them off gets them back.
 PIPELINE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
