@@ -40,7 +40,8 @@ _LAYOUT_SCHEMA = T.StructType([
     T.StructField("l_bit_offset", T.IntegerType(), False),
     T.StructField("l_bit_width", T.IntegerType(), False),
 ])
-_HEADER_SCHEMA = T.StructType(_LAYOUT_SCHEMA.fields[:4])
+_HEADER_SCHEMA = T.StructType(_LAYOUT_SCHEMA.fields[:4]
+                               + [T.StructField("l_fields", T.IntegerType(), False)])
 
 AUDIT_REASONS = ["no_id", "no_type", "no_payload", "no_layout", "bad_payload", "ok"]
 
@@ -57,9 +58,11 @@ def layout_table(spark: SparkSession, fields=None) -> DataFrame:
 
 
 def layout_headers(spark: SparkSession, fields=None) -> DataFrame:
-    """One row per decodable (technology, firmware, type) with its payload size."""
-    heads = sorted({row[:4] for row in (fields or PAYLOAD_FIELDS)})
-    return _inline_table(spark, heads, _HEADER_SCHEMA)
+    """One row per decodable (technology, firmware, type) with its payload size and
+    the number of records one well-formed document of that layout yields."""
+    rows = list(fields or PAYLOAD_FIELDS)
+    heads = sorted({row[:4] for row in rows})
+    return _inline_table(spark, [h + (sum(1 for r in rows if r[:4] == h),) for h in heads], _HEADER_SCHEMA)
 
 
 def _dispatch_condition(docs: DataFrame, layout: DataFrame) -> Column:
@@ -128,7 +131,9 @@ def telemetry(records: DataFrame) -> DataFrame:
 
 
 def audit_reason(documents: DataFrame, fields=None) -> DataFrame:
-    """Why each document does or does not decode (``decode_reason`` column)."""
+    """Why each document does or does not decode (``decode_reason``), and how
+    many records it decodes to (``decoded_fields``: the layout's field count when
+    ``ok``, else 0), without decoding it."""
     spark = documents.sparkSession
     heads = F.broadcast(layout_headers(spark, fields))
     joined = documents.join(heads, _dispatch_condition(documents, heads), "left")
@@ -138,7 +143,8 @@ def audit_reason(documents: DataFrame, fields=None) -> DataFrame:
               .when(F.col("l_technology").isNull(), "no_layout")
               .when(~_well_formed(F.col("payload_hex"), F.col("l_payload_bytes")), "bad_payload")
               .otherwise("ok"))
-    return joined.select(*documents.columns, reason.alias("decode_reason"))
+    return joined.select(*documents.columns, reason.alias("decode_reason"),
+                         F.when(reason == "ok", F.col("l_fields")).otherwise(F.lit(0)).alias("decoded_fields"))
 
 
 def decode_audit(documents: DataFrame, fields=None) -> DataFrame:

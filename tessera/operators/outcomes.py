@@ -6,28 +6,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import silver_prefix
+from tessera.operators.decode import audit_reason
 
 
-def object_outcomes(documents: DataFrame, records: DataFrame, silver_root: str) -> DataFrame:
+def object_outcomes(documents: DataFrame, silver_root: str, fields=None) -> DataFrame:
     """One row per object that had documents.
 
     ``status`` is ``processed`` when the object produced records, else ``empty``;
     ``silver_prefix`` is where its files went (NULL when empty);
     ``single_device`` is false when an object mixes devices or extractions
-    (the one-device-per-object invariant is broken). Both sides are reduced by
-    ``object_key`` with map-side partial aggregation before they meet.
+    (the one-device-per-object invariant is broken).
+
+    Computed from the documents alone: a well-formed document yields exactly one
+    record per field of its layout, so the record count comes from the audit
+    (a broadcast join with the constant layout headers) and everything is one
+    grouped aggregation by object, with map-side partial aggregation. No second
+    pass over the input and no join with the decoded records.
     """
-    per_doc = documents.groupBy("object_key").agg(
+    audited = audit_reason(documents, fields)
+    ok = F.col("decode_reason") == "ok"
+    per_obj = audited.groupBy("object_key").agg(
         F.count(F.lit(1)).alias("n_documents"),
+        F.sum("decoded_fields").alias("n_records"),
+        F.min(F.when(ok, F.col("technology"))).alias("_tech"),
+        F.min(F.when(ok, F.col("id_controller"))).alias("_device"),
         ((F.min("id_controller") == F.max("id_controller"))
          & (F.min("extraction_id") == F.max("extraction_id"))).alias("single_device"))
-    per_rec = records.groupBy("object_key").agg(
-        F.count(F.lit(1)).alias("n_records"),
-        F.min("technology").alias("_tech"), F.min("device_id").alias("_device"))
-    joined = per_doc.join(per_rec, "object_key", "left")
     n_records = F.coalesce(F.col("n_records"), F.lit(0)).cast("long")
     processed = n_records > 0
-    return joined.select(
+    return per_obj.select(
         "object_key",
         F.col("n_documents").cast("long").alias("n_documents"),
         n_records.alias("n_records"),

@@ -78,7 +78,7 @@ def process_chunks(chunks: DataFrame, target: SilverTarget, fields=None,
         write_silver_files(winners, target.silver_root, target.file_partitions)
         upsert_telemetry(winners, target.table_path, work_root=f"{work}/upsert",
                          buckets=target.buckets, table=target.table)
-    return object_outcomes(docs, decoded, target.silver_root).select(*OUTCOME_COLUMNS)
+    return object_outcomes(docs, target.silver_root, fields).select(*OUTCOME_COLUMNS)
 
 
 def bronze_to_silver(spark: SparkSession, bronze_root: str, keys: list[str] | None,

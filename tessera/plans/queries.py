@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import mac_prefix, silver_prefix
-from tessera.operators import (decode_audit, decode_records, last_delivery_wins, object_outcomes,
-                               qualifying_objects, reassemble, resolve_technology, telemetry)
+from tessera.operators import (decode_audit, last_delivery_wins, object_outcomes, qualifying_objects,
+                               reassemble, resolve_technology, telemetry)
 from tessera.plans.pipeline import SilverTarget, documents_of, records_of
 from tessera.schemas import DOCUMENT_KEYS
 from tessera.session import fresh_dir, materialize
@@ -94,8 +94,7 @@ def q_telemetry_upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_object_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents_of(_deliveries(spark, sf_dir))
-    return object_outcomes(docs, decode_records(docs), SILVER_ROOT)
+    return object_outcomes(documents_of(_deliveries(spark, sf_dir)), SILVER_ROOT)
 
 
 def q_silver_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
