@@ -27,15 +27,18 @@ def last_delivery_wins(records: DataFrame, key: list[str] | None = None) -> Data
     compete (as in sequential processing, where an empty delivery writes and
     deletes nothing).
 
-    The winner per extraction comes from a grouped ``max`` (partial aggregation
-    map-side, so a hot extraction collapses to one row per task before the
-    shuffle) and is applied with a left-semi join. AQE turns that join into a
-    broadcast when the winners are small at runtime, and otherwise splits a
-    skewed partition of the records side; no window puts a whole extraction
-    into one task.
+    The records first collapse to one row per delivery (a hash aggregate with
+    map-side partial aggregation, so a hot extraction shrinks to a few rows per
+    task before the shuffle); the ``max`` per extraction then runs on that small
+    set (the delivery order may hold a string, which Spark cannot keep in a hash
+    aggregation buffer). The winners are applied with a left-semi join: AQE turns
+    it into a broadcast when they are small at runtime, and otherwise splits a
+    skewed partition of the records side. No window puts a whole extraction into
+    one task.
     """
     key = key or EXTRACTION_KEY
     ranked = with_delivery_rank(records)
     order = delivery_order(ranked)
-    winners = ranked.groupBy(*key).agg(F.max(order).alias(order))
+    deliveries = ranked.select(*key, order).distinct()
+    winners = deliveries.groupBy(*key).agg(F.max(order).alias(order))
     return ranked.join(winners, on=key + [order], how="left_semi")

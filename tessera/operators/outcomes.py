@@ -19,15 +19,20 @@ def object_outcomes(documents: DataFrame, silver_root: str, fields=None) -> Data
 
     Computed from the documents alone: a well-formed document yields exactly one
     record per field of its layout, so the record count comes from the audit
-    (a broadcast join with the constant layout headers) and everything is one
-    grouped aggregation by object, with map-side partial aggregation. No second
-    pass over the input and no join with the decoded records.
+    (a broadcast join with the constant layout headers). The documents first
+    collapse to one row per (object, device, extraction, technology) with counts
+    only (a hash aggregate with map-side partial aggregation); the string
+    min/max per object then runs on that small set. No second pass over the
+    input and no join with the decoded records.
     """
     audited = audit_reason(documents, fields)
-    ok = F.col("decode_reason") == "ok"
-    per_obj = audited.groupBy("object_key").agg(
+    per_device = audited.groupBy("object_key", "id_controller", "extraction_id", "technology").agg(
         F.count(F.lit(1)).alias("n_documents"),
-        F.sum("decoded_fields").alias("n_records"),
+        F.sum("decoded_fields").alias("n_records"))
+    ok = F.col("n_records") > 0
+    per_obj = per_device.groupBy("object_key").agg(
+        F.sum("n_documents").alias("n_documents"),
+        F.sum("n_records").alias("n_records"),
         F.min(F.when(ok, F.col("technology"))).alias("_tech"),
         F.min(F.when(ok, F.col("id_controller"))).alias("_device"),
         ((F.min("id_controller") == F.max("id_controller"))
