@@ -35,13 +35,17 @@ def main() -> None:
             if not only or name in only:
                 query(spark, warmup_dir).write.format("noop").mode("overwrite").save()
 
-    timings, rows = {}, {}
+    timings, rows, errors = {}, {}, {}
     for name, query in QUERIES.items():
         if only and name not in only:
             continue
         t0 = time.perf_counter()
-        df = query(spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
+        try:
+            df = query(spark, sf_dir)
+            df.write.format("noop").mode("overwrite").save()
+        except Exception as exc:  # report and keep timing the others
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:300]}"
+            continue
         timings[name] = round(time.perf_counter() - t0, 3)
         if name == "telemetry_decoded":
             rows[name] = df.count()
@@ -57,6 +61,8 @@ def main() -> None:
         "cpus": cpus,
         "warmup": f"untimed pass on {warmup_dir}" if warm else "none",
     }
+    if errors:
+        out["errors"] = errors
     if "telemetry_decoded" in timings and timings["telemetry_decoded"] > 0:
         out["decoded_records"] = rows["telemetry_decoded"]
         out["decoded_records_per_sec"] = round(rows["telemetry_decoded"] / timings["telemetry_decoded"], 1)

@@ -49,3 +49,13 @@ def test_results_do_not_depend_on_the_session_time_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert shifted == sorted(tuple(r) for r in QUERIES["telemetry_decoded"](spark, SF).collect())
     assert days == sorted(tuple(r) for r in QUERIES["silver_day_counts"](spark, SF).collect())
+
+
+def test_large_aggregations_are_hash_based(spark):
+    # Outcomes: documents collapse per (object, device) in a hash aggregate; string
+    # min/max only runs on that reduced set.
+    plan = executed_plan(QUERIES["object_outcomes"](spark, SF))
+    assert re.search(r"HashAggregate\(keys=\[object_key#\d+, id_controller", plan)
+    # Deliveries: one row per delivery before the max.
+    plan = executed_plan(QUERIES["last_delivery_wins"](spark, SF))
+    assert "SortAggregate" not in plan
