@@ -21,9 +21,13 @@ def stage_bronze_objects(chunks: DataFrame, bronze_root: str) -> str:
     Range partitioning on the extraction packs small extractions into shared
     tasks by row count instead of hashing them unevenly.
     """
+    spark = chunks.sparkSession
     target = f"{bronze_root.rstrip('/')}/telemetry"
+    # Explicit task count: AQE would coalesce a small input into one or two tasks
+    # that create every object serially.
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     (chunks.withColumn("extraction", F.col("extraction_id"))
-     .repartitionByRange("extraction")
+     .repartitionByRange(n, "extraction")
      .write.mode("overwrite").partitionBy("extraction").parquet(target))
     return target
 
