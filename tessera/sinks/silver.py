@@ -59,10 +59,11 @@ def _dir_paths(target: str, dirs) -> list[str] | None:
     return [target + "/" + "/".join(f"{c}={v}" for c, v in zip(SILVER_PARTITIONS, vals)) for vals in values]
 
 
-def any_path_exists(spark: SparkSession, paths: list[str]) -> bool:
-    """Metadata probe of many paths, overlapped (object-store calls are latency bound)."""
+def existing_paths(spark: SparkSession, paths: list[str]) -> set[str]:
+    """Which of many paths exist: metadata calls overlapped on the driver
+    (object-store calls are latency bound)."""
     if not paths:
-        return False
+        return set()
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     fs = jvm.org.apache.hadoop.fs.Path(paths[0]).getFileSystem(conf)
@@ -71,7 +72,16 @@ def any_path_exists(spark: SparkSession, paths: list[str]) -> bool:
         return bool(fs.exists(jvm.org.apache.hadoop.fs.Path(path)))
 
     with ThreadPoolExecutor(max_workers=16) as pool:
-        return any(pool.map(exists, paths))
+        return {p for p, ok in zip(paths, pool.map(exists, paths)) if ok}
+
+
+def any_dir_exists(spark: SparkSession, dir_paths: list[str]) -> bool:
+    """Whether any output directory exists, probing devices first: a directory
+    can only exist below an existing device directory, so new devices (one probe
+    each) need no probe of their day/extraction directories."""
+    device_of = {p: p.split("/year=", 1)[0] for p in dir_paths}
+    present = existing_paths(spark, sorted(set(device_of.values())))
+    return bool(existing_paths(spark, [p for p, d in device_of.items() if d in present]))
 
 
 def write_silver_files(records: DataFrame, silver_root: str, partitions: int | None = None) -> str:
@@ -106,7 +116,7 @@ def write_silver_files(records: DataFrame, silver_root: str, partitions: int | N
     writer = ordered.write.partitionBy(*SILVER_PARTITIONS)
     probe = _dir_paths(target, dirs) if n_dirs <= MAX_PROBED_DIRS else None
     fresh = (not has_partitions(spark, target, "technology")
-             or (probe is not None and not any_path_exists(spark, probe)))
+             or (probe is not None and not any_dir_exists(spark, probe)))
     if fresh:
         # Nothing to replace. A replay after a crash finds the directories and
         # takes the overwrite path, so it converges to the same files.
