@@ -15,10 +15,12 @@ Both use the session configured by ``spark-submit`` / ``spark-defaults.conf``.
 from __future__ import annotations
 
 import argparse
+import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from tessera.plans.pipeline import SilverTarget, bronze_to_silver, reprocess
+from tessera.plans.pipeline import SilverTarget, bronze_to_silver
 from tessera.session import apply_pipeline_conf
 from tessera.sinks.silver import DEFAULT_BUCKETS
 from tessera.streaming.stream import MAX_FILES_PER_TRIGGER, PROCESSING_TIME, stream_silver
@@ -40,12 +42,12 @@ def main(argv: list[str] | None = None) -> None:
         p.add_argument("--table", default=None, help="catalog name, e.g. silver.telemetry_decoded")
         p.add_argument("--buckets", type=int, default=DEFAULT_BUCKETS)
         p.add_argument("--rejects-path", default=None)
+        p.add_argument("--outcomes-path", default=None, help="append per-object outcomes here")
     rp = sub.choices["reprocess"]
     rp.add_argument("keys", nargs="+")
     st = sub.choices["stream"]
     st.add_argument("--notifications", required=True)
     st.add_argument("--checkpoint", required=True)
-    st.add_argument("--outcomes-path", default=None)
     st.add_argument("--available-now", action="store_true")
     st.add_argument("--processing-time", default=PROCESSING_TIME)
     st.add_argument("--max-files-per-trigger", type=int, default=MAX_FILES_PER_TRIGGER)
@@ -53,11 +55,17 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = SparkSession.builder.appName(f"tessera-{args.command}").getOrCreate()
     apply_pipeline_conf(spark)
-    if args.command == "reprocess":
-        reprocess(spark, args.bronze_root, args.keys, _target(args)).show(len(args.keys), truncate=False)
-    elif args.command == "backfill":
-        outcomes = bronze_to_silver(spark, args.bronze_root, None, _target(args))
-        outcomes.groupBy("status").count().show(truncate=False)
+    if args.command in ("reprocess", "backfill"):
+        keys = args.keys if args.command == "reprocess" else None
+        outcomes = bronze_to_silver(spark, args.bronze_root, keys, _target(args))
+        if args.outcomes_path:
+            # One run = one partition of the outcome table (B20), like one stream batch.
+            (outcomes.withColumn("run_id", F.lit(f"{args.command}-{uuid.uuid4().hex[:12]}"))
+             .write.mode("append").partitionBy("run_id").parquet(args.outcomes_path))
+        if keys is not None:
+            outcomes.orderBy("object_key").show(len(keys), truncate=False)
+        else:
+            outcomes.groupBy("status").count().show(truncate=False)
     else:
         query = stream_silver(spark, args.notifications, args.bronze_root, _target(args),
                               checkpoint=args.checkpoint, outcomes_path=args.outcomes_path,

@@ -145,8 +145,10 @@ def test_command_line_reprocess(spark, workdir, capsys):
     key = put_object(spark, bronze, "telemetry/extraction_id=ext-1", ONE_OBJECT)
     name = f"cli_ns_{os.urandom(3).hex()}.telemetry_decoded"
     main(["reprocess", "--bronze-root", bronze, "--silver-root", f"{workdir}/silver",
-          "--table-path", f"{workdir}/table", "--table", name, "--buckets", "4", key])
+          "--table-path", f"{workdir}/table", "--table", name, "--buckets", "4",
+          "--outcomes-path", f"{workdir}/outcomes", key])
     assert "processed" in capsys.readouterr().out
+    assert [r["status"] for r in spark.read.parquet(f"{workdir}/outcomes").collect()] == ["processed"]
     assert read_table_rows(spark, f"{workdir}/table").count() == 12
     assert spark.table(name).count() == 12
 
