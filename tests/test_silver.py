@@ -137,3 +137,12 @@ def test_upsert_registers_the_catalog_table(spark, records, workdir):
                      work_root=f"{workdir}/s2", buckets=4, table=name)
     assert spark.catalog.tableExists(name)
     assert [(r["name"], r["value"]) for r in spark.table(name).collect()] == [("compressor_state", 0.0)]
+
+
+def test_bucket_count_follows_table_size():
+    from tessera.sinks.silver import buckets_for
+
+    assert buckets_for(0) == 1
+    assert buckets_for(256 << 20) == 1
+    assert buckets_for((256 << 20) + 1) == 2
+    assert buckets_for(32 << 40) == 131072  # 32 TB at ~256 MB per bucket
