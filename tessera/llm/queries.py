@@ -9,12 +9,19 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import read
 from tessera.llm.exact_dedup import exact_dedup
+from tessera.llm.simhash_dedup import simhash_classes
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents")).drop("row_id")
 
 
+def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = simhash_classes(read(spark, sf_dir, "documents"), shingle=3, distance=3)
+    return classes.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_simhash_dedup": op9_simhash_dedup,
 }
