@@ -7,11 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import read
+from tessera.llm.common import crc_fold, read
 from tessera.llm.exact_dedup import exact_dedup
+from tessera.llm.quality_classifier import FOLDS, HELD_OUT_FOLD, fit, score
 from tessera.llm.simhash_dedup import simhash_classes
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = fit(docs, read(spark, sf_dir, "labels"))
+    return score(docs, model).select(
+        "doc_id", F.coalesce(crc_fold(F.col("doc_id"), FOLDS) == HELD_OUT_FOLD, F.lit(True)).alias("held_out"),
+        "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents")).drop("row_id")
 
@@ -22,6 +31,7 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_quality_classifier": op4_quality_classifier,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_simhash_dedup": op9_simhash_dedup,
 }
