@@ -138,7 +138,7 @@ def fit_numpy(examples: list[tuple[np.ndarray, np.ndarray, int]], s: Settings) -
             for k in rng.permutation(len(examples)):
                 ids, share, y = examples[k]
                 rows = vectors[ids]
-                mean = share @ rows if len(ids) else np.zeros(s.dimensions, np.float32)
+                mean = np.einsum("i,ij->j", share, rows) if len(ids) else np.zeros(s.dimensions, np.float32)
                 z = weights @ mean + bias
                 p = np.exp(z - z.max())
                 g = p / p.sum()
