@@ -58,21 +58,26 @@ def delete_dir(spark: SparkSession, path: str) -> None:
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
-def prefix_sums(df: DataFrame, key: str, value: str, out: str, buckets: int = 4096) -> DataFrame:
-    """``out``: the sum of ``value`` over all rows before this one in (bucket, key) order.
+def prefix_sums(df: DataFrame, key: str, value: str | Column, out: str, group: str | None = None,
+                buckets: int = 1024) -> DataFrame:
+    """``out``: the sum of ``value`` over all rows before this one (of its ``group``) in (bucket, key) order.
 
     Rows are dealt over ``buckets`` by a hash of the unique ``key``, so no task
-    holds more than its even share; only the bucket totals (at most ``buckets``
-    rows) meet in one place. ``df`` must give the same rows each time it is read.
+    holds more than its even share, also of a group that has most rows; only the
+    totals (``buckets`` rows a group) are added up in one place. ``df`` must give
+    the same rows each time it is read.
     """
-    bucketed = df.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
-    totals = bucketed.groupBy("_bucket").agg(F.sum(value).alias("_total"))
-    before = totals.select("_bucket", (F.sum("_total").over(Window.orderBy("_bucket")) - F.col("_total")).alias("_before"))
-    inside = Window.partitionBy("_bucket").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    return (bucketed.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
-            .join(F.broadcast(before), "_bucket")
-            .withColumn(out, (F.col("_before") + F.col("_inside")).cast("long"))
-            .drop("_bucket", "_before", "_inside"))
+    by = [group] if group else []
+    value = F.col(value) if isinstance(value, str) else value
+    bucketed = df.withColumn("_value", value.cast("long")).withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
+    totals = bucketed.groupBy(*by, "_bucket").agg(F.sum("_value").alias("_total"))
+    along = (Window.partitionBy(*by) if by else Window).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select(*by, "_bucket", F.coalesce(F.sum("_total").over(along), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*by, "_bucket").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    return (bucketed.withColumn("_inside", F.coalesce(F.sum("_value").over(inside), F.lit(0)))
+            .join(before, [*by, "_bucket"])
+            .withColumn(out, F.col("_before") + F.col("_inside"))
+            .drop("_bucket", "_before", "_inside", "_value"))
 
 
 def connected_components(edges: DataFrame, left: str = "u", right: str = "v") -> DataFrame:

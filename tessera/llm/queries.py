@@ -9,10 +9,15 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import crc_fold, read
 from tessera.llm.exact_dedup import exact_dedup
+from tessera.llm.packing import pack
 from tessera.llm.quality_classifier import FOLDS, HELD_OUT_FOLD, fit, score
 from tessera.llm.simhash_dedup import simhash_classes
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read(spark, sf_dir, "documents")).drop("row_id")
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = fit(docs, read(spark, sf_dir, "labels"))
@@ -31,6 +36,7 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_packing": op2_packing,
     "op4_quality_classifier": op4_quality_classifier,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_simhash_dedup": op9_simhash_dedup,
