@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm import bpe
 from tessera.llm.common import crc_fold, read
 from tessera.llm.exact_dedup import exact_dedup
 from tessera.llm.packing import pack
@@ -14,6 +16,14 @@ from tessera.llm.quality_classifier import FOLDS, HELD_OUT_FOLD, fit, score
 from tessera.llm.simhash_dedup import simhash_classes
 
 
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with_codec = (public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    both = bpe.decode(bpe.encode(read(spark, sf_dir, "documents"), *with_codec), *with_codec)
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents")).drop("row_id")
 
@@ -36,6 +46,7 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_byte_bpe": op1_byte_bpe,
     "op2_packing": op2_packing,
     "op4_quality_classifier": op4_quality_classifier,
     "op7_exact_dedup": op7_exact_dedup,
