@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tessera.session import fresh_dir, materialize
 
 __all__ = ["connected_components", "delete_dir", "fresh_dir", "materialize", "prepare_workers",
-           "numbered", "prefix_sums", "read", "rows_of"]
+           "numbered", "prefix_sums", "read", "read_binary_rows", "rows_of"]
 
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -149,6 +149,14 @@ def complete_groups(batches: Iterable[pa.RecordBatch], keys: list[str], at_least
         yield pa.Table.from_batches(waiting)
 
 
+def read_binary_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows of the batches as dicts, one after the other."""
+    for b in batches:
+        columns = list(zip(b.schema.names, b.columns, strict=True))
+        for i in range(b.num_rows):
+            yield {name: c[i].as_py() for name, c in columns}
+
+
 def levels(n: int, fan_in: int) -> int:
     """Rounds in which ``n`` runs become one when ``fan_in`` meet at a time."""
     return max(1, math.ceil(math.log(max(2, n)) / math.log(fan_in) - 1e-9))

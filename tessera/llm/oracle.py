@@ -4,6 +4,18 @@ from __future__ import annotations
 
 ORACLE_SQL: dict[str, str] = {}
 
+ORACLE_SQL["op3_warc"] = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages
+), r AS (
+  SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM p
+)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id > first THEN first END AS refers_to
+FROM r
+"""
+
 ORACLE_SQL["op7_exact_dedup"] = r"""
 WITH d AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256

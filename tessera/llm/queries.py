@@ -14,6 +14,7 @@ from tessera.llm.exact_dedup import exact_dedup
 from tessera.llm.packing import pack
 from tessera.llm.quality_classifier import FOLDS, HELD_OUT_FOLD, fit, score
 from tessera.llm.simhash_dedup import simhash_classes
+from tessera.llm.warc import locate_records, read_records, write_archives
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +29,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents")).drop("row_id")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = write_archives(read(spark, sf_dir, "pages"), least=100)
+    return read_records(locate_records(manifest)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = fit(docs, read(spark, sf_dir, "labels"))
@@ -48,6 +54,7 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_packing": op2_packing,
+    "op3_warc": op3_warc,
     "op4_quality_classifier": op4_quality_classifier,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_simhash_dedup": op9_simhash_dedup,
