@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tessera.llm import bpe
 from tessera.llm.common import crc_fold, read
 from tessera.llm.exact_dedup import exact_dedup
+from tessera.llm.html_extract import extract
 from tessera.llm.packing import pack
 from tessera.llm.quality_classifier import FOLDS, HELD_OUT_FOLD, fit, score
 from tessera.llm.simhash_dedup import simhash_classes
@@ -42,6 +43,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents")).drop("row_id")
 
@@ -56,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_warc": op3_warc,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_html_extraction": op5_html_extraction,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_simhash_dedup": op9_simhash_dedup,
 }
