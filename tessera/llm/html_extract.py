@@ -37,8 +37,8 @@ NODES_AT_ONCE = 20_000
 
 @dataclass(frozen=True)
 class Settings:
-    pages: int = 600
-    trees: int = 45
+    pages: int = 900
+    trees: int = 60
     levels: int = 5
     step: float = 0.2
     bins: int = 32

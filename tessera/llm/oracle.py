@@ -2,8 +2,25 @@
 
 from __future__ import annotations
 
+from tessera.llm.license_scan import COPYRIGHT_LINE, SPELLINGS
+from tessera.llm.license_texts import known_licenses
+
 ORACLE_SQL: dict[str, str] = {}
 
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _canonical(text: str) -> str:
+    """SQL of the canonical text of a column."""
+    c = f"replace(lower(coalesce({text}, '')), chr(13), '')"
+    c = f"replace(regexp_replace({c}, {_quoted(COPYRIGHT_LINE)}, '', 'g'), '&', ' and ')"
+    c = f"regexp_replace({c}, '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g')"
+    for a, b in SPELLINGS:
+        c = f"replace({c}, {_quoted(a)}, {_quoted(b)})"
+    return c
+
 ORACLE_SQL["op3_warc"] = """
 WITH p AS (
   SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages
@@ -28,3 +45,23 @@ SELECT doc_id,
        text_sha256
 FROM d
 """
+
+ORACLE_SQL["op10_license_scan"] = rf"""
+WITH licenses(license_id, text) AS (VALUES {", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in known_licenses())}),
+known AS (
+  SELECT trim(regexp_replace(c, '\s+', ' ', 'g')) AS unit, min(license_id) AS license_id
+  FROM (SELECT license_id, {_canonical("text")} AS c FROM licenses) GROUP BY 1
+),
+docs AS (SELECT doc_id, {_canonical("text")} AS c FROM documents),
+units AS (
+  SELECT doc_id, unnest(list_distinct(list_concat([c], string_split_regex(c, '\n[ \n]*\n'), string_split(c, chr(10))))) AS unit, c FROM docs
+),
+found AS (
+  SELECT u.doc_id, string_agg(DISTINCT k.license_id, ',' ORDER BY k.license_id) AS license_ids, count(DISTINCT k.license_id) AS n_licenses,
+         min(CASE WHEN trim(regexp_replace(u.c, '\s+', ' ', 'g')) = k.unit THEN k.license_id END) AS whole_license
+  FROM units u JOIN known k ON trim(regexp_replace(u.unit, '\s+', ' ', 'g')) = k.unit
+  WHERE k.unit <> '' GROUP BY u.doc_id
+)
+SELECT d.doc_id, coalesce(f.license_ids, '') AS license_ids, coalesce(f.n_licenses, 0) AS n_licenses, f.whole_license
+FROM docs d LEFT JOIN found f USING (doc_id)
+"""

@@ -12,6 +12,7 @@ from tessera.llm import bpe
 from tessera.llm.common import crc_fold, read
 from tessera.llm.exact_dedup import exact_dedup
 from tessera.llm.html_extract import extract
+from tessera.llm.license_scan import scan_licenses
 from tessera.llm.packing import pack
 from tessera.llm.quality_classifier import FOLDS, HELD_OUT_FOLD, fit, score
 from tessera.llm.simhash_dedup import simhash_classes
@@ -56,6 +57,10 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_packing": op2_packing,
@@ -64,4 +69,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_html_extraction": op5_html_extraction,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_simhash_dedup": op9_simhash_dedup,
+    "op10_license_scan": op10_license_scan,
 }
