@@ -13,6 +13,7 @@ from tessera.llm.common import crc_fold, read
 from tessera.llm.exact_dedup import exact_dedup
 from tessera.llm.html_extract import extract
 from tessera.llm.license_scan import scan_licenses
+from tessera.llm.nn_descent import near_duplicates
 from tessera.llm.packing import pack
 from tessera.llm.quality_classifier import FOLDS, HELD_OUT_FOLD, fit, score
 from tessera.llm.simhash_dedup import simhash_classes
@@ -48,6 +49,10 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(read(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents")).drop("row_id")
 
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc": op3_warc,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_html_extraction": op5_html_extraction,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_license_scan": op10_license_scan,
