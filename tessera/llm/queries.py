@@ -13,6 +13,7 @@ from tessera.llm.common import crc_fold, read
 from tessera.llm.exact_dedup import exact_dedup
 from tessera.llm.html_extract import extract
 from tessera.llm.license_scan import scan_licenses
+from tessera.llm.lm_scoring import score_texts
 from tessera.llm.nn_descent import near_duplicates
 from tessera.llm.packing import pack
 from tessera.llm.quality_classifier import FOLDS, HELD_OUT_FOLD, fit, score
@@ -57,6 +58,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents")).drop("row_id")
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(read(spark, sf_dir, "documents"))
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = simhash_classes(read(spark, sf_dir, "documents"), shingle=3, distance=3)
     return classes.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_html_extraction": op5_html_extraction,
     "op6_embedding_dedup": op6_embedding_dedup,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_license_scan": op10_license_scan,
 }
