@@ -11,10 +11,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.session import fresh_dir, materialize
+from tessera.session import fresh_dir
+from tessera.session import materialize as written
 
-__all__ = ["connected_components", "delete_dir", "fresh_dir", "materialize", "prepare_workers",
-           "numbered", "prefix_sums", "read", "read_binary_rows", "rows_of"]
+__all__ = ["complete_groups", "connected_components", "crc_fold", "files_for", "fresh_dir", "levels", "materialize", "prepare_workers",
+           "numbered", "prefix_sums", "read", "read_binary_rows"]
 
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -44,18 +45,23 @@ def numbered(df: DataFrame) -> tuple[DataFrame, str]:
     name = "_row"
     while name in {c.lower() for c in df.columns}:
         name += "_"
-    return materialize(df.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+    path = fresh_dir(df.sparkSession, "numbered")
+    df.withColumn(name, F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path), name
 
 
-def rows_of(df: DataFrame, *columns: str) -> DataFrame:
-    """Only the named columns: extra ones, whatever their names, can't clash."""
-    return df.select(*[F.col(f"`{c}`") for c in columns])
+def files_for(rows: int) -> int:
+    """Files for a table of narrow rows: a million rows a file, more files while it is small."""
+    return max(-(-rows // 1_000_000), min(64, -(-rows // 50_000)), 1)
 
 
-def delete_dir(spark: SparkSession, path: str) -> None:
-    """Remove a folder of intermediate files that this run made and no longer reads."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+def materialize(df: DataFrame, purpose: str, rows: int | None = None) -> DataFrame:
+    """Write ``df`` in the shared folder and read it again, which cuts its lineage.
+
+    ``rows``: about how many narrow rows it has at most, where known; they are written
+    to as many files as that needs, not to one for each shuffle partition.
+    """
+    return written(df if rows is None else df.coalesce(files_for(rows)), purpose)
 
 
 def prefix_sums(df: DataFrame, key: str, value: str | Column, out: str, group: str | None = None,
@@ -83,23 +89,21 @@ def prefix_sums(df: DataFrame, key: str, value: str | Column, out: str, group: s
 def connected_components(edges: DataFrame, left: str = "u", right: str = "v") -> DataFrame:
     """``(node, root)`` for every node of ``edges`` (long ids); root: the smallest id of its component.
 
+    ``edges`` are written first, as they are.
+
     Alternates large-star and small-star rounds until the edges no longer change
     (O(log^2 n) rounds, 2 or 3 for the stars that the callers send). Every round
     is written to the shared folder, so a lost executor costs one round at most,
     and both inputs of its joins come from files, so that Spark can split a hub.
     """
-    spark = edges.sparkSession
     a, b = F.col(left).cast("long"), F.col(right).cast("long")
-    path = fresh_dir(spark, "cc")
-    (edges.where(a.isNotNull() & b.isNotNull() & (a != b))
-     .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct().write.parquet(path))
-    current, seen = spark.read.parquet(path), None
+    given = materialize(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v"), "cc-edges")
+    rows = given.count()
+    current, seen = materialize(given.distinct(), "cc", rows), None
 
     def star(e: DataFrame, large: bool) -> DataFrame:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else e
-        least_path = fresh_dir(spark, "cc-least")
-        both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")).write.parquet(least_path)
-        least = spark.read.parquet(least_path)
+        least = materialize(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "cc-least", 2 * rows)
         joined = both.join(least, "u")
         if large:  # larger neighbours go to the least of the neighbourhood
             out = joined.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -110,9 +114,7 @@ def connected_components(edges: DataFrame, left: str = "u", right: str = "v") ->
 
     while True:
         for large in (True, False):
-            step = fresh_dir(spark, "cc")
-            star(current, large).write.parquet(step)
-            current = spark.read.parquet(step)
+            current = materialize(star(current, large), "cc", 2 * rows)
         now = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen or now[0] == 0:
             break

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import fresh_dir, levels, materialize, numbered
+from tessera.llm.common import files_for, levels, materialize, numbered
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 IDENTITY = ["digest", "n_bytes", "check"]
@@ -47,19 +47,16 @@ def digest_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def merge_runs(rows: DataFrame, fan_in: int = 8) -> DataFrame:
     """One row per text: its identity, ``first`` (doc_id, row_id) and ``group_size``."""
-    spark = rows.sparkSession
-    n_runs = (rows.agg(F.max("run")).first()[0] or 0) + 1
+    last_run, n = rows.agg(F.max("run"), F.count("*")).first()
     run = rows.select("run", *IDENTITY,
                       F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id").alias("first"),
                       F.lit(1).cast("long").alias("group_size"))
-    for _ in range(levels(n_runs, fan_in)):
+    for _ in range(levels((last_run or 0) + 1, fan_in)):
         merged = (run.withColumn("run", F.expr(f"run div {fan_in}").cast("int"))
                   .groupBy("run", *IDENTITY)
                   .agg(F.min("first").alias("first"), F.sum("group_size").alias("group_size"))
-                  .sortWithinPartitions("run", "digest"))
-        path = fresh_dir(spark, "runs")
-        merged.write.parquet(path)
-        run = spark.read.parquet(path)
+                  .coalesce(files_for(n)).sortWithinPartitions("run", "digest"))
+        run = materialize(merged, "runs")
     return run.drop("run")
 
 
