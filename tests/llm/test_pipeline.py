@@ -1,0 +1,48 @@
+from __future__ import annotations
+
+import corpus_pipeline
+import pytest
+
+from tessera.llm.exact_dedup import exact_dedup
+from tessera.llm.quality_classifier import fit, score
+from tessera.llm.simhash_dedup import simhash_classes
+
+
+@pytest.fixture(scope="module")
+def stages(spark, sf_dir):
+    """The input of each stage, and the last stage's output."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    seen = [docs]
+    for _, stage in corpus_pipeline.STAGES:
+        seen.append(stage(spark, seen[-1], sf_dir).persist())
+    return seen
+
+
+def ids(df):
+    return sorted(r["doc_id"] for r in df.select("doc_id").distinct().collect())
+
+
+def test_stages_take_effect(spark, sf_dir, stages):
+    docs, good, distinct, apart, pieces = stages
+    assert good.columns == distinct.columns == apart.columns == docs.columns
+    model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    assert ids(good) == sorted(r["doc_id"] for r in score(docs, model).collect() if r["score"] >= 0.3)
+    assert ids(distinct) == sorted(r["doc_id"] for r in exact_dedup(good).collect() if r["kept"])
+    assert ids(apart) == sorted({r["component_id"] for r in simhash_classes(distinct).collect()})
+    assert ids(pieces) == ids(apart)
+    assert 0 < apart.count() <= distinct.count() < good.count() < docs.count()
+
+
+def test_run_equals_its_stages(spark, sf_dir, stages):
+    rows = corpus_pipeline.run(spark, sf_dir)
+    assert rows.columns == stages[-1].columns
+    key = lambda df: sorted((r["doc_id"], r["start"], r["length"], r["ids_crc32"]) for r in df.collect())
+    assert sum(r[2] for r in key(rows)) == sum(r[2] for r in key(stages[-1]))
+    assert {r[0] for r in key(rows)} == {r[0] for r in key(stages[-1])}
+
+
+def test_no_documents(spark, docs, sf_dir):
+    table = docs([])
+    for _, stage in corpus_pipeline.STAGES:
+        table = stage(spark, table, sf_dir)
+        assert table.count() == 0
