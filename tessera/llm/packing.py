@@ -23,49 +23,83 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import materialize, prefix_sums, prepare_workers
 
-#: Words whose ids a task keeps; only memory depends on it.
-CACHED_WORDS = 400_000
+#: Words and pre-tokens whose ids a worker keeps; only memory depends on it.
+CACHED_WORDS, CACHED_PRE_TOKENS = 400_000, 400_000
 #: Python splits at 0x1C-0x1F as well, the tokenizer's white space is Unicode's alone.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 WHITE_SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
 
-@lru_cache(maxsize=1)  # a worker's tasks share the cache of words
+@lru_cache(maxsize=1)  # a worker's tasks share the caches
 def word_encoder(path: str) -> Callable[[str], np.ndarray]:
-    """Text to ids of the tokenizer at ``path`` (one whose tokens never span white space)."""
+    """Text to ids of the tokenizer at ``path`` (one whose tokens never span white space).
+
+    Words and pre-tokens seen before are looked up. New words of characters below U+0250,
+    on whose classes and lower case all Unicode versions agree, are lower-cased and split
+    here and each new pre-token goes to the tokenizer's model alone; all others go through
+    the whole tokenizer.
+    """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    if tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16:
+        raise ValueError("ids are stored in 16 bits")
+    model, find = tokenizer.model, PRE_TOKENS.findall
 
-    class Ids(dict):
+    class PreTokens(dict):
+        def __missing__(self, piece: str) -> bytes:
+            if len(self) >= CACHED_PRE_TOKENS:
+                self.clear()
+            symbols = piece.encode().decode("latin-1").translate(BYTE_SYMBOLS)
+            self[piece] = out = array("H", [t.id for t in model.tokenize(symbols)]).tobytes()
+            return out
+
+    pre_tokens = PreTokens()
+
+    class Words(dict):
         def __missing__(self, word: str) -> bytes:
             if len(self) >= CACHED_WORDS:
                 self.clear()
-            self[word] = out = np.array(tokenizer.encode(word, add_special_tokens=False).ids, np.uint32).astype("<u2").tobytes()
+            if word.isascii() or max(word) < "\u0250":
+                lower = word.lower()
+                stem = lower.rstrip(PUNCTUATION)
+                if stem.isalpha():  # most words: letters, then punctuation if any
+                    out = pre_tokens[stem] + pre_tokens[lower[len(stem):]] if len(stem) < len(lower) else pre_tokens[stem]
+                else:
+                    out = b"".join(map(pre_tokens.__getitem__, find(lower)))
+            else:
+                out = array("H", tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+            self[word] = out
             return out
 
-    if tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16:
-        raise ValueError("ids are stored in 16 bits")
-    cache = Ids()
+    words = Words()
 
     def encode(text: str) -> np.ndarray:
-        words = [w for w in WHITE_SPACE.split(text) if w] if SEPARATORS.search(text) else text.split()
-        return np.frombuffer(b"".join(map(cache.__getitem__, words)), "<u2")
+        parts = [w for w in WHITE_SPACE.split(text) if w] if SEPARATORS.search(text) else text.split()
+        return np.frombuffer(b"".join(map(words.__getitem__, parts)), np.uint16)
 
     return encode
 
+# Fixed values of byte-level tokenizers: the pre-tokens of lower-case text, and the symbol of each byte.
+PRE_TOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_SYMBOLS = {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(SHOWN)))}
+
 
 def crc_of(ids: np.ndarray) -> int:
     """CRC-32 of the ids as little-endian 32-bit integers."""
@@ -199,7 +233,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2, capacit
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(seq)], ["row_id", "rest_n", "seq"])
 
     ranked = prefix_sums(rests, "row_id", F.lit(1), "rank", group="class").select("row_id", "rest_n", "class", "rank")
-    assigned = materialize(ranked.mapInArrow(assign, "row_id long, rest_n long, seq long"), "assigned")
+    assigned = materialize(ranked.mapInArrow(assign, "row_id long, rest_n long, seq long"), "assigned", sum(r["docs"] for r in found))
 
     # Documents of a pattern lie in their sequence one after the other.
     closed = assigned.where("seq >= 0")
@@ -214,7 +248,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2, capacit
             .where("size > 0"))
     if small:
         gaps = gaps.unionByName(spark.createDataFrame([(whole + i, 0, s) for i, s in enumerate(small)], "seq long, offset long, size long"))
-    gaps = materialize(gaps, "gaps")
+    gaps = materialize(gaps, "gaps", whole)
 
     def binned(df: DataFrame, lo: str, size: str) -> DataFrame:
         return df.withColumn("bin", F.explode(F.sequence(F.expr(f"{lo} div {capacity}"), F.expr(f"({lo} + {size} - 1) div {capacity}"))))
