@@ -166,8 +166,9 @@ def with_references(pages: DataFrame, id_col: str, url_col: str, html_col: str,
                          .withColumn("digest", F.sha2("payload", 256)).withColumn("n", F.octet_length("payload")))
     rows = rows.withColumnRenamed(row, "row")
     long_ones = rows.where(F.col("n") >= least).select("row", "page_id", "digest")
+    n = rows.count()
     firsts = materialize(long_ones.groupBy("digest").agg(F.count("*").alias("rows"), F.min(F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "row")).alias("first"))
-                         .where("rows > 1").select("digest", F.col("first.page_id").alias("ref_page"), F.col("first.row").alias("ref_row")), "firsts")
+                         .where("rows > 1").select("digest", F.col("first.page_id").alias("ref_page"), F.col("first.row").alias("ref_row")), "firsts", n)
     revisits = long_ones.join(firsts, "digest").where("row != ref_row").select("row", "ref_page", "ref_row")
     return rows.drop("n").join(revisits, "row", "left").select("row", "page_id", "url", "payload", "digest", "ref_page", "ref_row")
 
