@@ -29,6 +29,7 @@ from heapq import heappop, heappush
 from itertools import chain
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -37,8 +38,10 @@ from pyspark.sql import functions as F
 from tessera.llm.common import prepare_workers
 
 #: Space-separated pieces and pre-tokens whose ids a task keeps; only memory depends on it.
-CACHED_PIECES, CACHED_PRE_TOKENS = 200_000, 600_000
+CACHED_PIECES, CACHED_PRE_TOKENS = 400_000, 600_000
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 ROWS_AT_ONCE = 512
+NO_PAIR = 1 << 30
 SPACE_AFTER_SPACE = re.compile(r"\s ")
 
 
@@ -53,16 +56,26 @@ class Codec:
         if words > 1 << 12:
             raise ValueError("three levels of 64 bits hold 2**18 ranks")
         self.low, self.mid = [0] * words, [0] * ((words >> 6) + 1)
-        self.buckets: dict[int, list[int]] = {}
+        self.buckets: dict[int, int | list[int]] = {}
+        self.pairs = [self.ranks.get(bytes((a, b)), NO_PAIR) for a in range(256) for b in range(256)]
         self.find = regex.compile(pattern).findall
         self.pre_tokens: dict[str, bytes] = {}
         codec = self
 
+        words_and_marks = pattern == public_tokenizers.PATTERN
+
         class Pieces(dict):
             def __missing__(self, piece: str) -> bytes:
                 if len(self) >= CACHED_PIECES:
                     self.clear()
-                self[piece] = out = codec.matches(" " + piece)
+                stem = piece.rstrip(PUNCTUATION)
+                if words_and_marks and stem.isalpha() and (stem.isascii() or max(stem) < "\u0250"):
+                    out = codec.pre_token(" " + stem)  # the pattern's first match; what follows, if anything, is its second
+                    if len(stem) < len(piece):
+                        out += codec.pre_token(piece[len(stem):])
+                else:
+                    out = codec.matches(" " + piece)
+                self[piece] = out
                 return out
 
         self.pieces = Pieces()
@@ -71,27 +84,37 @@ class Codec:
         """Ids of one pre-token.
 
         The queue is empty before and after. Bit ``r & 63`` of ``low[r >> 6]`` tells that
-        bucket ``r`` holds positions (a heap: the leftmost goes first), ``mid`` and ``top``
-        tell the same of the words below them.
+        bucket ``r`` holds positions (one, or a heap: the leftmost goes first), ``mid`` and
+        ``top`` tell the same of the words below them. Only pairs that would merge before
+        the pairs overlapping them are filed; a merge files those it sets free.
         """
         ranks, low, mid, buckets, n = self.ranks, self.low, self.mid, self.buckets, len(piece)
         whole = ranks.get(piece)
         if whole is not None:
             return [whole]
-        find = ranks.get
-        end = list(range(1, n + 1))  # of the part that starts here
-        before = list(range(-1, n - 1))  # start of the part before it
-        waiting = [find(piece[i:i + 2]) for i in range(n)]  # rank of the pair that starts here
-        waiting[-1] = None
-        top, changed = 0, enumerate(waiting)
+        find, held, pairs = ranks.get, buckets.get, self.pairs
+        end = list(range(1, n + 2))  # of the part that starts here
+        before = list(range(-1, n))  # start of the part before it; the last list item stands for both ends
+        waiting = [pairs[a << 8 | b] for a, b in zip(piece, piece[1:], strict=False)]  # rank of the pair that starts here
+        waiting += (NO_PAIR, NO_PAIR)
+        before[0] = n
+        changed, left, top = [], NO_PAIR, 0
+        for i in range(n - 1):
+            rank = waiting[i]
+            if rank < left and rank <= waiting[i + 1] and rank < NO_PAIR:
+                changed.append(i)
+            left = rank
         while True:
-            for position, rank in changed:
-                if rank is None:
-                    continue
-                if rank in buckets:
-                    heappush(buckets[rank], position)
+            for position in changed:
+                rank = waiting[position]
+                bucket = held(rank)
+                if bucket is not None:
+                    if type(bucket) is int:
+                        buckets[rank] = [bucket, position] if bucket < position else [position, bucket]
+                    else:
+                        heappush(bucket, position)
                     continue
-                buckets[rank] = [position]
+                buckets[rank] = position
                 w = rank >> 6
                 low[w] |= 1 << (rank & 63)
                 mid[w >> 6] |= 1 << (w & 63)
@@ -104,50 +127,65 @@ class Codec:
             x = low[w]
             rank = w << 6 | (x & -x).bit_length() - 1
             bucket = buckets[rank]
-            i = heappop(bucket)
+            if type(bucket) is int:
+                i, bucket = bucket, None
+            else:
+                i = heappop(bucket)
             if not bucket:
                 del buckets[rank]
-                low[w] &= x - 1  # clears the lowest bit
+                low[w] = x & x - 1  # clears the lowest bit
                 if not low[w]:
                     mid[m] &= mid[m] - 1
                     if not mid[m]:
                         top &= top - 1
+            changed = []
             if waiting[i] != rank:  # stale
-                changed = ()
                 continue
             j = end[i]
-            end[i] = k = end[j]
-            waiting[j] = None
+            k = end[i] = end[j]
             h = before[i]
+            ahead_was, next_was = waiting[h], waiting[j]
+            waiting[j] = NO_PAIR
             if k < n:
                 before[k] = i
-                waiting[i] = after = find(piece[i:end[k]])
+                after = waiting[i] = find(piece[i:end[k]], NO_PAIR)
             else:
-                waiting[i] = after = None
-            if h < 0:
-                changed = ((i, after),)
-            else:
-                waiting[h] = ahead = find(piece[h:k])
-                changed = ((h, ahead), (i, after))
+                after = waiting[i] = NO_PAIR
+            ahead = NO_PAIR
+            if h < n:
+                ahead = waiting[h] = find(piece[h:k], NO_PAIR)
+                g = before[h]
+                first = waiting[g]
+                if ahead_was < first <= ahead and first < waiting[before[g]] and first < NO_PAIR:
+                    changed.append(g)
+                if ahead <= after and ahead < first:
+                    changed.append(h)
+            if after < ahead and after <= waiting[k]:
+                changed.append(i)
+            last = waiting[k]
+            if next_was <= last < after and last <= waiting[end[k]]:
+                changed.append(k)
         ids, i = [], 0
         while i < n:
             ids.append(ranks[piece[i:end[i]]])
             i = end[i]
         return ids
 
+    def pre_token(self, t: str) -> bytes:
+        """Ids of one match, four bytes each."""
+        known = self.pre_tokens
+        ids = known.get(t)
+        if ids is None:
+            ids = array("I", self.merged(t.encode())).tobytes()
+            if len(t) < 100:
+                if len(known) >= CACHED_PRE_TOKENS:
+                    known.clear()
+                known[t] = ids
+        return ids
+
     def matches(self, text: str) -> bytes:
         """Ids of all pre-tokens of a text, four bytes each."""
-        known, out = self.pre_tokens, []
-        for t in self.find(text):
-            ids = known.get(t)
-            if ids is None:
-                ids = array("I", self.merged(t.encode())).tobytes()
-                if len(t) < 100:
-                    if len(known) >= CACHED_PRE_TOKENS:
-                        known.clear()
-                    known[t] = ids
-            out.append(ids)
-        return b"".join(out)
+        return b"".join(map(self.pre_token, self.find(text)))
 
     def encode(self, text: str) -> np.ndarray:
         if SPACE_AFTER_SPACE.search(text):
@@ -166,6 +204,11 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
+def id_lists(ids: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids).astype(np.int32)))
+
+
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, ids (array of int)."""
     prepare_workers(docs.sparkSession)
@@ -175,15 +218,28 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
         for whole in batches:
             for i in range(0, whole.num_rows, ROWS_AT_ONCE):
                 b = whole.slice(i, ROWS_AT_ONCE)
-                ids = [c.encode(t.as_py() or "") for t in b.column(1)]
-                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-                values = pa.array(np.concatenate(ids).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(ends), values)], ["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([b.column(0), id_lists([c.encode(t.as_py() or "") for t in b.column(1)])], ["doc_id", "ids"])
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, ids array<int>")
 
 
+def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: doc_id, ids, decoded: ``encode`` and ``decode`` of its ids in one pass of one worker."""
+    prepare_workers(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = codec(path, pattern)
+        for whole in batches:
+            for i in range(0, whole.num_rows, ROWS_AT_ONCE):
+                b = whole.slice(i, ROWS_AT_ONCE)
+                ids = [c.encode(t.as_py() or "") for t in b.column(1)]
+                yield pa.RecordBatch.from_arrays([b.column(0), id_lists(ids), pa.array(map(c.decode, ids), pa.binary())], ["doc_id", "ids", "decoded"])
+
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
+
+
 def decode(tokens: DataFrame, path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
     """``tokens`` (doc_id, ids, ...) as doc_id, ids, decoded (bytes; null ids: none)."""
     prepare_workers(tokens.sparkSession)

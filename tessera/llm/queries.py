@@ -22,8 +22,7 @@ from tessera.llm.warc import locate_records, read_records, write_archives
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    with_codec = (public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    both = bpe.decode(bpe.encode(read(spark, sf_dir, "documents"), *with_codec), *with_codec)
+    both = bpe.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))

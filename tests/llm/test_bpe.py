@@ -42,9 +42,11 @@ def test_long_pre_tokens(reference):
 def test_odd_rows(docs, odd_texts, reference):
     table = docs(odd_texts)
     found = bpe.decode(bpe.encode(table, PATH, PATTERN), PATH, PATTERN).collect()
+    at_once = bpe.round_trip(table, PATH, PATTERN).collect()
     key = lambda r: (str(r[0]), len(r[1]), str(r[1]))
     want = sorted(((i, reference.encode_ordinary(t or ""), (t or "").encode()) for i, t in odd_texts), key=key)
     assert sorted(((r["doc_id"], r["ids"], bytes(r["decoded"])) for r in found), key=key) == want
+    assert sorted(((r["doc_id"], r["ids"], bytes(r["decoded"])) for r in at_once), key=key) == want
     assert bpe.encode(docs([]), PATH, PATTERN).count() == 0
 
 
