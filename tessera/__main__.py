@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 
 from tessera.plans.pipeline import SilverTarget, bronze_to_silver
 from tessera.session import apply_pipeline_conf
-from tessera.sinks.silver import DEFAULT_BUCKETS
 from tessera.streaming.stream import MAX_FILES_PER_TRIGGER, PROCESSING_TIME, stream_silver
 
 
@@ -40,7 +39,7 @@ def main(argv: list[str] | None = None) -> None:
         p.add_argument("--silver-root", required=True)
         p.add_argument("--table-path", required=True)
         p.add_argument("--table", default=None, help="catalog name, e.g. silver.telemetry_decoded")
-        p.add_argument("--buckets", type=int, default=DEFAULT_BUCKETS)
+        p.add_argument("--buckets", type=int, default=None, help="of a table that is made now; an existing one keeps its own")
         p.add_argument("--rejects-path", default=None)
         p.add_argument("--outcomes-path", default=None, help="append per-object outcomes here")
     rp = sub.choices["reprocess"]

@@ -73,7 +73,7 @@ def _dispatch_condition(docs: DataFrame, layout: DataFrame) -> Column:
 
 def _well_formed(payload: Column, payload_bytes: Column) -> Column:
     """Hex digits only and exactly the layout's length (``conv`` would read junk as 0)."""
-    return payload.rlike("^[0-9a-fA-F]+$") & (F.length(payload) == payload_bytes * 2)
+    return payload.rlike("\\A[0-9a-fA-F]+\\z") & (F.length(payload) == payload_bytes * 2)
 
 
 def bit_slice(payload: str, offset: str, width: str) -> Column:
@@ -107,10 +107,13 @@ def decode_records(documents: DataFrame, fields=None) -> DataFrame:
     malformed payload yield no rows (see ``decode_audit``).
     """
     spark = documents.sparkSession
-    layout = F.broadcast(layout_table(spark, fields))
+    # The header join tests each document once; the fields of its layout come after it.
+    heads = F.broadcast(layout_headers(spark, fields))
     docs = decodable(documents)
-    joined = (docs.join(layout, _dispatch_condition(docs, layout), "inner")
-              .where(_well_formed(F.col("payload_hex"), F.col("l_payload_bytes"))))
+    well_formed = (docs.join(heads, _dispatch_condition(docs, heads), "inner")
+                   .where(_well_formed(F.col("payload_hex"), F.col("l_payload_bytes"))).drop(*heads.columns))
+    layout = F.broadcast(layout_table(spark, fields))
+    joined = well_formed.join(layout, _dispatch_condition(well_formed, layout), "inner")
     carried = [c for c in ("object_key", "delivery_time", "delivery_seq") if c in documents.columns]
     return joined.select(
         F.col("l_field").alias("name"),

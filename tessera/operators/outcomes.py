@@ -33,8 +33,8 @@ def object_outcomes(documents: DataFrame, silver_root: str, fields=None) -> Data
     per_obj = per_device.groupBy("object_key").agg(
         F.sum("n_documents").alias("n_documents"),
         F.sum("n_records").alias("n_records"),
-        F.min(F.when(ok, F.col("technology"))).alias("_tech"),
-        F.min(F.when(ok, F.col("id_controller"))).alias("_device"),
+        # One device's own pair: a mixed object must not name a directory that does not exist.
+        F.min(F.when(ok, F.struct("technology", "id_controller"))).alias("_place"),
         ((F.min("id_controller") == F.max("id_controller"))
          & (F.min("extraction_id") == F.max("extraction_id"))).alias("single_device"))
     n_records = F.coalesce(F.col("n_records"), F.lit(0)).cast("long")
@@ -44,6 +44,6 @@ def object_outcomes(documents: DataFrame, silver_root: str, fields=None) -> Data
         F.col("n_documents").cast("long").alias("n_documents"),
         n_records.alias("n_records"),
         F.when(processed, "processed").otherwise("empty").alias("status"),
-        F.when(processed, silver_prefix(silver_root, F.col("_tech"), F.col("_device"))).alias("silver_prefix"),
+        F.when(processed, silver_prefix(silver_root, F.col("_place.technology"), F.col("_place.id_controller"))).alias("silver_prefix"),
         F.coalesce(F.col("single_device"), F.lit(True)).alias("single_device"),
     )

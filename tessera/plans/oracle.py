@@ -238,4 +238,36 @@ with {BRONZE_CHUNKS.strip()},
 {_documents('bronze_chunks').strip()},
 {_records().strip()}
 select * from records""",
+
+    "silver_redelivered": f"""
+with {BRONZE_CHUNKS.strip()},
+{BRONZE_DELIVERIES.strip()},
+{_documents('bronze_deliveries', ', object_key, delivery_seq').strip()},
+{_records(', r.delivery_seq').strip()},
+second as (select * from records where delivery_seq = 2)
+select name, value, timestamp, technology, device_id, extraction_id from records r1
+where delivery_seq = 1 and not exists (
+  select 1 from second s where s.technology = r1.technology and s.device_id = r1.device_id
+    and s.extraction_id = r1.extraction_id and cast(s.timestamp as date) = cast(r1.timestamp as date))
+union all
+select name, value, timestamp, technology, device_id, extraction_id from second""",
+
+    "reprocess_outcomes": f"""
+with {BRONZE_CHUNKS.strip()},
+{_documents('bronze_chunks').strip()},
+{_records().strip()},
+per_doc as (select extraction_id, cast(substr(extraction_id, 5) as bigint) as no, count(*) as docs from documents group by 1, 2),
+per_rec as (select extraction_id, count(*) as recs from records group by 1)
+select d.extraction_id,
+  case when no % 7 = 0 then 'unreadable' when r.recs > 0 then 'processed' else 'empty' end as status,
+  case when no % 7 = 0 then 0 else docs end as n_documents,
+  case when no % 7 = 0 then 0 else coalesce(r.recs, 0) end as n_records,
+  no % 7 = 0 as has_error
+from per_doc d left join per_rec r using (extraction_id)
+union all
+select extraction_id, 'missing', 0, 0, true from per_doc where no % 5 = 0""",
 }
+# Same results by other ways: the interrupted and the named table hold what the plain one does, and
+# damaged re-deliveries leave the table as it was.
+ORACLE["upsert_after_interruption"] = ORACLE["catalog_roundtrip"] = ORACLE["telemetry_upserted"]
+ORACLE["object_integrity"] = ORACLE["telemetry_decoded"]

@@ -8,6 +8,7 @@ processing the objects one after another would leave behind.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,11 +16,12 @@ from pyspark.sql import functions as F
 
 from tessera.operators import (audit_reason, decode_records, last_delivery_wins, object_outcomes,
                                reassemble, resolve_technology)
-from tessera.sinks.silver import DEFAULT_BUCKETS, upsert_telemetry, write_silver_files
-from tessera.sources import existing_keys, read_bronze
-from tessera.session import fresh_dir
+from tessera.sinks.silver import delete_files, ensure_schemas, files_before, write_silver_files
+from tessera.sinks.table import upsert_telemetry
+from tessera.sources import chunk_rows, keys_table, read_objects
+from tessera.session import delete_dir, fresh_dir, materialize
 
-OUTCOME_COLUMNS = ["object_key", "n_documents", "n_records", "status", "silver_prefix", "single_device"]
+OUTCOME_COLUMNS = ["object_key", "n_documents", "n_records", "status", "silver_prefix", "single_device", "error"]
 
 
 def documents_of(chunks: DataFrame) -> DataFrame:
@@ -32,14 +34,20 @@ def records_of(chunks: DataFrame, fields=None) -> DataFrame:
     return decode_records(documents_of(chunks), fields)
 
 
-def write_rejects(docs: DataFrame, path: str, fields=None) -> None:
+def write_rejects(docs: DataFrame, objects: DataFrame, path: str, fields=None) -> None:
     """B10 side table: every document that yields no records, with the reason and
-    the ids needed to find it again (extraction, device, sequence, object)."""
-    carried = [c for c in ("object_key",) if c in docs.columns]
+    the ids needed to find it again (extraction, device, sequence, object).
+
+    One directory per object (a digest of its key): the rejects of the batch's
+    ``objects`` (object_key) replace those of earlier runs, also by none.
+    """
+    object_id = F.sha1(F.col("object_key"))
+    old = files_before(objects.select(object_id.alias("object_id")), path, ["object_id"])
     (audit_reason(docs, fields).where(F.col("decode_reason") != "ok")
      .select("extraction_id", "id_controller", "document_sequence", "technology", "ble_version", "type",
-             *carried, "decode_reason")
-     .write.mode("append").partitionBy("decode_reason").parquet(path))
+             "object_key", "decode_reason", object_id.alias("object_id"))
+     .write.mode("append").partitionBy("object_id").parquet(path))
+    delete_files(old, path)
 
 
 def _stage(df: DataFrame, path: str) -> DataFrame:
@@ -49,78 +57,59 @@ def _stage(df: DataFrame, path: str) -> DataFrame:
 
 @dataclass
 class SilverTarget:
-    """Where a batch goes: Silver file root, table path (and optional catalog name)."""
+    """Where a batch goes: Silver file root, table path (and optional catalog name).
+
+    ``buckets``: of a table that is made now; an existing one keeps its own.
+    """
     silver_root: str
     table_path: str
     table: str | None = None
-    buckets: int = DEFAULT_BUCKETS
+    buckets: int | None = None
     file_partitions: int | None = None
     rejects_path: str | None = None
 
 
-def process_chunks(chunks: DataFrame, target: SilverTarget, fields=None,
-                   work_dir: str | None = None) -> DataFrame:
-    """Run one batch of Bronze chunks to the Silver sinks; returns per-object outcomes.
+def bronze_to_silver(spark: SparkSession, bronze_root: str, keys: Iterable[str] | DataFrame | None,
+                     target: SilverTarget, fields=None) -> DataFrame:
+    """Read the named objects (a list, a table ``object_key``, or every object below
+    ``bronze_root``), refine, write; the written outcomes, one row per object.
+
+    A bad object never fails its neighbours, and writes nothing: ``processed``, ``empty``
+    (read, nothing decoded), ``unreadable`` (damaged, not fitting, or without rows) or
+    ``missing``; the last two carry an ``error`` text and can be re-run with ``reprocess``.
 
-    Documents and the winning records are written once to a staging folder in
-    the shared work area. That cuts the lineage (a lost executor re-reads staged
-    files instead of re-scanning Bronze) and lets both sinks and the outcome
-    report read the same rows without recomputation.
+    Objects are read once and staged with their status; documents and winning records are
+    staged too, which cuts the lineage and lets sinks and outcomes read the same rows.
+    These stages are removed when the batch is written; only its outcomes stay.
     """
-    spark = chunks.sparkSession
-    work = work_dir or fresh_dir(spark, "batch")
-    docs = _stage(documents_of(chunks), f"{work}/documents")
+    work = fresh_dir(spark, "batch")
+    objects = _stage(read_objects(keys_table(spark, bronze_root, keys), bronze_root), f"{work}/objects")
+    asked = objects.where("object_status IS NOT NULL").select("object_key", "object_status", "error")
+    docs = _stage(documents_of(chunk_rows(objects)), f"{work}/documents")
+    if target.table:
+        ensure_schemas(spark, target.silver_root)
     if target.rejects_path:
-        write_rejects(docs, target.rejects_path, fields)
-    decoded = decode_records(docs, fields)
-    winners = _stage(last_delivery_wins(decoded), f"{work}/records")
+        write_rejects(docs, asked, target.rejects_path, fields)
+    winners = _stage(last_delivery_wins(decode_records(docs, fields)), f"{work}/records")
     if not winners.isEmpty():
         write_silver_files(winners, target.silver_root, target.file_partitions)
-        upsert_telemetry(winners, target.table_path, work_root=f"{work}/upsert",
-                         buckets=target.buckets, table=target.table)
-    return object_outcomes(docs, target.silver_root, fields).select(*OUTCOME_COLUMNS)
-
-
-def bronze_to_silver(spark: SparkSession, bronze_root: str, keys: list[str] | None,
-                     target: SilverTarget, fields=None) -> DataFrame:
-    """Read the named objects (or every object below ``bronze_root``), refine, write.
-
-    A bad object never fails its neighbours. With explicit keys every requested
-    key gets an outcome: ``processed``, ``empty`` (read, nothing decoded),
-    ``unreadable`` (exists but gave no chunk rows: corrupt or empty file) or
-    ``missing``; the last two carry an ``error`` text and can be re-run with
-    ``reprocess``.
-    """
-    if keys is None:
-        return (process_chunks(read_bronze(spark, bronze_root), target, fields)
-                .withColumn("error", F.lit(None).cast("string")))
-    requested = sorted(set(keys))
-    present, missing = existing_keys(spark, bronze_root, requested)
-    schema = "object_key string, n_documents long, n_records long, status string, silver_prefix string, " \
-             "single_device boolean"
-    outcomes = (process_chunks(read_bronze(spark, bronze_root, present), target, fields)
-                if present else spark.createDataFrame([], schema))
-    # The requested keys are control-plane data (one row per object of the batch).
-    found = set(present)
-    asked = spark.createDataFrame([(k, k in found) for k in requested], "object_key string, present boolean")
-    joined = asked.join(outcomes, "object_key", "left")
-    status = (F.when(~F.col("present"), "missing")
-              .when(F.col("status").isNull(), "unreadable")
-              .otherwise(F.col("status")))
-    error = (F.when(~F.col("present"), F.lit("object not found"))
-             .when(F.col("status").isNull(), F.lit("no readable chunk rows (corrupt or empty object)")))
-    return joined.select(
+        upsert_telemetry(winners, target.table_path, buckets=target.buckets, table=target.table, staged=True)
+    decoded = object_outcomes(docs, target.silver_root, fields)
+    outcomes = asked.join(decoded, "object_key", "left").select(
         "object_key",
         F.coalesce("n_documents", F.lit(0).cast("long")).alias("n_documents"),
         F.coalesce("n_records", F.lit(0).cast("long")).alias("n_records"),
-        status.alias("status"),
+        F.when(F.col("object_status") == "read", F.coalesce("status", F.lit("empty"))).otherwise(F.col("object_status")).alias("status"),
         "silver_prefix",
         F.coalesce("single_device", F.lit(True)).alias("single_device"),
-        error.alias("error"),
+        "error",
     )
+    outcomes = materialize(outcomes.select(*OUTCOME_COLUMNS), "outcomes")
+    delete_dir(spark, work)
+    return outcomes
 
 
-def reprocess(spark: SparkSession, bronze_root: str, keys: list[str], target: SilverTarget,
+def reprocess(spark: SparkSession, bronze_root: str, keys: Iterable[str], target: SilverTarget,
               fields=None) -> DataFrame:
     """Manual re-run of explicit object keys (same path as the automatic one)."""
     return bronze_to_silver(spark, bronze_root, list(keys), target, fields)

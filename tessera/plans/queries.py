@@ -19,8 +19,8 @@ from tessera.operators import (decode_audit, last_delivery_wins, object_outcomes
 from tessera.plans.pipeline import SilverTarget, documents_of, records_of
 from tessera.schemas import DOCUMENT_KEYS
 from tessera.session import fresh_dir, materialize
-from tessera.sinks.silver import (read_silver_files, read_table_rows, silver_file_rows,
-                                  upsert_telemetry, write_silver_files)
+from tessera.sinks.silver import ensure_schemas, read_silver_files, silver_file_rows, write_silver_files
+from tessera.sinks.table import read_table_rows, upsert_telemetry
 from tessera.sources import (bronze_chunks, bronze_deliveries, notification_payloads,
                              parse_notifications, read_table)
 
@@ -85,11 +85,9 @@ def q_telemetry_upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Both upserts read the decoded deliveries: materialize once in the shared
     # folder instead of recomputing the scan and the reassembly shuffle per upsert.
     records = materialize(records_of(_deliveries(spark, sf_dir)), "q-upserted-records")
-    work = fresh_dir(spark, "q-upserted")
-    table_path = f"{work}/table"
+    table_path = f"{fresh_dir(spark, 'q-upserted')}/table"
     for seq in (1, 2):
-        upsert_telemetry(records.where(F.col("delivery_seq") == seq), table_path,
-                         work_root=f"{work}/stage-{seq}", buckets=8)
+        upsert_telemetry(records.where(F.col("delivery_seq") == seq), table_path, buckets=8, staged=True)
     return telemetry(read_table_rows(spark, table_path))
 
 
@@ -128,6 +126,85 @@ def q_stream_availablenow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telemetry(read_table_rows(spark, target.table_path))
 
 
+def q_upsert_after_interruption(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``telemetry_upserted``, but the second upsert first breaks off after it has written
+    its merged buckets and before they become a version; then it is run again."""
+    from tessera.sinks.table import interrupted_upsert
+
+    records = materialize(records_of(_deliveries(spark, sf_dir)), "q-interrupted-records")
+    table_path = f"{fresh_dir(spark, 'q-interrupted')}/table"
+    first, second = (records.where(F.col("delivery_seq") == seq) for seq in (1, 2))
+    upsert_telemetry(first, table_path, buckets=8, staged=True)
+    interrupted_upsert(second, table_path)
+    upsert_telemetry(second, table_path, staged=True)
+    return telemetry(read_table_rows(spark, table_path))
+
+
+def q_silver_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver files of the first deliveries, then of the second ones over them; read back."""
+    records = materialize(records_of(_deliveries(spark, sf_dir)), "q-redelivered-records")
+    root = fresh_dir(spark, "q-redelivered")
+    for seq in (1, 2):
+        write_silver_files(records.where(F.col("delivery_seq") == seq), root)
+    return read_silver_files(spark, root).select(
+        "name", "value", "timestamp", F.col("source_technology").alias("technology"),
+        F.col("source_device_id").alias("device_id"), F.col("source_extraction_id").alias("extraction_id"))
+
+
+def _staged_objects(spark: SparkSession, sf_dir: str, work: str) -> tuple[str, DataFrame]:
+    """Bronze objects of all extractions, and their keys with the number of the extraction."""
+    from tessera.plans.staging import stage_bronze_objects
+    from tessera.sources import list_objects
+
+    bronze_root = f"{work}/bronze"
+    stage_bronze_objects(_chunks(spark, sf_dir), bronze_root)
+    number = F.regexp_extract("object_key", "extraction=ext-([0-9]+)/", 1).cast("long")
+    return bronze_root, materialize(list_objects(spark, bronze_root).withColumn("extraction_no", number), "q-keys")
+
+
+def q_object_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All objects are refined; then every seventh is re-delivered with damage inside, and all
+    are refined again: the table keeps the rows that damaged objects had."""
+    from tessera.plans.pipeline import bronze_to_silver
+    from tessera.plans.staging import damage_objects
+
+    work = fresh_dir(spark, "q-integrity")
+    bronze_root, keys = _staged_objects(spark, sf_dir, work)
+    target = SilverTarget(silver_root=f"{work}/silver", table_path=f"{work}/table", buckets=8)
+    bronze_to_silver(spark, bronze_root, None, target)
+    damage_objects(keys.where("extraction_no % 7 = 0"), bronze_root)
+    bronze_to_silver(spark, bronze_root, None, target)
+    return telemetry(read_table_rows(spark, target.table_path))
+
+
+def q_reprocess_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcome of every asked key: sound, without decodable documents, damaged, and missing objects."""
+    from tessera.plans.pipeline import bronze_to_silver
+    from tessera.plans.staging import damage_objects
+
+    work = fresh_dir(spark, "q-outcomes")
+    bronze_root, keys = _staged_objects(spark, sf_dir, work)
+    damage_objects(keys.where("extraction_no % 7 = 0"), bronze_root)
+    asked = keys.select("object_key").unionByName(
+        keys.where("extraction_no % 5 = 0").select(F.concat(F.lit("telemetry/extraction=ext-"), F.col("extraction_no").cast("string"), F.lit("/gone +%25.parquet")).alias("object_key")))
+    target = SilverTarget(silver_root=f"{work}/silver", table_path=f"{work}/table", buckets=8)
+    outcomes = bronze_to_silver(spark, bronze_root, asked, target)
+    return outcomes.select(F.regexp_extract("object_key", "extraction=(ext-[0-9]+)/", 1).alias("extraction_id"), "status", "n_documents", "n_records",
+                           F.col("error").isNotNull().alias("has_error"))
+
+
+def q_catalog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two upserts of a table that the catalog shows, read by its name."""
+    import uuid
+
+    records = materialize(records_of(_deliveries(spark, sf_dir)), "q-catalog-records")
+    work, name = fresh_dir(spark, "q-catalog"), f"silver.telemetry_{uuid.uuid4().hex[:12]}"
+    ensure_schemas(spark, work)
+    for seq in (1, 2):
+        upsert_telemetry(records.where(F.col("delivery_seq") == seq), f"{work}/table", buckets=8, table=name, staged=True)
+    return telemetry(spark.table(name))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "notifications_qualified": q_notifications_qualified,
     "technology_resolved": q_technology_resolved,
@@ -141,4 +218,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "object_outcomes": q_object_outcomes,
     "silver_roundtrip": q_silver_roundtrip,
     "stream_availablenow": q_stream_availablenow,
+    "upsert_after_interruption": q_upsert_after_interruption,
+    "silver_redelivered": q_silver_redelivered,
+    "object_integrity": q_object_integrity,
+    "reprocess_outcomes": q_reprocess_outcomes,
+    "catalog_roundtrip": q_catalog_roundtrip,
 }

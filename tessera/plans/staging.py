@@ -7,11 +7,14 @@ notification per object (URL-encoded key, as the bucket sends it).
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.schemas import BRONZE_CHUNKS
+from tessera.session import prepare_workers
 from tessera.sources.bronze import object_key_of
+from tessera.sources.files import file_system
 
 
 def stage_bronze_objects(chunks: DataFrame, bronze_root: str) -> str:
@@ -49,3 +52,23 @@ def stage_notifications(spark: SparkSession, bronze_root: str, feed_dir: str, fi
     payload = F.to_json(F.struct(F.array(record).alias("Records")))
     objects.select(payload.alias("value")).repartition(files).write.mode("overwrite").text(feed_dir)
     return feed_dir
+
+
+def damage_objects(objects: DataFrame, bronze_root: str) -> int:
+    """Overwrite bytes in the middle of the named objects (object_key), as a failing disk
+    or a torn upload would; their footers stay. For end-to-end runs; done by tasks."""
+    prepare_workers(objects.sparkSession)
+
+    def run(batches):
+        fs, base = file_system(bronze_root.rstrip("/"))
+        n = 0
+        for b in batches:
+            for key in b.column(0).to_pylist():
+                with fs.open_input_file(f"{base}/{key}") as f:
+                    data = f.read()
+                with fs.open_output_stream(f"{base}/{key}") as f:
+                    f.write(data[:4] + b"\xff" * 64 + data[68:])
+                n += 1
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+
+    return objects.select("object_key").mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0

@@ -53,15 +53,20 @@ def apply_pipeline_conf(spark: SparkSession) -> None:
 def shared_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment and is visible to every executor.
-    Only when it is unset (local tests, the bench) a fresh folder is created and
-    registered as the checkpoint dir, so later ``checkpoint()`` calls use it too.
+    On a cluster this is set by the deployment and is visible to every executor;
+    a session on a cluster without it is refused, since a folder made here would be
+    another one on every machine. Only a local session (tests, the bench) gets a
+    fresh folder, registered as the checkpoint dir, so that ``checkpoint()`` uses it
+    too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = jdir.get() if jdir.isDefined() else None
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         root = tempfile.mkdtemp(prefix="tessera-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
@@ -84,3 +89,19 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     path = fresh_dir(spark, purpose)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def delete_dir(spark: SparkSession, path: str) -> None:
+    """Remove a folder of intermediate files that nothing reads any more."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+def prepare_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver found it (local
+    mode, a shared mount). Elsewhere ship it with ``--py-files``."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    entries = [x for x in env.get("PYTHONPATH", "").split(os.pathsep) if x]
+    if root not in entries:
+        env["PYTHONPATH"] = os.pathsep.join([*entries, root])

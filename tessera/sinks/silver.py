@@ -1,32 +1,24 @@
-"""Silver files and the replace-by-extraction table."""
+"""Silver files, and the namespaces of the catalog."""
 
 from __future__ import annotations
 
-import re
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.functions import date_parts, path_safe
-from tessera.schemas import SILVER_FILE, SILVER_PARTITIONS, TELEMETRY, TELEMETRY_COLUMNS
-from tessera.session import fresh_dir
+from tessera.schemas import SILVER_FILE, SILVER_PARTITIONS
+from tessera.session import materialize, prepare_workers
+from tessera.sources.files import file_system
 
-TABLE_KEY = ["technology", "device_id", "extraction_id"]
-# A replace rewrites every bucket it touches, so a bucket should stay small
-# (a few hundred MB): size the count as table bytes / ~256 MB (``buckets_for``).
-DEFAULT_BUCKETS = 256
+#: Fixed values of Hive partition directories.
+ESCAPED = frozenset("\"#%'*/:=?\\\x7f{[]^") | {chr(i) for i in range(1, 32)}
+DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
-def buckets_for(table_bytes: int, bucket_bytes: int = 256 << 20) -> int:
-    """Bucket count that keeps one bucket near ``bucket_bytes`` (a power of two)."""
-    want = max(1, -(-table_bytes // bucket_bytes))
-    return 1 << (want - 1).bit_length()
-
-
-# ---------------------------------------------------------------- B14: files
-
 def silver_file_rows(records: DataFrame) -> DataFrame:
     """Records in the Silver file layout: raw envelope values as ``source_*`` data
     columns, sanitized ones (and year/month/day) as partition columns."""
@@ -42,87 +34,74 @@ def silver_file_rows(records: DataFrame) -> DataFrame:
     )
 
 
-# Above this many output directories in one write, existence is not probed per
-# directory (the probe list would be large); dynamic overwrite handles it.
-MAX_PROBED_DIRS = 50_000
-
+def partition_dir(column: str, value: object) -> str:
+    """Name of a partition directory as Spark writes it."""
+    text = "" if value is None else str(value)
+    return f"{column}=" + ("".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in text) or DEFAULT_PARTITION)
 
-_PLAIN_VALUE = re.compile(r"^[A-Za-z0-9_.\-]+$")
 
+def files_before(dirs: DataFrame, target: str, columns: list[str] = SILVER_PARTITIONS) -> DataFrame:
+    """Written table (path) of the data files that the partition directories ``dirs`` hold now; listed by tasks."""
+    prepare_workers(dirs.sparkSession)
+    columns = list(columns)
 
-def _dir_paths(target: str, dirs) -> list[str] | None:
-    """Paths of the output directories, or None when a value would be escaped or
-    defaulted by the writer (then the probe could miss a directory)."""
-    values = [[str(row[c]) if row[c] is not None else "" for c in SILVER_PARTITIONS] for row in dirs]
-    if any(not _PLAIN_VALUE.match(v) for vals in values for v in vals):
-        return None
-    return [target + "/" + "/".join(f"{c}={v}" for c, v in zip(SILVER_PARTITIONS, vals)) for vals in values]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = file_system(target)
+        for b in batches:
+            found = []
+            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                path = "/".join([root, *(partition_dir(c, v) for c, v in zip(columns, row, strict=True))])
+                selector = pyarrow.fs.FileSelector(path, allow_not_found=True)
+                found += [x.path for x in fs.get_file_info(selector) if x.base_name.endswith(".parquet")]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["path"])
 
+    return materialize(dirs.select(*columns).distinct().mapInArrow(run, "path string"), "old-files")
 
-def existing_paths(spark: SparkSession, paths: list[str]) -> set[str]:
-    """Which of many paths exist: metadata calls overlapped on the driver
-    (object-store calls are latency bound)."""
-    if not paths:
-        return set()
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    fs = jvm.org.apache.hadoop.fs.Path(paths[0]).getFileSystem(conf)
 
-    def exists(path: str) -> bool:
-        return bool(fs.exists(jvm.org.apache.hadoop.fs.Path(path)))
+def delete_files(files: DataFrame, target: str) -> int:
+    """Remove files (path) by tasks; files that are gone already are fine. How many there were."""
 
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        return {p for p, ok in zip(paths, pool.map(exists, paths)) if ok}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, _ = file_system(target)
+        n = 0
+        for b in batches:
+            for path in b.column(0).to_pylist():
+                if fs.get_file_info(path).type != pyarrow.fs.FileType.NotFound:
+                    fs.delete_file(path)
+                n += 1
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
 
-
-def any_dir_exists(spark: SparkSession, dir_paths: list[str]) -> bool:
-    """Whether any output directory exists, probing devices first: a directory
-    can only exist below an existing device directory, so new devices (one probe
-    each) need no probe of their day/extraction directories."""
-    device_of = {p: p.split("/year=", 1)[0] for p in dir_paths}
-    present = existing_paths(spark, sorted(set(device_of.values())))
-    return bool(existing_paths(spark, [p for p, d in device_of.items() if d in present]))
+    return files.mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
 def write_silver_files(records: DataFrame, silver_root: str, partitions: int | None = None) -> str:
     """Write ``<root>/telemetry/technology=/device_id=/year=/month=/day=/extraction_id=``.
 
     A re-delivered extraction replaces its own directories and leaves every other
-    extraction (also of the same day) alone: dynamic partition overwrite. When
-    none of the directories of this write exist yet (new extractions, the usual
-    case) there is nothing to replace and the rows are appended, which skips the
-    staging-and-rename commit. Rows are range-partitioned on the partition
-    columns plus time, so small extractions share a task (few files) while a hot
-    extraction is split over several tasks instead of landing in one.
-
-    The input is read several times (directory list, range sample, write): pass
+    extraction (also of the same day) alone. One path for every size: tasks list the
+    files that the directories of this write hold (none for new extractions), the rows
+    are appended, and tasks then remove the files listed before. A write that fails in
+    between is repeated from the start; the second run lists what the first one left,
+    so it ends in the same state. Nothing of this is gathered in the driver.
+
+    Rows are range-partitioned on the partition columns plus time, so small extractions
+    share a task (few files) while a hot extraction is split over several tasks.
+
+    The input is read several times (directories, range sample, write): pass
     materialized rows (staged files or a checkpoint), as the pipeline does.
     """
     spark = records.sparkSession
     target = f"{silver_root.rstrip('/')}/telemetry"
     rows = silver_file_rows(records)
-    # Directory list of this write: one row per output file, control-plane sized
-    # up to MAX_PROBED_DIRS.
-    dirs = rows.select(*SILVER_PARTITIONS).distinct().limit(MAX_PROBED_DIRS + 1).collect()
-    n_dirs = len(dirs) if len(dirs) <= MAX_PROBED_DIRS else rows.select(*SILVER_PARTITIONS).distinct().count()
-    # An explicit task count (sized by the deployment through shuffle partitions),
-    # so AQE does not coalesce small inputs into one task that opens every file
-    # of every directory serially; never more tasks than directories, so a small
-    # directory is not cut into several files.
-    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                          spark.sparkContext.defaultParallelism)
-    n = max(1, min(n, n_dirs))
-    ordered = rows.repartitionByRange(n, *SILVER_PARTITIONS, "timestamp", "name")
-    writer = ordered.write.partitionBy(*SILVER_PARTITIONS)
-    probe = _dir_paths(target, dirs) if n_dirs <= MAX_PROBED_DIRS else None
-    fresh = (not has_partitions(spark, target, "technology")
-             or (probe is not None and not any_dir_exists(spark, probe)))
-    if fresh:
-        # Nothing to replace. A replay after a crash finds the directories and
-        # takes the overwrite path, so it converges to the same files.
-        writer.mode("append").parquet(target)
-    else:
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(target)
+    dirs = materialize(rows.select(*SILVER_PARTITIONS).distinct(), "silver-dirs")
+    old = files_before(dirs, target)
+    # An explicit task count (sized by the deployment through shuffle partitions), so
+    # AQE does not coalesce small inputs into one task that opens every file serially;
+    # never more tasks than directories, so a small directory is not cut into several files.
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    (rows.repartitionByRange(max(1, min(n, dirs.count())), *SILVER_PARTITIONS, "timestamp", "name")
+     .write.mode("append").partitionBy(*SILVER_PARTITIONS).parquet(target))
+    delete_files(old, target)
     return target
 
 
@@ -132,87 +111,7 @@ def read_silver_files(spark: SparkSession, silver_root: str) -> DataFrame:
     return spark.read.schema(SILVER_FILE).parquet(f"{silver_root.rstrip('/')}/telemetry")
 
 
-# ---------------------------------------------------------------- B17: catalog
-
 def ensure_schemas(spark: SparkSession, root: str, names=("bronze", "silver", "gold")) -> None:
+    """Namespaces of the catalog, below ``root``."""
     for name in names:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name} LOCATION '{root.rstrip('/')}/{name}.db'")
-
-
-def has_partitions(spark: SparkSession, path: str, first_level: str) -> bool:
-    """True when ``path`` holds at least one ``<first_level>=`` partition directory.
-
-    (Dynamic partition overwrite writes no ``_SUCCESS`` marker, so the partition
-    directories themselves are the evidence.) One metadata call on the driver.
-    """
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(jpath):
-        return False
-    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/{first_level}=*"))
-    return found is not None and len(found) > 0
-
-
-def register_table(spark: SparkSession, table: str, path: str) -> None:
-    """Expose the table path in the catalog; bucket directories are recovered as
-    catalog partitions (one listing of at most ``buckets`` directories)."""
-    if not spark.catalog.tableExists(table):
-        if "." in table:
-            # Namespace in the session catalog's warehouse (first use creates it).
-            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {table.rsplit('.', 1)[0]}")
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING parquet LOCATION '{path}'")
-    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
-    spark.sql(f"REFRESH TABLE {table}")
-
-
-# ---------------------------------------------------------------- B15: table
-
-def with_bucket(records: DataFrame, buckets: int) -> DataFrame:
-    return records.withColumn("bucket", F.pmod(F.xxhash64(*TABLE_KEY), F.lit(buckets)).cast("int"))
-
-
-TABLE_FILE = T.StructType(TELEMETRY.fields + [T.StructField("bucket", T.IntegerType(), True)])
-
-
-def read_table_rows(spark: SparkSession, table_path: str) -> DataFrame:
-    return spark.read.schema(TABLE_FILE).parquet(table_path)
-
-
-def upsert_telemetry(records: DataFrame, table_path: str, work_root: str | None = None,
-                     buckets: int = DEFAULT_BUCKETS, table: str | None = None) -> str:
-    """Replace the rows of every (technology, device_id, extraction_id) in ``records``.
-
-    Equivalent to ``DELETE WHERE key IN new; INSERT new BY NAME``, on plain Parquet:
-    the table is partitioned by ``bucket = pmod(xxhash64(key), buckets)``, so old
-    and new rows of a key share a bucket and every touched bucket receives new
-    rows. Only touched buckets are read (partition pruning) and rewritten (dynamic
-    overwrite); other buckets are untouched. New rows and the merged buckets are
-    first written to fresh staging folders, so a crash never loses old rows and
-    the final overwrite can be repeated from staging. Returns the table path.
-    """
-    spark = records.sparkSession
-    staging = work_root or fresh_dir(spark, "upsert")
-    new_path, merged_path = f"{staging}/new", f"{staging}/merged"
-
-    with_bucket(records.select(*TELEMETRY_COLUMNS), buckets) \
-        .write.mode("overwrite").partitionBy("bucket").parquet(new_path)
-    new = read_table_rows(spark, new_path)
-    if new.isEmpty():
-        # Nothing decoded: nothing is written and nothing is replaced.
-        return table_path
-
-    if not has_partitions(spark, table_path, "bucket"):
-        new.write.mode("overwrite").partitionBy("bucket").parquet(table_path)
-    else:
-        # At most ``buckets`` small integers reach the driver.
-        touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]
-        if touched:
-            old = read_table_rows(spark, table_path).where(F.col("bucket").isin(touched))
-            kept = old.join(new.select(*TABLE_KEY).distinct(), TABLE_KEY, "left_anti")
-            kept.unionByName(new).write.mode("overwrite").partitionBy("bucket").parquet(merged_path)
-            (read_table_rows(spark, merged_path).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(table_path))
-    if table:
-        register_table(spark, table, table_path)
-    return table_path

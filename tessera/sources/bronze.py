@@ -1,18 +1,33 @@
-"""B1: read Bronze chunk objects straight from their Parquet files."""
+"""B1: read Bronze chunk objects, each whole or not at all."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
+import pyarrow.fs
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.schemas import BRONZE_CHUNKS
+from tessera.session import prepare_workers
+from tessera.sources.files import file_system
+
+#: Chunk rows, or one row per object with its status (null in chunk rows) and no chunk.
+OBJECT_ROWS = T.StructType([*BRONZE_CHUNKS.fields, T.StructField("object_key", T.StringType()), T.StructField("delivery_time", T.TimestampType()),
+                            T.StructField("object_status", T.StringType()), T.StructField("error", T.StringType())])
+ROWS_AT_ONCE = 20_000
+
+
+def arrow_schema(schema: T.StructType) -> pa.Schema:
+    kinds = {T.StringType: pa.string(), T.IntegerType: pa.int32(), T.TimestampType: pa.timestamp("us", "UTC")}
+    return pa.schema([(f.name, kinds[type(f.dataType)]) for f in schema.fields])
 
 
 def _root_marker(root: str) -> str:
-    """The root as it appears inside ``_metadata.file_path`` (``file:`` URIs drop the scheme)."""
+    """The root as it appears inside file paths (``file:`` URIs drop the scheme)."""
     base = root.rstrip("/")
     if base.startswith("file:"):
         base = "/" + base[len("file:"):].lstrip("/")
@@ -26,60 +41,84 @@ def object_key_of(file_path: Column, root: str) -> Column:
     return F.substr(file_path, start)
 
 
-def object_paths(root: str, keys: Iterable[str]) -> list[str]:
-    base = root.rstrip("/")
-    return [f"{base}/{k.lstrip('/')}" for k in keys]
+def list_objects(spark: SparkSession, root: str) -> DataFrame:
+    """(object_key) of every Parquet object below the root, from Spark's file listing."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", "*.parquet").load(root))
+    return files.select(object_key_of(F.col("path"), root).alias("object_key"))
 
 
-def read_bronze(spark: SparkSession, root: str, keys: Iterable[str] | None = None) -> DataFrame:
-    """Chunk rows of the given objects (or of every object below ``root``).
+def chunks_of_object(data: bytes) -> pa.Table:
+    """The chunk columns of one Parquet object, with the wanted types; columns it lacks are null.
 
-    Columns are read by explicit schema, so only the chunk columns are scanned and
-    an ``extraction_id=`` path segment never shadows the file's own column
-    (partition discovery is off). Each row carries its ``object_key`` and the
-    object's modification time, which orders re-deliveries of one extraction.
+    Raises where anything is damaged (page checksums are verified where present) or a
+    value does not fit its type.
     """
-    paths = object_paths(root, keys) if keys is not None else [root]
-    if not paths:
-        return spark.createDataFrame([], BRONZE_CHUNKS).select(
-            "*", F.lit(None).cast("string").alias("object_key"),
-            F.lit(None).cast("timestamp").alias("delivery_time"))
-    # A corrupt object is skipped instead of failing every other object of the
-    # batch; it then has no rows and is reported as unreadable.
-    df = (spark.read.schema(BRONZE_CHUNKS)
-          .option("recursiveFileLookup", "true")
-          .option("pathGlobFilter", "*.parquet")
-          .option("ignoreCorruptFiles", "true")
-          .parquet(*paths))
-    return df.select(
-        *BRONZE_CHUNKS.fieldNames(),
-        object_key_of(F.col("_metadata.file_path"), root).alias("object_key"),
-        F.col("_metadata.file_modification_time").alias("delivery_time"),
-    )
-
-
-def existing_keys(spark: SparkSession, root: str, keys: list[str]) -> tuple[list[str], list[str]]:
-    """Split keys into (present, missing) with one metadata check per key.
-
-    A missing path fails the whole read even with ``ignoreMissingFiles``, so the
-    (control-plane sized) key list is checked before reading. Uses the Hadoop
-    FileSystem of the session, so it works for any object store the cluster
-    mounts.
+    table = pq.ParquetFile(pa.BufferReader(data), page_checksum_verification=True).read()
+    wanted = arrow_schema(BRONZE_CHUNKS)
+    columns = [table.column(f.name).cast(f.type) if f.name in table.schema.names else pa.nulls(table.num_rows, f.type) for f in wanted]
+    return pa.table(columns, names=wanted.names)
+
+
+def read_objects(objects: DataFrame, root: str) -> DataFrame:
+    """Chunk rows of the objects ``objects`` (object_key), and one status row per object.
+
+    A task reads an object's bytes, then decodes them: an object that is damaged in any
+    place, or whose columns do not fit, gives no chunk rows and the status ``unreadable``
+    with the error; one that is not there is ``missing``; a sound one is ``read``. An
+    error while reading bytes is none of these: it fails the task, which Spark repeats,
+    and in the end the batch, so that nothing is taken as done. Keys are data here, never
+    path patterns, so no key can fail its neighbours.
+
+    An object is one delivery of one extraction and is held by its task while it is
+    decoded. The result is read several times: write it first.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-
-    def exists(path: str) -> bool:
-        jpath = jvm.org.apache.hadoop.fs.Path(path)
-        return bool(jpath.getFileSystem(conf).exists(jpath))
-
-    paths = object_paths(root, keys)
-    if len(paths) > 16:
-        # Object-store metadata calls are latency bound: overlap them.
-        with ThreadPoolExecutor(max_workers=16) as pool:
-            found = list(pool.map(exists, paths))
-    else:
-        found = [exists(p) for p in paths]
-    present = [k for k, ok in zip(keys, found) if ok]
-    missing = [k for k, ok in zip(keys, found) if not ok]
-    return present, missing
+    spark = objects.sparkSession
+    prepare_workers(spark)
+    names, status_schema = BRONZE_CHUNKS.fieldNames(), arrow_schema(OBJECT_ROWS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = file_system(root.rstrip("/"))
+        for batch in batches:
+            for key in batch.column(0).to_pylist():
+                path, table, error = f"{base}/{key.lstrip('/')}", None, None
+                info = fs.get_file_info(path)
+                if info.type != pyarrow.fs.FileType.File:
+                    status, error = "missing", "object not found"
+                else:
+                    with fs.open_input_file(path) as f:
+                        data = f.read()  # errors here are the store's and are raised
+                    try:
+                        table = chunks_of_object(data)
+                        status = "read" if table.num_rows else "unreadable"
+                        error = None if table.num_rows else "no chunk rows"
+                    except (pa.ArrowException, OSError, ValueError) as e:
+                        status, error = "unreadable", f"{type(e).__name__}: {str(e)[:300]}"
+                head = {f.name: None for f in status_schema} | {"object_key": key, "delivery_time": info.mtime, "object_status": status, "error": error}
+                yield pa.RecordBatch.from_pylist([head], status_schema)
+                for part in table.to_batches(ROWS_AT_ONCE) if status == "read" else ():
+                    n = part.num_rows
+                    more = [pa.array([key] * n, pa.string()), pa.array([info.mtime] * n, status_schema.field("delivery_time").type), pa.nulls(n, pa.string()), pa.nulls(n, pa.string())]
+                    yield pa.RecordBatch.from_arrays([*(part.column(x) for x in names), *more], schema=status_schema)
+
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return objects.select("object_key").where("object_key IS NOT NULL").distinct().repartition(n).mapInArrow(run, OBJECT_ROWS)
+
+
+def keys_table(spark: SparkSession, root: str, keys: Iterable[str] | DataFrame | None) -> DataFrame:
+    """Keys as a table (object_key): given ones, or those of every object below ``root``."""
+    if keys is None:
+        return list_objects(spark, root)
+    if isinstance(keys, DataFrame):
+        return keys
+    return spark.createDataFrame([(k,) for k in sorted(set(keys))], "object_key string")
+
+
+def chunk_rows(objects: DataFrame) -> DataFrame:
+    """The chunk rows of ``read_objects``, with object key and modification time (which orders re-deliveries)."""
+    return objects.where("object_status IS NULL").select(*BRONZE_CHUNKS.fieldNames(), "object_key", "delivery_time")
+
+
+def read_bronze(spark: SparkSession, root: str, keys: Iterable[str] | DataFrame | None = None) -> DataFrame:
+    """Chunk rows of the given objects (or of every object below ``root``)."""
+    return chunk_rows(read_objects(keys_table(spark, root, keys), root))

@@ -1,17 +1,19 @@
 """The automatic path as a Structured Streaming query.
 
-Notifications arrive as JSON text files (one notification per line) in a folder
-the bucket-event feed writes to. Each micro-batch takes at most
+Notifications arrive as JSON text files, one notification per line (a payload that is
+spread over lines gives no row), in a folder the bucket-event feed writes to. Each micro-batch takes at most
 ``max_files_per_trigger`` files, qualifies the notifications and runs the batch
 pipeline on the objects they name inside ``foreachBatch``. The checkpoint is the
 acknowledgement: a batch that fails is replayed from the same offsets, and the
-sinks are idempotent (dynamic overwrite, replace-by-extraction), so a replay
-leaves the same result. An object is read whole inside its batch, so no state
+sinks are idempotent (a delivery replaces its files, replace-by-extraction), so a replay
+leaves the same result. An object whose bytes cannot be read fails the batch, one whose
+bytes are damaged is reported and writes nothing. An object is read whole inside its batch, so no state
 store and no watermark are needed.
 """
 
 from __future__ import annotations
 
+import json
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +22,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tessera.operators import qualifying_objects
 from tessera.plans.pipeline import SilverTarget, bronze_to_silver
+from tessera.session import materialize
 from tessera.sources import parse_notifications
+from tessera.sources.files import read_text
 
 # Pull batch size, wait and delivery attempts of the queue consumer.
 MAX_FILES_PER_TRIGGER = 10
@@ -36,7 +40,7 @@ def notification_stream(spark: SparkSession, notifications_dir: str,
             .withColumnRenamed("value", "payload"))
 
 
-def batch_handler(bronze_root: str, target: SilverTarget, outcomes_path: str | None, fields=None,
+def batch_handler(bronze_root: str, target: SilverTarget, checkpoint: str, outcomes_path: str | None, fields=None,
                   max_attempts: int = MAX_ATTEMPTS, backoff_seconds: float = 1.0):
     def run(batch: DataFrame, batch_id: int) -> None:
         # A failed attempt is retried in place (the sinks are idempotent, so a
@@ -53,27 +57,31 @@ def batch_handler(bronze_root: str, target: SilverTarget, outcomes_path: str | N
 
     def run_once(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        qualified = qualifying_objects(parse_notifications(batch))
-        # Only object keys (control-plane sized: bounded by the files per trigger)
-        # reach the driver; payloads stay on the executors.
-        keys = [r["object_key"] for r in qualified.select("object_key").distinct().collect()]
-        if not keys:
+        # Keys stay a table: however many a notification file names, none reaches the driver.
+        keys = materialize(qualifying_objects(parse_notifications(batch)).select("object_key").distinct(), "keys")
+        if keys.isEmpty():
             return
         outcomes = bronze_to_silver(spark, bronze_root, keys, target, fields)
         if outcomes_path:
-            (outcomes.withColumn("batch_id", F.lit(batch_id))
+            (outcomes.withColumn("query_id", F.lit(query_id(spark, checkpoint))).withColumn("batch_id", F.lit(batch_id))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(outcomes_path))
+             .partitionBy("query_id", "batch_id").parquet(outcomes_path))
     return run
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The query's identifier, which its checkpoint keeps over restarts: batch numbers of
+    another query, or after a new checkpoint, never meet those of this one."""
+    return json.loads(read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
+
+
 def stream_silver(spark: SparkSession, notifications_dir: str, bronze_root: str, target: SilverTarget,
                   checkpoint: str, outcomes_path: str | None = None, available_now: bool = False,
                   processing_time: str = PROCESSING_TIME,
                   max_files_per_trigger: int = MAX_FILES_PER_TRIGGER, fields=None,
                   max_attempts: int = MAX_ATTEMPTS) -> StreamingQuery:
     writer = (notification_stream(spark, notifications_dir, max_files_per_trigger).writeStream
-              .foreachBatch(batch_handler(bronze_root, target, outcomes_path, fields, max_attempts))
+              .foreachBatch(batch_handler(bronze_root, target, checkpoint, outcomes_path, fields, max_attempts))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()

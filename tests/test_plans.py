@@ -14,7 +14,8 @@ def executed_plan(df) -> str:
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n not in
-                                  ("telemetry_upserted", "silver_roundtrip", "stream_availablenow")])
+                                  ("telemetry_upserted", "silver_roundtrip", "stream_availablenow", "upsert_after_interruption",
+                                   "silver_redelivered", "object_integrity", "reprocess_outcomes", "catalog_roundtrip")])
 def test_no_python_in_the_plan(spark, name):
     plan = executed_plan(QUERIES[name](spark, SF))
     assert not re.search(r"BatchEvalPython|ArrowEvalPython|PythonUDF|MapInPandas|FlatMapGroupsInPandas", plan)
@@ -59,3 +60,10 @@ def test_large_aggregations_are_hash_based(spark):
     # Deliveries: one row per delivery before the max.
     plan = executed_plan(QUERIES["last_delivery_wins"](spark, SF))
     assert "SortAggregate" not in plan
+
+
+def test_hex_is_tested_once_per_document(spark):
+    """The header join and its hex test stand below the join that adds the fields."""
+    plan = executed_plan(QUERIES["telemetry_decoded"](spark, SF))
+    assert len(re.findall(r"BroadcastHashJoin", plan)) == 2
+    assert plan.index("l_field#") < plan.index("RLIKE")  # printed from the top

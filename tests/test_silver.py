@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import path_safe, silver_prefix
-from tessera.sinks.silver import (ensure_schemas, read_silver_files, read_table_rows, upsert_telemetry,
-                                  write_silver_files)
+from tessera.sinks.silver import ensure_schemas, read_silver_files, write_silver_files
+from tessera.sinks.table import (TableConflict, current_version, read_table_rows, rebucket, upsert_telemetry)
 
 TS = dt.datetime(2026, 5, 28, 20, 26, 40)  # 1780000000000 ms
 DAY_DIR = "telemetry/technology=ImberaLink/device_id=B4A2EB428B04/year=2026/month=5/day=28"
@@ -31,7 +31,7 @@ def _files(root, extraction):
 
 def _write(records_df, root, table):
     write_silver_files(records_df, root)
-    upsert_telemetry(records_df, table, work_root=f"{root}-stage-{os.urandom(4).hex()}", buckets=4)
+    upsert_telemetry(records_df, table, buckets=4)
 
 
 def test_layout_and_table(spark, records, workdir):
@@ -77,10 +77,10 @@ def test_upsert_touches_only_its_buckets(spark, records, workdir):
         [("s", 1.0, TS, "ImberaLink", f"D{i}", f"ext-{i}") for i in range(20)],
         "name string, value double, timestamp timestamp_ntz, technology string, device_id string, "
         "extraction_id string")
-    upsert_telemetry(many, table, work_root=f"{workdir}/s1", buckets=4)
-    before = {p: os.path.getmtime(p) for p in glob.glob(f"{table}/bucket=*/*.parquet")}
+    upsert_telemetry(many, table, buckets=4)
+    before = {p: os.path.getmtime(p) for p in glob.glob(f"{table}/data/*/bucket=*/*.parquet")}
     one = many.where("extraction_id = 'ext-3'").withColumn("value", F.lit(9.0))
-    upsert_telemetry(one, table, work_root=f"{workdir}/s2", buckets=4)
+    upsert_telemetry(one, table, buckets=4)
     rows = read_table_rows(spark, table).collect()
     assert len(rows) == 20
     assert [r["value"] for r in rows if r["extraction_id"] == "ext-3"] == [9.0]
@@ -131,18 +131,120 @@ def test_upsert_registers_the_catalog_table(spark, records, workdir):
     ensure_schemas(spark, workdir)
     name = f"silver.telemetry_decoded_{os.urandom(3).hex()}"
     table = f"{workdir}/table"
-    upsert_telemetry(records("ext-1", [("compressor_state", 1.0), ("door_state", 0.0)]), table,
-                     work_root=f"{workdir}/s1", buckets=4, table=name)
-    upsert_telemetry(records("ext-1", [("compressor_state", 0.0)]), table,
-                     work_root=f"{workdir}/s2", buckets=4, table=name)
+    upsert_telemetry(records("ext-1", [("compressor_state", 1.0), ("door_state", 0.0)]), table, buckets=4, table=name)
+    upsert_telemetry(records("ext-1", [("compressor_state", 0.0)]), table, buckets=4, table=name)
     assert spark.catalog.tableExists(name)
     assert [(r["name"], r["value"]) for r in spark.table(name).collect()] == [("compressor_state", 0.0)]
 
 
 def test_bucket_count_follows_table_size():
-    from tessera.sinks.silver import buckets_for
+    from tessera.sinks.table import buckets_for
 
     assert buckets_for(0) == 1
     assert buckets_for(256 << 20) == 1
     assert buckets_for((256 << 20) + 1) == 2
     assert buckets_for(32 << 40) == 131072  # 32 TB at ~256 MB per bucket
+
+
+def _keyed(spark, n, value, first=0):
+    return spark.createDataFrame(
+        [("s", value, TS, "ImberaLink", f"D{i}", f"ext-{i}") for i in range(first, first + n)],
+        "name string, value double, timestamp timestamp_ntz, technology string, device_id string, extraction_id string")
+
+
+def test_a_crash_before_the_version_loses_nothing(spark, workdir):
+    from tessera.sinks.table import interrupted_upsert
+
+    table = f"{workdir}/table"
+    upsert_telemetry(_keyed(spark, 20, 1.0), table, buckets=4)
+    interrupted_upsert(_keyed(spark, 5, 2.0), table)
+    assert sorted(r["value"] for r in read_table_rows(spark, table).collect()) == [1.0] * 20
+    upsert_telemetry(_keyed(spark, 5, 2.0), table)
+    assert sorted(r["value"] for r in read_table_rows(spark, table).collect()) == [1.0] * 15 + [2.0] * 5
+
+
+def test_concurrent_writers_lose_no_rows(spark, workdir):
+    from concurrent.futures import ThreadPoolExecutor
+
+    table = f"{workdir}/table"
+    upsert_telemetry(_keyed(spark, 1, 0.0, 99), table, buckets=1)
+
+    def write(i):
+        try:
+            upsert_telemetry(_keyed(spark, 1, float(i), i), table)
+            return True
+        except TableConflict:
+            return False
+
+    with ThreadPoolExecutor(4) as pool:
+        done = list(pool.map(write, range(4)))
+    rows = {r["extraction_id"] for r in read_table_rows(spark, table).collect()}
+    assert rows == {"ext-99", *(f"ext-{i}" for i in range(4) if done[i])}  # a writer that gave up said so
+    assert sum(done) >= 1
+
+
+def test_a_version_is_made_once(spark, workdir):
+    from tessera.sources.files import create_once, list_names, read_text
+
+    assert create_once(spark, f"{workdir}/v/1.json", "a")
+    assert not create_once(spark, f"{workdir}/v/1.json", "b")
+    assert read_text(spark, f"{workdir}/v/1.json") == "a" and list_names(spark, f"{workdir}/v") == ["1.json"]
+
+
+def test_another_bucket_count_is_refused(spark, workdir):
+    table = f"{workdir}/table"
+    upsert_telemetry(_keyed(spark, 20, 1.0), table, buckets=16)
+    with pytest.raises(ValueError, match="16 buckets"):
+        upsert_telemetry(_keyed(spark, 20, 2.0), table, buckets=4)
+    upsert_telemetry(_keyed(spark, 20, 2.0), table)  # without a count: the table's own
+    assert sorted(r["value"] for r in read_table_rows(spark, table).collect()) == [2.0] * 20
+    rebucket(spark, table, 4)
+    assert current_version(spark, table).buckets == 4
+    upsert_telemetry(_keyed(spark, 20, 3.0), table, buckets=4)
+    assert sorted(r["value"] for r in read_table_rows(spark, table).collect()) == [3.0] * 20
+
+
+def test_files_follow_buckets_not_tasks(spark, workdir):
+    table = f"{workdir}/table"
+    upsert_telemetry(_keyed(spark, 400, 1.0).repartition(32), table, buckets=16)
+    upsert_telemetry(_keyed(spark, 400, 2.0).repartition(32), table)
+    for version in glob.glob(f"{table}/data/commit=*"):
+        assert len(glob.glob(f"{version}/bucket=*/*.parquet")) <= 2 * 16
+
+
+def test_old_versions_are_removed(spark, workdir):
+    table = f"{workdir}/table"
+    for i in range(4):
+        upsert_telemetry(_keyed(spark, 8, float(i)), table, buckets=2, keep_versions=2)
+    assert len(glob.glob(f"{table}/versions/*.json")) == 2
+    assert len(glob.glob(f"{table}/data/commit=*/bucket=*")) <= 4
+    assert {r["value"] for r in read_table_rows(spark, table).collect()} == {3.0}
+
+
+def test_failed_silver_write_converges(spark, records, workdir, monkeypatch):
+    import tessera.sinks.silver as silver
+
+    root, real = f"{workdir}/silver", silver.delete_files
+    write_silver_files(records("ext-a", [("compressor_state", 1.0)]), root)
+
+    def crash(*_):
+        raise RuntimeError("lost after the append")
+
+    monkeypatch.setattr(silver, "delete_files", crash)
+    with pytest.raises(RuntimeError):
+        write_silver_files(records("ext-a", [("fan_state", 1.0)]), root)
+    monkeypatch.setattr(silver, "delete_files", real)
+    write_silver_files(records("ext-a", [("fan_state", 1.0)]), root)
+    assert [r["name"] for r in read_silver_files(spark, root).collect()] == ["fan_state"]
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from tessera.session import shared_root
+
+    nowhere = SimpleNamespace(isDefined=lambda: False)
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(
+        master="spark://host:7077", _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: nowhere))))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(cluster)

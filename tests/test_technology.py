@@ -1,47 +1,46 @@
-"""Technology from MAC prefix (FIXTURES section 2, technology cases)."""
+"""Technology from MAC prefix."""
+
+import itertools
 
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import mac_prefix
 from tessera.operators import resolve_technology
+from tessera.operators.technology import DEFAULT_TECHNOLOGY, KNOWN_TECHNOLOGIES, MAC_PREFIX_TECHNOLOGY
 
-CASES = [
-    ("B4A2EB428B04", "Softel", "ImberaLink"),
-    ("001BC5112233", None, "ImberaLink"),
-    ("3CA551AABBCC", "Softel", "ELTEC"),
-    ("4827E2AABBCC", "Softel", "ELTEC"),
-    ("3c:a5:51:aa:bb:cc", "Softel", "ELTEC"),
-    ("3c-a5-51-aa-bb-cc", "Softel", "ELTEC"),
-    ("AABBCCDDEEFF", "ELTEC", "ELTEC"),
-    ("AABBCCDDEEFF", "Villa", "Villa"),
-    ("AABBCCDDEEFF", "Softel", "ImberaLink"),
-    (None, "Softel", "ImberaLink"),
-    (None, None, "ImberaLink"),
-]
+REPORTED = [*KNOWN_TECHNOLOGIES, "Unheard", "", None]
+SPELLINGS = {
+    "plain": lambda mac: mac,
+    "lower": str.lower,
+    "colons": lambda mac: ":".join(mac[i:i + 2] for i in range(0, 12, 2)),
+    "dashes": lambda mac: "-".join(mac[i:i + 2] for i in range(0, 12, 2)).lower(),
+}
 
 
-@pytest.fixture(scope="module")
-def resolved(spark):
-    df = spark.createDataFrame([(i, d, r) for i, (d, r, _) in enumerate(CASES)],
-                               "case_no int, id_controller string, technology string")
-    return {r["case_no"]: r for r in resolve_technology(df).collect()}
+def cases():
+    """Every known prefix and an unknown one, each reported value, each spelling; then no usable id."""
+    for (n, prefix), reported, spell in itertools.product(enumerate([*MAC_PREFIX_TECHNOLOGY, "0A0B0C"]), REPORTED, SPELLINGS.values()):
+        known = reported if reported in KNOWN_TECHNOLOGIES else DEFAULT_TECHNOLOGY
+        yield spell(f"{prefix}{0x51A000 + n:06X}"), reported, MAC_PREFIX_TECHNOLOGY.get(prefix, known)
+    for device, reported in itertools.product(("", "3C", None), REPORTED):
+        yield device, reported, reported if reported in KNOWN_TECHNOLOGIES else DEFAULT_TECHNOLOGY
 
 
-@pytest.mark.parametrize("case_no", range(len(CASES)))
-def test_resolution(resolved, case_no):
-    device, reported, expected = CASES[case_no]
-    row = resolved[case_no]
-    assert row["technology"] == expected, (device, reported)
-    assert row["reported_technology"] == reported
+def test_resolution(spark):
+    rows = [(i, *case) for i, case in enumerate(cases())]
+    df = spark.createDataFrame([r[:3] for r in rows], "case_no int, id_controller string, technology string")
+    got = {r["case_no"]: (r["technology"], r["reported_technology"]) for r in resolve_technology(df).collect()}
+    assert got == {i: (expected, reported) for i, _, reported, expected in rows}
 
 
-def test_mac_prefix_strips_separators_and_upper_cases(spark):
-    df = spark.createDataFrame([("3c:a5:51:aa:bb:cc",), ("3c-a5-51-aa-bb-cc",), ("ab",), (None,)], "d string")
-    assert [r[0] for r in df.select(mac_prefix(F.col("d"))).collect()] == ["3CA551", "3CA551", "AB", None]
+@pytest.mark.parametrize("device,prefix", [("9a:bc:de:f0:12:34", "9ABCDE"), ("9a-bc-de-f0-12-34", "9ABCDE"), ("ab", "AB"), (None, None)])
+def test_mac_prefix_strips_separators_and_upper_cases(spark, device, prefix):
+    df = spark.createDataFrame([(device,)], "d string")
+    assert df.select(mac_prefix(F.col("d"))).first()[0] == prefix
 
 
 def test_lookup_is_a_projection_not_a_join(spark):
-    df = spark.createDataFrame([("B4A2EB428B04", "Softel")], "id_controller string, technology string")
+    df = spark.createDataFrame([("0A0B0C000001", "Villa")], "id_controller string, technology string")
     plan = resolve_technology(df)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan
