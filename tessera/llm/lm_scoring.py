@@ -10,8 +10,8 @@ one end per text. A null id is held out; other texts outside the held-out fold a
    last character, length). A bucket's words share its probability in proportion to
    ``count + 0.5`` (0.5 for unseen words), so the model gives every text a probability.
    Texts are read once more, and each becomes a row of symbols.
-   The ``head`` most frequent words (a fixed number, so a bounded broadcast) are looked up
-   in the task; all other words of a text are joined with the counts by a shuffle.
+   The most frequent words, at most ``head`` (a fixed number, so a bounded broadcast), are
+   looked up in the task; all other words of a text are joined with the counts by a shuffle.
 3. Training, in ``rounds``: each task starts from the same weights and learns by truncated
    backpropagation from windows of its own training texts, one stretch in ``stride`` of
    every text, from a place that the text's row decides; then the weights of all tasks are averaged, block by block,
@@ -102,7 +102,15 @@ class Vocabulary:
 
     def __init__(self, counts: DataFrame, n_texts: int, s: Settings):
         buckets = s.shape.members
-        rows = counts.orderBy(F.desc("c"), "word").limit(s.head).collect()  # at most ``head`` rows
+        # The lowest step of the counts' logarithm above which there are at most ``head`` words.
+        step = F.floor(F.log2("c") * 8)
+        left, cut = s.head, 0
+        for r in sorted(counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect(), reverse=True):  # some hundred rows
+            left -= r["n"]
+            if left < 0:
+                cut = r["step"] + 1
+                break
+        rows = sorted(counts.where(step >= cut).collect(), key=lambda r: (-r["c"], bytes(r["word"])))
         self.head = [bytes(r["word"]) for r in rows]
         self.head_counts = np.array([r["c"] for r in rows], np.int64)
         own = set(self.head[:s.words])
