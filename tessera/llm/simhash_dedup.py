@@ -177,8 +177,9 @@ def link_fingerprints(fps: DataFrame, distance: int = 3, split: int = 8192) -> D
     keys = [F.struct(F.lit(i).cast("long").alias("band"),
                      F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << width) - 1)).alias("value"))
             for i, (shift, width) in enumerate(bands_of(distance))]
-    keyed = materialize(fps.select("fp", F.explode(F.array(*keys)).alias("key")).select("fp", "key.band", "key.value"), "bands")
-    shards = materialize(keyed.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1"), "shards")
+    n = fps.count()
+    keyed = materialize(fps.select("fp", F.explode(F.array(*keys)).alias("key")).select("fp", "key.band", "key.value"), "bands", 4 * n)
+    shards = materialize(keyed.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1"), "shards", 2 * n)
     parts = F.ceil(F.col("n") / F.lit(split)).cast("long")
     routed = (keyed.join(shards, ["band", "value"])
               .withColumn("mine", F.pmod(F.xxhash64("fp"), parts))
@@ -200,13 +201,14 @@ def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     distance: int = 3, row_col: str | None = None) -> DataFrame:
     """Per row: row_id, doc_id, fp, component_id and ``first_row`` (the row that stands for its class)."""
     rows = fingerprints(docs, id_col, text_col, shingle, row_col)
-    fps = materialize(rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id")).alias("first")), "fps")
+    n = rows.count()
+    fps = materialize(rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id")).alias("first")), "fps", n)
     roots = connected_components(link_fingerprints(fps.select("fp"), distance))
     classed = (fps.join(roots, fps.fp == roots.node, "left")
                .select("fp", "first", F.coalesce("root", "fp").alias("root")))
-    classed = materialize(classed, "classes")
+    classed = materialize(classed, "classes", n)
     first = classed.groupBy("root").agg(F.min("first").alias("first"))
-    by_fp = materialize(classed.select("fp", "root").join(materialize(first, "firsts"), "root"), "class-of")
+    by_fp = materialize(classed.select("fp", "root").join(materialize(first, "firsts", n), "root"), "class-of", n)
     return (rows.join(by_fp, "fp")
             .select("row_id", "doc_id", "fp", F.col("first.doc_id").alias("component_id"),
                     F.col("first.row_id").alias("first_row")))
