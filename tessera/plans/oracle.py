@@ -17,27 +17,36 @@ _FIELD_VALUES = "('door_state',36),('compressor_state',40),('fan_state',42),('bu
 BRONZE_CHUNKS = """
 bronze_chunks as (
   with d as (
-    select event_id, user_id, p.pfx, cast(floor(epoch(ts)) as bigint) as sec
+    select event_id, user_id, p.pfx || lpad(hex(user_id), 6, '0') as mac,
+      lpad(lower(hex(cast(floor(epoch(ts)) as bigint))), 8, '0') || case when event_id % 2 = 1 then '08' else '00' end
+        || case cast(event_id % 8 as integer) when 0 then '00' when 1 then '80' when 2 then '20' when 3 then 'a0'
+           when 4 then '08' when 5 then '88' when 6 then '28' else 'a8' end as whole
     from events join (values (0,'001BC5'),(1,'B4A2EB'),(2,'3CA551'),(3,'00E44C'),(4,'F412FA'),
                              (5,'7CDFA1'),(6,'4827E2'),(7,'AABBCC'),(8,'DDEEFF')) p(i, pfx) on user_id % 9 = p.i),
   k as (
     select 'ext-' || cast(user_id as varchar) as extraction_id,
-      pfx || lpad(hex(user_id), 6, '0') as id_controller,
+      case when event_id % 31 = 30 then null
+        when user_id % 5 = 1 then lower(substr(mac, 1, 2) || ':' || substr(mac, 3, 2) || ':' || substr(mac, 5, 2) || ':'
+          || substr(mac, 7, 2) || ':' || substr(mac, 9, 2) || ':' || substr(mac, 11, 2))
+        when user_id % 5 = 2 then lower(substr(mac, 1, 2) || '-' || substr(mac, 3, 2) || '-' || substr(mac, 5, 2) || '-'
+          || substr(mac, 7, 2) || '-' || substr(mac, 9, 2) || '-' || substr(mac, 11, 2))
+        else mac end as id_controller,
       case user_id % 4 when 0 then 'Softel' when 1 then 'ELTEC' when 2 then 'Villa' end as technology,
       cast(null as varchar) as id_type,
       case event_id % 10 when 0 then '136' when 1 then 'not-a-number' else '126' end as ble_version,
       cast(event_id as integer) as document_sequence,
       case when event_id % 17 = 0 then null else 'EVENTS' end as type,
-      lpad(lower(hex(sec)), 8, '0') || case when event_id % 2 = 1 then '08' else '00' end
-        || case cast(event_id % 8 as integer) when 0 then '00' when 1 then '80' when 2 then '20' when 3 then 'a0'
-           when 4 then '08' when 5 then '88' when 6 then '28' else 'a8' end as payload
+      case when event_id % 13 = 12 then null when event_id % 19 = 18 then 'zz' || substr(whole, 3)
+        when event_id % 23 = 22 then substr(whole, 1, 10) else whole end as payload,
+      event_id % 41 = 40 as one, event_id % 3 = 0 as three
     from d)
   select extraction_id, id_controller, technology, id_type, ble_version, document_sequence, type,
-    case when type is null then null else c.i end as chunk_index,
-    case when type is null then null when c.i = 0 then substr(payload, 1, 4) else substr(payload, 5) end
+    case when type is null or one then null else c.i end as chunk_index,
+    case when type is null then null when one then payload when c.i = 0 then substr(payload, 1, 4)
+      when c.i = 2 then substr(payload, 9) when three then substr(payload, 5, 4) else substr(payload, 5) end
       as data_chunk_hex
-  from k cross join (values (0),(1)) c(i)
-  where type is not null or c.i = 0
+  from k cross join (values (2),(0),(1)) c(i)
+  where c.i = 0 or (type is not null and not one and (c.i = 1 or three))
 )"""
 
 BRONZE_DELIVERIES = """
@@ -81,8 +90,8 @@ def _records(extra: str = "") -> str:
     return f"""
 records as (
   select f.name,
-    cast(((('0x' || r.payload_hex)::BIGINT >> (47 - f.bit)) & 1) as double) as value,
-    epoch_ms(('0x' || substr(r.payload_hex, 1, 8))::BIGINT * 1000) as timestamp,
+    cast(((try_cast('0x' || r.payload_hex as bigint) >> (47 - f.bit)) & 1) as double) as value,
+    epoch_ms(try_cast('0x' || substr(r.payload_hex, 1, 8) as bigint) * 1000) as timestamp,
     r.resolved_technology as technology, r.id_controller as device_id, r.extraction_id{extra}
   from resolved r cross join (values {_FIELD_VALUES}) f(name, bit)
   where r.type = 'EVENTS' and r.ble_version = '126' and r.resolved_technology = 'ImberaLink'

@@ -1,9 +1,10 @@
 """Bronze-shaped inputs derived from the ``events`` table, so every scale factor has them.
 
 One event is one document; one user is one device and one extraction. The mix
-covers every known MAC prefix plus unknown ones, null and placeholder
-technologies, unsupported firmware, payload-less documents and two-chunk
-documents. Everything is a projection/generator over ``events`` (no joins), so
+covers every known MAC prefix (plain, and in lower case with separators) plus
+unknown ones, null ids, null and placeholder technologies, unsupported firmware,
+missing, short and non-hex payloads, and documents of one chunk without an index or
+of two or three chunks, the last one first. Everything is a projection/generator over ``events`` (no joins), so
 it grows with the table and partitions like it.
 """
 
@@ -32,9 +33,14 @@ def _pick(values: list[str], index) -> F.Column:
 def bronze_chunks(events: DataFrame) -> DataFrame:
     """Chunk rows in the Bronze schema (FIXTURES 5.1)."""
     uid, eid = F.col("user_id"), F.col("event_id")
+    mac = F.concat(_pick(FIXTURE_PREFIXES, uid % 9), F.lpad(F.hex(uid), 6, "0"))
+    pairs = F.array(*[F.lower(F.substring(mac, i, 2)) for i in range(1, 13, 2)])
+    whole = F.concat(F.lpad(F.lower(F.hex(epoch_seconds_of(F.col("ts")))), 8, "0"),
+                     F.when(eid % 2 == 1, "08").otherwise("00"), _pick(FIXTURE_LOW_BYTES, eid % 8))
     docs = events.select(
         F.concat(F.lit("ext-"), uid.cast("string")).alias("extraction_id"),
-        F.concat(_pick(FIXTURE_PREFIXES, uid % 9), F.lpad(F.hex(uid), 6, "0")).alias("id_controller"),
+        F.when(eid % 31 == 30, F.lit(None).cast("string")).when(uid % 5 == 1, F.array_join(pairs, ":"))
+         .when(uid % 5 == 2, F.array_join(pairs, "-")).otherwise(mac).alias("id_controller"),
         F.when(uid % 4 == 0, "Softel").when(uid % 4 == 1, "ELTEC").when(uid % 4 == 2, "Villa")
          .alias("technology"),
         F.lit(None).cast("string").alias("id_type"),
@@ -42,20 +48,24 @@ def bronze_chunks(events: DataFrame) -> DataFrame:
          .alias("ble_version"),
         eid.cast("int").alias("document_sequence"),
         F.when(eid % 17 == 0, F.lit(None).cast("string")).otherwise(F.lit("EVENTS")).alias("type"),
-        F.concat(F.lpad(F.lower(F.hex(epoch_seconds_of(F.col("ts")))), 8, "0"),
-                 F.when(eid % 2 == 1, "08").otherwise("00"),
-                 _pick(FIXTURE_LOW_BYTES, eid % 8)).alias("payload"),
+        F.when(eid % 13 == 12, F.lit(None).cast("string")).when(eid % 19 == 18, F.concat(F.lit("zz"), F.substring(whole, 3, 100)))
+         .when(eid % 23 == 22, F.substring(whole, 1, 10)).otherwise(whole).alias("payload"),
+        (eid % 41 == 40).alias("one"), (eid % 3 == 0).alias("three"),
     )
-    # A typed document becomes two chunks; a START/END-like row stays one row
-    # with null index and data.
-    parts = F.when(F.col("type").isNull(), F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))
+    # A typed document becomes two or three chunks, the last one first, or one without
+    # an index; a START/END-like row stays one row with null index and data.
+    parts = (F.when(F.col("type").isNull() | F.col("one"), F.array(F.lit(0)))
+             .when(F.col("three"), F.array(F.lit(2), F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1), F.lit(0))))
     chunked = docs.select("*", F.explode(parts).alias("part"))
     return chunked.select(
         "extraction_id", "id_controller", "technology", "id_type", "ble_version",
         "document_sequence", "type",
-        F.when(F.col("type").isNotNull(), F.col("part")).cast("int").alias("chunk_index"),
+        F.when(F.col("type").isNotNull() & ~F.col("one"), F.col("part")).cast("int").alias("chunk_index"),
         F.when(F.col("type").isNull(), F.lit(None).cast("string"))
+         .when(F.col("one"), F.col("payload"))
          .when(F.col("part") == 0, F.substring("payload", 1, 4))
+         .when(F.col("part") == 2, F.expr("substr(payload, 9)"))
+         .when(F.col("three"), F.substring("payload", 5, 4))
          .otherwise(F.expr("substr(payload, 5)")).alias("data_chunk_hex"),
     )
 
