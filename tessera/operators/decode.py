@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions import epoch_seconds_to_ntz
+from tessera.operators.technology import resolved_technology
 
 # The firmware-126 EVENTS layout. Six bytes, big-endian; bits are
 # counted from the most significant bit of byte 0. Bits 0-31 hold the sample time
@@ -96,6 +97,19 @@ def decodable(documents: DataFrame) -> DataFrame:
                            & F.col("extraction_id").isNotNull() & F.col("id_controller").isNotNull())
 
 
+def decodable_chunks(chunks: DataFrame, fields=None) -> DataFrame:
+    """Chunks of documents that some layout can decode, by their header columns.
+
+    All columns that choose a layout are part of the document key, so the others can
+    be left out before the reassembly shuffle wherever no audit of them is wanted.
+    """
+    heads = F.broadcast(layout_headers(chunks.sparkSession, fields))
+    typed = chunks.where(F.col("type").isNotNull() & F.col("extraction_id").isNotNull() & F.col("id_controller").isNotNull())
+    technology = resolved_technology(F.col("id_controller"), F.col("technology"))
+    return typed.join(heads, (technology == heads["l_technology"]) & (typed["ble_version"] == heads["l_firmware"])
+                      & (typed["type"] == heads["l_type"]), "left_semi")
+
+
 def decode_records(documents: DataFrame, fields=None) -> DataFrame:
     """B7+B8+B9+B11: decoded documents as flat records.
 

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import (audit_reason, decode_records, last_delivery_wins, object_outcomes,
+from tessera.operators import (audit_reason, decodable_chunks, decode_records, last_delivery_wins, object_outcomes,
                                reassemble, resolve_technology)
 from tessera.sinks.silver import delete_files, ensure_schemas, files_before, write_silver_files
 from tessera.sinks.table import upsert_telemetry
@@ -31,7 +31,7 @@ def documents_of(chunks: DataFrame) -> DataFrame:
 
 def records_of(chunks: DataFrame, fields=None) -> DataFrame:
     """B5 -> B6 -> B7..B11: decoded records of every delivery (no replacement yet)."""
-    return decode_records(documents_of(chunks), fields)
+    return decode_records(documents_of(decodable_chunks(chunks, fields)), fields)
 
 
 def write_rejects(docs: DataFrame, objects: DataFrame, path: str, fields=None) -> None:

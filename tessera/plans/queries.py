@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import mac_prefix, silver_prefix
-from tessera.operators import (decode_audit, last_delivery_wins, object_outcomes, qualifying_objects,
+from tessera.operators import (audit_reason, decodable_chunks, decode_audit, last_delivery_wins, object_outcomes, qualifying_objects,
                                reassemble, resolve_technology, telemetry)
 from tessera.plans.pipeline import SilverTarget, documents_of, records_of
 from tessera.schemas import DOCUMENT_KEYS
@@ -67,10 +67,11 @@ def q_silver_day_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_silver_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = records_of(_chunks(spark, sf_dir))
-    return records.select(
+    # Documents that decode, not their records: the prefix needs no field.
+    docs = audit_reason(documents_of(decodable_chunks(_chunks(spark, sf_dir)))).where("decode_reason = 'ok'")
+    return docs.select(
         "extraction_id",
-        silver_prefix(SILVER_ROOT, F.col("technology"), F.col("device_id")).alias("silver_prefix"),
+        silver_prefix(SILVER_ROOT, F.col("technology"), F.col("id_controller")).alias("silver_prefix"),
     ).distinct()
 
 
