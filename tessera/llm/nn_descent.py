@@ -153,7 +153,7 @@ def leaf_neighbours(nodes: DataFrame, n: int, k: int, trees: range, s: Settings)
     return placed.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, LINKS)
 
 
-def keep_best(known: DataFrame | None, met: DataFrame, k: int) -> DataFrame:
+def keep_best(known: DataFrame | None, met: DataFrame, n: int, k: int) -> DataFrame:
     """The k best neighbours per node: (u, v, sim, new: met just now, low: the worst kept, -2 of a list that isn't full)."""
     both = met.withColumn("new", F.lit(1))
     if known is not None:
@@ -162,7 +162,7 @@ def keep_best(known: DataFrame | None, met: DataFrame, k: int) -> DataFrame:
     ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("u").orderBy(F.desc("sim"), "v"))).where(F.col("rank") <= k)
     of_u = Window.partitionBy("u")
     ranked = ranked.withColumn("low", F.when(F.count("*").over(of_u) == k, F.min("sim").over(of_u)).otherwise(F.lit(-2.0)))
-    return materialize(ranked.select("u", "v", "sim", "new", "low"), "graph")
+    return materialize(ranked.select("u", "v", "sim", "new", "low"), "graph", n * k)
 
 
 def met_around_pivots(graph: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
@@ -198,20 +198,20 @@ def met_around_pivots(graph: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
 
 def descend(nodes: DataFrame, n: int, graph: DataFrame | None, k: int, trees: range, s: Settings) -> DataFrame:
     """The neighbour graph after leaves of ``trees`` and rounds of NN-descent."""
-    graph = keep_best(graph, leaf_neighbours(nodes, n, k, trees, s), k)
+    graph = keep_best(graph, leaf_neighbours(nodes, n, k, trees, s), n, k)
     for _ in range(s.rounds):
-        graph = keep_best(graph, met_around_pivots(graph, nodes, k), k)
+        graph = keep_best(graph, met_around_pivots(graph, nodes, k), n, k)
         if graph.where("new = 1").count() <= s.few * n * k:
             break
     return graph
 
 
-def components_of(graph: DataFrame, nodes: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
+def components_of(graph: DataFrame, nodes: DataFrame, n: int, s: Settings) -> tuple[DataFrame, DataFrame]:
     """Written tables: links (u, v) between different nodes, one row a pair; nodes with their root."""
-    links = materialize(graph.where(F.col("sim") >= s.threshold).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "links")
+    links = materialize(graph.where(F.col("sim") >= s.threshold).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "links", n)
     roots = connected_components(links)
     rooted = nodes.select("id").join(roots, nodes.id == roots.node, "left").select("id", F.coalesce("root", "id").alias("root"))
-    return links, materialize(rooted, "rooted")
+    return links, materialize(rooted, "rooted", n)
 
 
 def audited_recall(nodes: DataFrame, rooted: DataFrame, s: Settings) -> float:
@@ -264,26 +264,26 @@ def near_duplicates(vectors: DataFrame, settings: Settings = Settings(), id_col:
     rows, nodes = nodes_of(vectors, id_col, vector_col)
     n, k, trees = nodes.count(), s.k, range(s.trees)
     graph = descend(nodes, n, None, k, trees, s)
-    links, rooted = components_of(graph, nodes, s)
+    links, rooted = components_of(graph, nodes, n, s)
     for _ in range(s.retries):
         if audited_recall(nodes, rooted, s) >= s.recall:
             break
         k, trees = 2 * k, range(trees.stop, trees.stop + s.trees)
         graph = descend(nodes, n, graph, k, trees, s)
-        links, rooted = components_of(graph, nodes, s)
+        links, rooted = components_of(graph, nodes, n, s)
 
     saturated = graph.where(F.col("low") >= s.threshold).select(F.col("u").alias("id")).distinct().join(rooted, "id").select("root").distinct()
-    saturated = materialize(rooted.join(saturated, "root").groupBy("root").agg(F.count("*").alias("size")), "saturated")
+    saturated = materialize(rooted.join(saturated, "root").groupBy("root").agg(F.count("*").alias("size")), "saturated", n)
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     from_lists = both.join(nodes.select(F.col("id").alias("v"), "copies"), "v").groupBy(F.col("u").alias("id")).agg(F.sum("copies").alias("listed"))
     in_blocks = links_in_components(nodes, rooted, saturated, s)
     first = rows.where("vec IS NOT NULL").groupBy("vec").agg(F.min("row_id").alias("id"), F.min("vec_id").alias("first_id"))
     counted = materialize(nodes.select("id", "copies").join(rooted, "id").join(from_lists, "id", "left").join(in_blocks, "id", "left")
                           .join(first.select("id", "first_id"), "id")
-                          .select("id", "root", "first_id", (F.coalesce("linked", "listed", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "counted")
-    named = materialize(counted.groupBy("root").agg(F.min("first_id").alias("component_id")), "named")
+                          .select("id", "root", "first_id", (F.coalesce("linked", "listed", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "counted", n)
+    named = materialize(counted.groupBy("root").agg(F.min("first_id").alias("component_id")), "named", n)
     by_node = counted.join(named, "root").join(nodes.select("id", "vec"), "id").select("vec", "n_links", "component_id")
     # A vector that some rows share is looked up by its bytes; both sides come from files.
-    return (rows.join(materialize(by_node, "by-node"), "vec", "left")
+    return (rows.join(materialize(by_node, "by-node", n), "vec", "left")
             .select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))))
