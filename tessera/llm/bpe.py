@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import prepare_workers
 
 #: Space-separated pieces and pre-tokens whose ids a task keeps; only memory depends on it.
-CACHED_PIECES, CACHED_PRE_TOKENS = 400_000, 600_000
+CACHED_PIECES, CACHED_PRE_TOKENS = 400_000, 500_000
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 ROWS_AT_ONCE = 512
 NO_PAIR = 1 << 30
@@ -60,6 +60,7 @@ class Codec:
         self.pairs = [self.ranks.get(bytes((a, b)), NO_PAIR) for a in range(256) for b in range(256)]
         self.find = regex.compile(pattern).findall
         self.pre_tokens: dict[str, bytes] = {}
+        self.older_pre_tokens: dict[str, bytes] = {}
         codec = self
 
         words_and_marks = pattern == public_tokenizers.PATTERN
@@ -173,14 +174,15 @@ class Codec:
 
     def pre_token(self, t: str) -> bytes:
         """Ids of one match, four bytes each."""
-        known = self.pre_tokens
-        ids = known.get(t)
+        ids = self.pre_tokens.get(t)
         if ids is None:
-            ids = array("I", self.merged(t.encode())).tobytes()
+            ids = self.older_pre_tokens.get(t)
+            if ids is None:
+                ids = array("I", self.merged(t.encode())).tobytes()
             if len(t) < 100:
-                if len(known) >= CACHED_PRE_TOKENS:
-                    known.clear()
-                known[t] = ids
+                if len(self.pre_tokens) >= CACHED_PRE_TOKENS:  # what was used since the last time stays
+                    self.older_pre_tokens, self.pre_tokens = self.pre_tokens, {}
+                self.pre_tokens[t] = ids
         return ids
 
     def matches(self, text: str) -> bytes:
