@@ -42,6 +42,8 @@ REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Fixed values of the ZIP format: signatures of its structures.
 END, END64, LOCATOR64, CENTRAL, LOCAL = b"PK\x05\x06", b"PK\x06\x06", b"PK\x06\x07", b"PK\x01\x02", b"PK\x03\x04"
 IN_ZIP64 = 0xFFFFFFFF
+#: Revisits (three numbers each) that may be broadcast.
+BROADCAST_ROWS = 500_000
 
 
 def file_system(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
@@ -169,7 +171,9 @@ def with_references(pages: DataFrame, id_col: str, url_col: str, html_col: str,
     n = rows.count()
     firsts = materialize(long_ones.groupBy("digest").agg(F.count("*").alias("rows"), F.min(F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "row")).alias("first"))
                          .where("rows > 1").select("digest", F.col("first.page_id").alias("ref_page"), F.col("first.row").alias("ref_row")), "firsts", n)
-    revisits = long_ones.join(firsts, "digest").where("row != ref_row").select("row", "ref_page", "ref_row")
+    revisits = materialize(long_ones.join(firsts, "digest").where("row != ref_row").select("row", "ref_page", "ref_row"), "revisits", n)
+    if revisits.count() <= BROADCAST_ROWS:  # payloads are not shuffled; beyond that they are
+        revisits = F.broadcast(revisits)
     return rows.drop("n").join(revisits, "row", "left").select("row", "page_id", "url", "payload", "digest", "ref_page", "ref_row")
 
 
