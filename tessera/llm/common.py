@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import os
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tessera.session import fresh_dir
 from tessera.session import materialize as written
 
-__all__ = ["complete_groups", "connected_components", "crc_fold", "files_for", "fresh_dir", "levels", "materialize", "prepare_workers",
+__all__ = ["RecentlyUsed", "complete_groups", "connected_components", "crc_fold", "files_for", "fresh_dir", "levels", "materialize", "prepare_workers",
            "numbered", "prefix_sums", "read", "read_binary_rows"]
 
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -159,6 +159,28 @@ def read_binary_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
             yield {name: c[i].as_py() for name, c in columns}
 
 
+class RecentlyUsed(dict):
+    """A cache for one worker: values that ``make`` gives, at most about twice ``size`` of them.
+
+    When it is full, what it holds becomes the older half, and the half before that goes;
+    what is used again moves back. Memory depends on it, results never do.
+    """
+
+    def __init__(self, make: Callable, size: int):
+        super().__init__()
+        self.make, self.size, self.older = make, size, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.size:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 def levels(n: int, fan_in: int) -> int:
     """Rounds in which ``n`` runs become one when ``fan_in`` meet at a time."""
     return max(1, math.ceil(math.log(max(2, n)) / math.log(fan_in) - 1e-9))
