@@ -34,10 +34,10 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import RecentlyUsed, materialize, prefix_sums, prepare_workers
+from tessera.llm.common import materialize, prefix_sums, prepare_workers
 
 #: Words and pre-tokens whose ids a worker keeps; only memory depends on it.
-CACHED_WORDS, CACHED_PRE_TOKENS = 250_000, 250_000
+CACHED_WORDS, CACHED_PRE_TOKENS = 400_000, 400_000
 #: Python splits at 0x1C-0x1F as well, the tokenizer's white space is Unicode's alone.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 WHITE_SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -60,22 +60,33 @@ def word_encoder(path: str) -> Callable[[str], np.ndarray]:
         raise ValueError("ids are stored in 16 bits")
     model, find = tokenizer.model, PRE_TOKENS.findall
 
-    def new_pre_token(piece: str) -> bytes:
-        symbols = piece.encode().decode("latin-1").translate(BYTE_SYMBOLS)
-        return array("H", [t.id for t in model.tokenize(symbols)]).tobytes()
-
-    pre_tokens = RecentlyUsed(new_pre_token, CACHED_PRE_TOKENS)
-
-    def new_word(word: str) -> bytes:
-        if not (word.isascii() or max(word) < "\u0250"):
-            return array("H", tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
-        lower = word.lower()
-        stem = lower.rstrip(PUNCTUATION)
-        if stem.isalpha():  # most words: letters, then punctuation if any
-            return pre_tokens[stem] + pre_tokens[lower[len(stem):]] if len(stem) < len(lower) else pre_tokens[stem]
-        return b"".join(map(pre_tokens.__getitem__, find(lower)))
-
-    words = RecentlyUsed(new_word, CACHED_WORDS)
+    class PreTokens(dict):
+        def __missing__(self, piece: str) -> bytes:
+            if len(self) >= CACHED_PRE_TOKENS:
+                self.clear()
+            symbols = piece.encode().decode("latin-1").translate(BYTE_SYMBOLS)
+            self[piece] = out = array("H", [t.id for t in model.tokenize(symbols)]).tobytes()
+            return out
+
+    pre_tokens = PreTokens()
+
+    class Words(dict):
+        def __missing__(self, word: str) -> bytes:
+            if len(self) >= CACHED_WORDS:
+                self.clear()
+            if word.isascii() or max(word) < "\u0250":
+                lower = word.lower()
+                stem = lower.rstrip(PUNCTUATION)
+                if stem.isalpha():  # most words: letters, then punctuation if any
+                    out = pre_tokens[stem] + pre_tokens[lower[len(stem):]] if len(stem) < len(lower) else pre_tokens[stem]
+                else:
+                    out = b"".join(map(pre_tokens.__getitem__, find(lower)))
+            else:
+                out = array("H", tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+            self[word] = out
+            return out
+
+    words = Words()
 
     def encode(text: str) -> np.ndarray:
         parts = [w for w in WHITE_SPACE.split(text) if w] if SEPARATORS.search(text) else text.split()
