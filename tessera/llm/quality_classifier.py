@@ -32,11 +32,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import crc_fold, prepare_workers
+from tessera.llm.common import RecentlyUsed, crc_fold, prepare_workers
 
 FOLDS, HELD_OUT_FOLD = 5, 0
-#: Words whose sums a task keeps; only memory depends on it.
-CACHED_WORDS = 400_000
+#: Words whose sums a worker keeps (twice as many at most); only memory depends on it.
+CACHED_WORDS = 250_000
 
 
 @dataclass(frozen=True)
@@ -101,15 +101,11 @@ class Model:
         margin = (self.vectors @ (self.weights[1] - self.weights[0])).astype(np.float64)
         bias = float(self.bias[1] - self.bias[0])
 
-        class Sums(dict):
-            def __missing__(self, word: str) -> bytes:
-                if len(self) >= CACHED_WORDS:
-                    self.clear()
-                ids = word_features(word, s)
-                self[word] = out = np.array([margin[ids].sum(), len(ids)]).tobytes()
-                return out
+        def word_sum(word: str) -> bytes:
+            ids = word_features(word, s)
+            return np.array([margin[ids].sum(), len(ids)]).tobytes()
 
-        sums = Sums()
+        sums = RecentlyUsed(word_sum, CACHED_WORDS)
 
         def score(text: str) -> float:
             words = text.split()
@@ -122,6 +118,18 @@ class Model:
         return score
 
 
+_SCORERS: dict[int, Callable[[str], float]] = {}
+
+
+def shared_scorer(model: Model) -> Callable[[str], float]:
+    """The model's scorer, kept for the next tasks of this worker."""
+    key = zlib.crc32(model.vectors, zlib.crc32(model.weights, zlib.crc32(model.bias)))
+    if key not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[key] = model.scorer()
+    return _SCORERS[key]
+
+
 def fit_numpy(examples: list[tuple[np.ndarray, np.ndarray, int]], s: Settings) -> Model:
     """Stochastic gradient descent over (ids, shares, label)."""
     rng = np.random.default_rng(s.seed)
@@ -185,7 +193,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     prepare_workers(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = model.scorer()
+        of = shared_scorer(model)
         for b in batches:
             scores = [of(t.as_py() or "") for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
@@ -200,7 +208,7 @@ def keep_good(docs: DataFrame, model: Model, text_col: str = "text", threshold:
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = model.scorer()
+        of = shared_scorer(model)
         for b in batches:
             yield b.filter(pa.array([of(t.as_py() or "") >= threshold for t in b.column(at)], pa.bool_()))
 
