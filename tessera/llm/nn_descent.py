@@ -14,7 +14,10 @@
    Components follow.
 5. A list is saturated when its last entry is still a link: more may lie behind it. All
    nodes of a component with a saturated list get the longest list there can be, every
-   node of the component; it is compared in blocks, and only counts leave a block.
+   node of the component; it is compared in blocks, and only counts leave a block. A link
+   that neither list holds lies between two saturated nodes, so components with saturated
+   lists are also compared with each other, in blocks, where their balls (a center, and the
+   largest angle to it) are near enough for a link; what links becomes one component.
 6. Audit: links of ``audit`` nodes (those of smallest hash) are found by brute force, in
    blocks over all nodes. Below ``recall`` (pairs in one component), lists are doubled,
    trees are added and the descent goes on.
@@ -236,6 +239,90 @@ def audited_recall(nodes: DataFrame, rooted: DataFrame, s: Settings) -> float:
     return row[1] / row[0] if row[0] else 1.0
 
 
+def near_components(nodes: DataFrame, member: DataFrame, s: Settings) -> DataFrame:
+    """Written table (a, b, size_a, size_b): pairs of components that may have links between them, the larger one first.
+
+    ``member``: root, size and id of the nodes of all components in question. By the triangle
+    inequality of angles no other pair of these components has a link.
+    """
+    reach = float(np.arccos(s.threshold)) + 1e-6
+    center = nodes.select(F.col("id").alias("root"), F.col("dim").cast("long").alias("dim"), F.col("vec").alias("center"))  # a root is one of its nodes
+
+    def angles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            dims = b.column(1).to_numpy()
+            for d in np.unique(dims):
+                at = pa.array(np.flatnonzero(dims == d))
+                cos = np.einsum("ij,ij->i", matrix(b.column(2).take(at)), matrix(b.column(3).take(at)))
+                yield pa.RecordBatch.from_arrays([b.column(0).take(at), pa.array(np.arccos(np.clip(cos, -1, 1)))], ["root", "angle"])
+
+    measured = (member.join(nodes.select("id", "vec"), "id").join(center, "root").select("root", "dim", "vec", "center")
+                .mapInArrow(angles, "root long, angle double").groupBy("root").agg(F.max("angle").alias("radius")))
+    balls = materialize(member.select("root", "size").distinct().join(measured, "root").join(center, "root").select("root", "dim", "size", "radius", "center"), "balls")
+    count = balls.groupBy("dim").agg(F.ceil(F.count("*") / s.block).cast("long").alias("blocks"))
+    dealt = (balls.join(F.broadcast(count), "dim").withColumn("mine", F.pmod(F.xxhash64("root"), F.col("blocks")))
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))))
+    columns = ["root", "size", "radius", "center"]
+    cells = (dealt.select("dim", F.col("mine").alias("i"), F.col("other").alias("j"), *columns, F.lit(0).cast("long").alias("target"))
+             .unionByName(dealt.select("dim", F.col("other").alias("i"), F.col("mine").alias("j"), *columns, F.lit(1).cast("long").alias("target"))))
+    key = ["dim", "i", "j"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in complete_groups(batches, key, 1024):
+            starts = group_starts(t, key)
+            for a, b in zip(starts, starts[1:], strict=False):
+                cell = t.slice(a, b - a)
+                target = cell.column("target").to_numpy() == 1
+                x, root, size, radius = matrix(cell.column("center")), cell.column("root").to_numpy(), cell.column("size").to_numpy(), cell.column("radius").to_numpy()
+                first = ~target
+                apart = np.arccos(np.clip(x[first] @ x[target].T, -1, 1)) - radius[first][:, None] - radius[target][None, :]
+                larger = (size[first][:, None] > size[target][None, :]) | (size[first][:, None] == size[target][None, :]) & (root[first][:, None] < root[target][None, :])
+                u, v = np.nonzero((apart <= reach) & larger)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (root[first][u], root[target][v], size[first][u], size[target][v])], ["a", "b", "size_a", "size_b"])
+
+    return materialize(cells.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "a long, b long, size_a long, size_b long"), "near-components")
+
+
+def links_between_components(nodes: DataFrame, rooted: DataFrame, roots: DataFrame, s: Settings) -> DataFrame | None:
+    """Written table (u, v, linked): of each node u (v null) the copies linked to it in other components of ``roots`` (root, size);
+    and pairs (u, v) of components that have a link (linked null). None if no components are near each other."""
+    member = rooted.join(roots, "root").select("root", "size", "id")
+    pairs = near_components(nodes, member, s)
+    if pairs.isEmpty():
+        return None
+    # What is near a component is dealt over blocks together, however small its components are.
+    around = pairs.groupBy("a", "size_a").agg(F.sum("size_b").alias("size_b"))
+    around = materialize(around.select("a", F.ceil(F.col("size_a") / s.block).cast("long").alias("rows"), F.ceil(F.col("size_b") / s.block).cast("long").alias("columns")), "around")
+    vectors = member.select("root", "id").join(nodes.select("id", "vec", "copies"), "id")
+    mine = vectors.join(around, vectors.root == around.a).withColumn("i", F.pmod(F.xxhash64("id"), F.col("rows")))
+    theirs = (vectors.join(pairs.select("a", F.col("b").alias("root")), "root").join(around, "a").withColumn("j", F.pmod(F.xxhash64("id"), F.col("columns"))))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    columns = ["a", "i", "j", "root", "id", "vec", "copies", "target"]
+    cells = (mine.withColumn("j", every("columns")).withColumn("target", F.lit(0).cast("long")).select(*columns)
+             .unionByName(theirs.withColumn("i", every("rows")).withColumn("target", F.lit(1).cast("long")).select(*columns)))
+    key = ["a", "i", "j"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(u: np.ndarray, v: np.ndarray | None, linked: np.ndarray | None) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) if x is not None else pa.nulls(len(u), pa.int64()) for x in (u, v, linked)], ["u", "v", "linked"])
+
+        for t in complete_groups(batches, key, 1024):
+            starts = group_starts(t, key)
+            for a, b in zip(starts, starts[1:], strict=False):
+                cell = t.slice(a, b - a)
+                target = cell.column("target").to_numpy() == 1
+                if target.all() or not target.any():
+                    continue
+                x, ids, copies, root = matrix(cell.column("vec")), *(cell.column(c).to_numpy() for c in ("id", "copies", "root"))
+                near = x[~target] @ x[target].T >= s.threshold
+                for linked, at in ((near @ copies[target], ~target), (copies[~target] @ near, target)):
+                    yield out(ids[at][linked > 0], None, linked[linked > 0])
+                other = np.unique(root[target][near.any(axis=0)])
+                yield out(np.full(len(other), cell.column("a")[0].as_py()), other, None)
+
+    return materialize(cells.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "u long, v long, linked long"), "between-components")
+
+
 def links_in_components(nodes: DataFrame, rooted: DataFrame, roots: DataFrame, s: Settings) -> DataFrame:
     """(id, linked): copies linked to each node of the components ``roots`` (root, size), compared in blocks."""
     blocks = F.ceil(F.col("size") / s.block).cast("long")
@@ -258,6 +345,23 @@ def links_in_components(nodes: DataFrame, rooted: DataFrame, roots: DataFrame, s
     return cells.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "id long, linked long").groupBy("id").agg(F.sum("linked").alias("linked"))
 
 
+def counted_links(graph: DataFrame, nodes: DataFrame, n: int, s: Settings) -> DataFrame:
+    """Written table (id, root, linked): the component of each node, and the copies of other nodes that are linked to it."""
+    links, rooted = components_of(graph, nodes, n, s)
+    saturated = graph.where(F.col("low") >= s.threshold).select(F.col("u").alias("id")).distinct().join(rooted, "id").select("root").distinct()
+    saturated = materialize(rooted.join(saturated, "root").groupBy("root").agg(F.count("*").alias("size")), "saturated", n)
+    both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    from_lists = both.join(nodes.select(F.col("id").alias("v"), "copies"), "v").groupBy(F.col("u").alias("id")).agg(F.sum("copies").alias("listed"))
+    in_blocks = links_in_components(nodes, rooted, saturated, s)
+    between = links_between_components(nodes, rooted, saturated, s)
+    if between is not None:
+        in_blocks = in_blocks.unionByName(between.where("v IS NULL").select(F.col("u").alias("id"), "linked")).groupBy("id").agg(F.sum("linked").alias("linked"))
+        joined = connected_components(between.where("v IS NOT NULL").select("u", "v").distinct()).select(F.col("node").alias("root"), F.col("root").alias("joined"))
+        rooted = rooted.join(joined, "root", "left").select("id", F.coalesce("joined", "root").alias("root"))
+    return materialize(rooted.join(from_lists, "id", "left").join(in_blocks, "id", "left")
+                       .select("id", "root", F.coalesce("linked", "listed", F.lit(0)).alias("linked")), "linked", n)
+
+
 def near_duplicates(vectors: DataFrame, settings: Settings = Settings(), id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """Per row: vec_id, n_links, component_id, kept."""
     s = settings
@@ -272,15 +376,10 @@ def near_duplicates(vectors: DataFrame, settings: Settings = Settings(), id_col:
         graph = descend(nodes, n, graph, k, trees, s)
         links, rooted = components_of(graph, nodes, n, s)
 
-    saturated = graph.where(F.col("low") >= s.threshold).select(F.col("u").alias("id")).distinct().join(rooted, "id").select("root").distinct()
-    saturated = materialize(rooted.join(saturated, "root").groupBy("root").agg(F.count("*").alias("size")), "saturated", n)
-    both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    from_lists = both.join(nodes.select(F.col("id").alias("v"), "copies"), "v").groupBy(F.col("u").alias("id")).agg(F.sum("copies").alias("listed"))
-    in_blocks = links_in_components(nodes, rooted, saturated, s)
+    linked = counted_links(graph, nodes, n, s)
     first = rows.where("vec IS NOT NULL").groupBy("vec").agg(F.min("row_id").alias("id"), F.min("vec_id").alias("first_id"))
-    counted = materialize(nodes.select("id", "copies").join(rooted, "id").join(from_lists, "id", "left").join(in_blocks, "id", "left")
-                          .join(first.select("id", "first_id"), "id")
-                          .select("id", "root", "first_id", (F.coalesce("linked", "listed", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "counted", n)
+    counted = materialize(nodes.select("id", "copies").join(linked, "id").join(first.select("id", "first_id"), "id")
+                          .select("id", "root", "first_id", (F.col("linked") + F.col("copies") - 1).alias("n_links")), "counted", n)
     named = materialize(counted.groupBy("root").agg(F.min("first_id").alias("component_id")), "named", n)
     by_node = counted.join(named, "root").join(nodes.select("id", "vec"), "id").select("vec", "n_links", "component_id")
     # A vector that some rows share is looked up by its bytes; both sides come from files.

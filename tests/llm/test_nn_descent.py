@@ -62,3 +62,14 @@ def test_planted_groups(spark):
             i += 1
     rows += [(1000 + k, rows[-1][1]) for k in range(40)]
     assert found(spark, rows, Settings(leaf=32, block=16, k=4)) == brute(rows)
+
+
+def test_links_between_groups_with_full_lists(spark):
+    """Two tight groups whose links to each other never are among a node's best, a third one far away."""
+    rng = np.random.default_rng(3)
+    one, side = rng.standard_normal(48), rng.standard_normal(48)
+    one /= np.linalg.norm(one)
+    side -= side @ one * one
+    two = 0.94 * one + np.sqrt(1 - 0.94 ** 2) * side / np.linalg.norm(side)
+    rows = [(100 * g + i, near(rng, center, 0.1)) for g, center in enumerate((one, two, rng.standard_normal(48))) for i in range(50)]
+    assert found(spark, rows, Settings(k=4)) == brute(rows)
