@@ -18,9 +18,15 @@
    that neither list holds lies between two saturated nodes, so components with saturated
    lists are also compared with each other, in blocks, where their balls (a center, and the
    largest angle to it) are near enough for a link; what links becomes one component.
-6. Audit: links of ``audit`` nodes (those of smallest hash) are found by brute force, in
-   blocks over all nodes. Below ``recall`` (pairs in one component), lists are doubled,
-   trees are added and the descent goes on.
+6. Audit: all links of one node in ``audit_every`` (of more nodes where that would be under
+   ``audit``) are found by brute force, in blocks over all nodes, and set against the links
+   counted for the result. Two shares must reach ``recall``: that of links, and the mean over
+   nodes with links of each one's share, which a large group cannot outweigh. Below it, lists
+   are doubled, trees are added and the descent goes on; after ``retries`` the query fails
+   and says the figures.
+
+There are as many trees as it takes for a pair at the threshold to share a leaf of one with
+probability ``recall``, so more the deeper they are.
 
 Vectors of different lengths are never compared. Defined results: a vector that links with
 nothing is alone in its component; a null id never names a component unless all its ids are
@@ -51,6 +57,7 @@ class Settings:
     few: float = 0.002  # share of list entries that may still change at the end
     block: int = 2048
     audit: int = 200
+    audit_every: int = 20
     recall: float = 0.98
     retries: int = 3
     seed: int = 5
@@ -111,9 +118,19 @@ def nodes_of(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFram
     return rows, materialize(nodes.select("id", F.octet_length("vec").alias("dim"), "vec", "copies"), "nodes")
 
 
+def depth_of(n: int, s: Settings) -> int:
+    return max(1, int(np.ceil(np.log2(max(2, n / s.leaf)))))
+
+
+def trees_for(n: int, s: Settings) -> int:
+    """Trees after which a pair at the threshold has shared a leaf with probability ``recall``; at least ``trees``."""
+    together = (1 - np.arccos(s.threshold) / np.pi) ** depth_of(n, s)
+    return max(s.trees, int(np.ceil(np.log(1 - s.recall) / np.log(1 - together))))
+
+
 def leaf_neighbours(nodes: DataFrame, n: int, k: int, trees: range, s: Settings) -> DataFrame:
     """(u, v, sim): the best neighbours of each node in its leaf of each tree."""
-    depth = max(1, int(np.ceil(np.log2(max(2, n / s.leaf)))))
+    depth = depth_of(n, s)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -217,26 +234,36 @@ def components_of(graph: DataFrame, nodes: DataFrame, n: int, s: Settings) -> tu
     return links, materialize(rooted, "rooted", n)
 
 
-def audited_recall(nodes: DataFrame, rooted: DataFrame, s: Settings) -> float:
-    """Share of the true links of some nodes whose ends share a component."""
-    sample = nodes.orderBy(F.xxhash64("id"), "id").limit(s.audit).select("id", "dim", "vec").collect()  # at most ``audit`` rows
-    by_dim = {d: ([r["id"] for r in sample if r["dim"] == d], np.stack([np.frombuffer(r["vec"]) for r in sample if r["dim"] == d])) for d in {r["dim"] for r in sample}}
-    queries = {d: (np.array(ids), x / np.linalg.norm(x, axis=1, keepdims=True)) for d, (ids, x) in by_dim.items()}
+def audited_recall(nodes: DataFrame, linked: DataFrame, n: int, s: Settings) -> tuple[float, float]:
+    """Of the true links of the audited nodes: the share counted in ``linked``, and the mean of each node's share."""
+    every = max(1, min(s.audit_every, n // s.audit))
+    chosen = F.pmod(F.xxhash64("id"), F.lit(every)) == 0
+    block = lambda rows: F.pmod(F.xxhash64("id", F.lit(1)), F.lit(-(-rows // s.block) or 1))
+    over = lambda rows: F.explode(F.sequence(F.lit(0).cast("long"), F.lit((-(-rows // s.block) or 1) - 1).cast("long")))
+    audited = -(-n // every)
+    columns = ["i", "j", "dim", "id", "vec", "copies", "target"]
+    of_all = nodes.withColumn("dim", F.col("dim").cast("long"))
+    cells = (of_all.where(chosen).withColumn("i", block(audited)).withColumn("j", over(n)).withColumn("target", F.lit(0).cast("long")).select(*columns)
+             .unionByName(of_all.withColumn("j", block(n)).withColumn("i", over(audited)).withColumn("target", F.lit(1).cast("long")).select(*columns)))
+    key = ["dim", "i", "j"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids, dims = b.column(0).to_numpy(), b.column(1).to_numpy()
-            for d, (q, y) in queries.items():
-                at = np.flatnonzero(dims == d)
-                if len(at):
-                    sim = matrix(b.column(2).take(pa.array(at))) @ y.T
-                    i, j = np.nonzero(sim >= s.threshold)
-                    yield links_batch(q[j], ids[at][i], sim[i, j])
+        for t in complete_groups(batches, key, 1024):
+            starts = group_starts(t, key)
+            for a, b in zip(starts, starts[1:], strict=False):
+                cell = t.slice(a, b - a)
+                target = cell.column("target").to_numpy() == 1
+                if target.all() or not target.any():
+                    continue
+                x, ids, copies = matrix(cell.column("vec")), cell.column("id").to_numpy(), cell.column("copies").to_numpy()
+                near = (x[~target] @ x[target].T >= s.threshold) & (ids[~target][:, None] != ids[target][None, :])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[~target]), pa.array((near * copies[target]).sum(axis=1))], ["id", "near"])
 
-    true = nodes.select("id", F.col("dim").cast("long").alias("dim"), "vec").mapInArrow(run, LINKS).where("u != v")
-    a, b = rooted.select(F.col("id").alias("u"), F.col("root").alias("root_u")), rooted.select(F.col("id").alias("v"), F.col("root").alias("root_v"))
-    row = true.join(a, "u").join(b, "v").agg(F.count("*"), F.sum((F.col("root_u") == F.col("root_v")).cast("long"))).first()
-    return row[1] / row[0] if row[0] else 1.0
+    true = (cells.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "id long, near long")
+            .groupBy("id").agg(F.sum("near").alias("near")).where("near > 0"))
+    counted = F.least("linked", "near")  # a cosine just at the threshold may come out either way
+    row = true.join(linked, "id").agg(F.sum("near"), F.sum(counted), F.avg(counted / F.col("near"))).first()
+    return (row[1] / row[0], row[2]) if row[0] else (1.0, 1.0)
 
 
 def near_components(nodes: DataFrame, member: DataFrame, s: Settings) -> DataFrame:
@@ -366,17 +393,17 @@ def near_duplicates(vectors: DataFrame, settings: Settings = Settings(), id_col:
     """Per row: vec_id, n_links, component_id, kept."""
     s = settings
     rows, nodes = nodes_of(vectors, id_col, vector_col)
-    n, k, trees = nodes.count(), s.k, range(s.trees)
-    graph = descend(nodes, n, None, k, trees, s)
-    links, rooted = components_of(graph, nodes, n, s)
-    for _ in range(s.retries):
-        if audited_recall(nodes, rooted, s) >= s.recall:
-            break
-        k, trees = 2 * k, range(trees.stop, trees.stop + s.trees)
+    n = nodes.count()
+    k, trees, graph = s.k, range(trees_for(n, s)), None
+    for turn in range(s.retries + 1):
         graph = descend(nodes, n, graph, k, trees, s)
-        links, rooted = components_of(graph, nodes, n, s)
-
-    linked = counted_links(graph, nodes, n, s)
+        linked = counted_links(graph, nodes, n, s)
+        of_links, of_nodes = audited_recall(nodes, linked, n, s)
+        if min(of_links, of_nodes) >= s.recall:
+            break
+        if turn == s.retries:
+            raise RuntimeError(f"recall of {of_links:.4f} of links and {of_nodes:.4f} by node after lists of {k}; {s.recall} is asked for")
+        k, trees = 2 * k, range(trees.stop, 2 * trees.stop - trees.start)
     first = rows.where("vec IS NOT NULL").groupBy("vec").agg(F.min("row_id").alias("id"), F.min("vec_id").alias("first_id"))
     counted = materialize(nodes.select("id", "copies").join(linked, "id").join(first.select("id", "first_id"), "id")
                           .select("id", "root", "first_id", (F.col("linked") + F.col("copies") - 1).alias("n_links")), "counted", n)

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from tessera.llm.nn_descent import Settings, near_duplicates
+from tessera.llm.nn_descent import Settings, near_duplicates, trees_for
 
 SCHEMA = "vec_id long, embedding array<float>, label int, id long, vec string"
 
@@ -73,3 +73,18 @@ def test_links_between_groups_with_full_lists(spark):
     two = 0.94 * one + np.sqrt(1 - 0.94 ** 2) * side / np.linalg.norm(side)
     rows = [(100 * g + i, near(rng, center, 0.1)) for g, center in enumerate((one, two, rng.standard_normal(48))) for i in range(50)]
     assert found(spark, rows, Settings(k=4)) == brute(rows)
+
+
+def test_isolated_pairs_beside_a_large_group(spark):
+    """The group's links are so many that the pairs hardly show among them."""
+    rng = np.random.default_rng(4)
+    center = rng.standard_normal(24)
+    rows = [(i, near(rng, center, 0.1)) for i in range(100)]
+    for i in range(100, 300, 2):
+        center = rng.standard_normal(24)
+        rows += [(i, near(rng, center, 0.0)), (i + 1, near(rng, center, 0.4))]
+    result, want = found(spark, rows, Settings(leaf=8, k=3, trees=1, rounds=1)), brute(rows)
+    paired = [r for r in want if int(r[0]) >= 100 and r[1]]
+    assert len(paired) >= 200
+    assert len(set(paired) & set(result)) >= 0.97 * len(paired)
+    assert trees_for(1 << 28, Settings()) > trees_for(1 << 18, Settings()) > trees_for(1 << 8, Settings())
