@@ -13,9 +13,10 @@ one end per text. A null id is held out; other texts outside the held-out fold a
    The most frequent words, at most ``head`` (a fixed number, so a bounded broadcast), are
    looked up in the task; all other words of a text are joined with the counts by a shuffle.
 3. Training, in ``rounds``: each task starts from the same weights and learns by truncated
-   backpropagation from windows of its own training texts, one stretch in ``stride`` of
-   every text, from a place that the text's row decides; then the weights of all tasks are averaged, block by block,
-   weighted by the symbols they learned from. What is learned from grows with the input.
+   backpropagation from windows of its own training texts, each text whole and with the state
+   carried through it; then the weights of all tasks are averaged, block by block, weighted by
+   the symbols they learned from. A text belongs to one round, which its row decides, so all
+   rounds together are one pass over every symbol of every training text.
 4. Scores: each text's symbols run through the network from the first to the last, the
    state carried across windows.
 
@@ -52,8 +53,6 @@ class Settings:
     shape: Shape = field(default_factory=Shape)
     head: int = 200_000
     rounds: int = 3
-    stretch: int = 64
-    stride: int = 8
     seed: int = 3
 
     @property
@@ -202,21 +201,13 @@ def learned(symbols: DataFrame, vocabulary: Vocabulary, s: Settings) -> dict[str
     """Network weights after all rounds of training in tasks and averaging."""
     weights = initial(s.shape, vocabulary.symbol_counts, s.seed)
     texts = symbols.where("trains").select("row_id", "symbols")
-    period = s.stretch * s.stride
     for turn in range(s.rounds):
         start = weights
 
-        def run(batches: Iterator[pa.RecordBatch], start: dict = start, turn: int = turn) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], start: dict = start) -> Iterator[pa.RecordBatch]:
             now, total = start, 0
-            for ids, sequences in in_portions(batches):
-                parts = []
-                for i, x in zip(ids, sequences, strict=True):
-                    # Stretch k begins at k * period - shift; each round takes its own share of them.
-                    shift = (i * 2654435761 + s.seed) % period
-                    for k, a in enumerate(range(-shift, len(x), period)):
-                        if (i + k) % s.rounds == turn and a + s.stretch > 0:
-                            parts.append(x[max(a, 0):a + s.stretch])
-                now, n = train(now, parts, s.end)
+            for _, sequences in in_portions(batches):
+                now, n = train(now, sequences, s.end)
                 total += n
             if total:
                 v = flat(now)
@@ -232,7 +223,7 @@ def learned(symbols: DataFrame, vocabulary: Vocabulary, s: Settings) -> dict[str
                     one[1] += n * values.values.to_numpy().astype(float)
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([v / n for n, v in sums.values()], pa.list_(pa.float64()))], ["block", "values"])
 
-        trained = texts.mapInArrow(run, "block long, n long, values array<float>")
+        trained = texts.where(F.pmod("row_id", F.lit(s.rounds)) == turn).mapInArrow(run, "block long, n long, values array<float>")
         blocks = {r["block"]: r["values"] for r in trained.repartition("block").mapInArrow(average, "block long, values array<double>").collect()}  # the weights, once
         if blocks:
             weights = unflat(np.concatenate([blocks[b] for b in sorted(blocks)]), weights)

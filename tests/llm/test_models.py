@@ -5,6 +5,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -155,6 +156,17 @@ def test_lm_scores_of_odd_rows(docs, odd_texts, head):
     assert len({(r["n_tokens"], r["score"]) for r in rows if r["doc_id"] == 5}) == 1
 
 
+def test_network_learns_from_every_training_text(spark):
+    """Each text repeats a symbol of its own, whose embedding moves if the text is learned from."""
+    s = lm_scoring.Settings()
+    rows = [(i, True, np.full(20 + 3 * i, s.end + 1 + i, np.uint16).tobytes()) for i in range(60)]
+    counts = np.ones(s.shape.symbols)
+    weights = lm_scoring.learned(spark.createDataFrame(rows, "row_id long, trains boolean, symbols binary"), SimpleNamespace(symbol_counts=counts), s)
+    moved = np.abs(weights["embedding"] - gru.initial(s.shape, counts, s.seed)["embedding"]).max(axis=1) > 1e-4
+    assert moved[s.end + 1:s.end + 61].all()
+    assert not moved[s.end + 61:].any()
+
+
 def test_lm_scores_without_training_texts(docs):
     held = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5 == 1]
     rows = lm_scoring.score_texts(docs([(i, "a b") for i in held])).collect()
