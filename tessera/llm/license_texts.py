@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from importlib.resources import files
+
 _AS_IS = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
 MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."""
 
@@ -59,10 +61,38 @@ Unless required by applicable law or agreed to in writing, software distributed
 WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations
 under the License."""
 
+_UNLICENSE = f"""This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for
+any purpose, commercial or non-commercial, and by any means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to
+the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this
+dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.
+
+{_AS_IS} IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE,
+ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+
+#: Standard file headers: the paragraph that names the licence; {} is program, library or the like.
+_GNU_HEADER = ("This {} is free software; you can redistribute it and/or modify it under the terms of the {} as published by the Free Software Foundation; "
+               "either version {} of the License, or (at your option) any later version.")
+_GNU_ONLY = "This {} is free software; you can redistribute it and/or modify it under the terms of the {} version {} as published by the Free Software Foundation."
+_GNU = {"GPL-2.0": ("GNU General Public License", "2"), "GPL-3.0": ("GNU General Public License", "3"), "LGPL-2.1": ("GNU Lesser General Public License", "2.1"),
+        "LGPL-3.0": ("GNU Lesser General Public License", "3"), "AGPL-3.0": ("GNU Affero General Public License", "3")}
+_MPL_HEADER = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+HEADERS = [("MPL-2.0", _MPL_HEADER),
+           *((spdx, _GNU_HEADER.format(what, name, version)) for spdx, (name, version) in _GNU.items() for what in ("program", "library", "software", "file")),
+           *((spdx, _GNU_ONLY.format(what, name, version)) for spdx, (name, version) in _GNU.items() for what in ("program", "library", "software", "file"))]
+
+#: Identifiers whose whole text is a file of ``licenses``.
+FILES = ["Apache-2.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0"]
+
 #: Full texts and file notices: (SPDX identifier, text).
 TEXTS = [("MIT", _MIT), ("MIT", "MIT License\n\n" + _MIT), ("MIT", "The MIT License\n\n" + _MIT),
          ("ISC", f"{_ISC_GRANT}{_ISC_KEEP}\n\n{_ISC_REST}"), ("ISC", f"ISC License\n\n{_ISC_GRANT}{_ISC_KEEP}\n\n{_ISC_REST}"), ("0BSD", f"{_ISC_GRANT}.\n\n{_ISC_REST}"),
-         ("BSD-2-Clause", f"{_BSD_TWO}\n\n{_BSD_REST}"), ("BSD-3-Clause", f"{_BSD_TWO}\n\n{_BSD_THREE}\n\n{_BSD_REST}"), ("Zlib", _ZLIB), ("Apache-2.0", _APACHE_NOTICE)]
+         ("BSD-2-Clause", f"{_BSD_TWO}\n\n{_BSD_REST}"), ("BSD-3-Clause", f"{_BSD_TWO}\n\n{_BSD_THREE}\n\n{_BSD_REST}"), ("Zlib", _ZLIB), ("Apache-2.0", _APACHE_NOTICE),
+         ("Unlicense", _UNLICENSE), ("Unlicense", f"{_UNLICENSE}\n\nFor more information, please refer to <https://unlicense.org>")]
 
 #: Names by which one-line notices call a licence.
 NAMES = {"MIT": ["MIT License"], "ISC": ["ISC License"], "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License"],
@@ -89,4 +119,5 @@ def known_licenses() -> list[tuple[str, str]]:
     """(identifier, text) of every known text and notice."""
     notices = [(spdx, notice.format(name)) for spdx, names in NAMES.items() for name in names for notice in NOTICES]
     tags = [(spdx, f"SPDX-License-Identifier: {spdx}{end}") for spdx in NAMES for end in ("", "-only", "-or-later")]
-    return TEXTS + notices + tags
+    whole = [(spdx, files("tessera.llm").joinpath("licenses", f"{spdx}.txt").read_text("utf-8")) for spdx in FILES]
+    return TEXTS + HEADERS + whole + notices + tags

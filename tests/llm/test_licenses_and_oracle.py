@@ -2,12 +2,14 @@ from __future__ import annotations
 
 import glob
 import os
+import re
+from importlib.resources import files
 
 import duckdb
 import pytest
 
 from tessera.llm.license_scan import scan_licenses
-from tessera.llm.license_texts import _MIT, TEXTS
+from tessera.llm.license_texts import _MIT, _UNLICENSE, FILES, TEXTS
 from tessera.llm.oracle import ORACLE_SQL
 from tessera.llm.queries import QUERIES
 
@@ -25,6 +27,17 @@ def test_licenses_of_odd_rows(docs, odd_texts):
     assert scan_licenses(docs([])).count() == 0
 
 
+def test_whole_texts_and_file_headers(docs):
+    """Every text file, whole and with other line breaks, and headers of source files."""
+    texts = [(i, files("tessera.llm").joinpath("licenses", f"{spdx}.txt").read_text("utf-8")) for i, spdx in enumerate(FILES)]
+    texts += [(100 + i, re.sub(r"(?<=\S)[ ]+(?=\S)", "  ", t).replace("\n", "\r\n")) for i, t in texts]
+    header = ("# This program is free software; you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n"
+              "# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.\n#\n# This program is distributed in the hope\nimport os\n")
+    rows = scan_licenses(docs([*texts, (200, header), (201, _UNLICENSE)])).collect()
+    by = {r["doc_id"]: (r["license_ids"], r["whole_license"]) for r in rows}
+    assert by == {**{n + i: (spdx, spdx) for i, spdx in enumerate(FILES) for n in (0, 100)}, 200: ("GPL-3.0", None), 201: ("Unlicense", "Unlicense")}
+
+
 def test_own_license_table(spark, docs):
     own = spark.createDataFrame([("B", "Own Licence"), ("A", "own license."), ("C", None), ("D", "!!")], "license_id string, text string")
     rows = scan_licenses(docs([(1, "OWN LICENSE"), (2, "!!"), (3, "own")]), own).collect()
