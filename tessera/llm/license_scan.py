@@ -4,7 +4,9 @@ Texts are made canonical: lower case; lines that only state a copyright dropped;
 of other characters than letters and digits one space; equivalent spellings written one
 way. The SHA-256 of canonical texts is then looked up among the digests of known licences,
 made canonical by the same expressions, by a hash join. The units that are looked up are
-the whole document, its blocks (parted by empty lines) and its lines, each as a whole.
+the whole document, its blocks (parted by empty lines), its lines, each as a whole, and runs
+of consecutive blocks: where a block is the first of a known text of several blocks, the run
+of as many blocks is looked up by the digest of its blocks' digests.
 
 Documents are read once: the digests of their units are written. The table of known
 licences is broadcast only if it has at most ``BROADCAST_ROWS`` rows.
@@ -44,15 +46,19 @@ def canonical(text: Column) -> Column:
     return reduce(lambda x, pair: F.replace(x, F.lit(pair[0]), F.lit(pair[1])), SPELLINGS, c)
 
 
-def unit_digests(text: Column) -> tuple[Column, Column]:
-    """Digest of the whole canonical text, and of its distinct units (itself, blocks, lines); nulls for empty ones."""
+def unit_digests(text: Column) -> tuple[Column, Column, Column]:
+    """Digests of the whole canonical text (null if empty), of its blocks in order, and of its distinct lines; none of empty ones."""
     c = canonical(text)
     one_space = lambda x: F.trim(F.regexp_replace(x, r"\s+", " "))
     digest = lambda x: F.sha2(F.nullif(x, F.lit("")), 256)
     whole = digest(one_space(c))
     blocks = F.transform(F.split(c, r"\n[ \n]*\n"), lambda x: digest(one_space(x)))
     lines = F.transform(F.split(c, r"\n"), lambda x: digest(F.trim(x)))
-    return whole, F.array_distinct(F.array_compact(F.concat(F.array(whole), blocks, lines)))
+    return whole, F.array_compact(blocks), F.array_distinct(F.array_compact(lines))
+
+
+def run_digest(blocks: Column) -> Column:
+    return F.sha2(F.array_join(blocks, ","), 256)
 
 
 def known_digests(licenses: DataFrame) -> DataFrame:
@@ -61,6 +67,25 @@ def known_digests(licenses: DataFrame) -> DataFrame:
             .groupBy("digest").agg(F.min("license_id").alias("license_id")))
 
 
+def known_runs(licenses: DataFrame, known: DataFrame) -> DataFrame:
+    """(first, length, run, license_id) of known texts of several blocks: their first block, how many blocks, the run's digest."""
+    whole, blocks, _ = unit_digests(F.col("text"))
+    return (licenses.select(whole.alias("digest"), blocks.alias("blocks")).where(F.size("blocks") > 1).join(known, "digest")
+            .groupBy(F.col("blocks")[0].alias("first"), F.size("blocks").alias("length"), run_digest(F.col("blocks")).alias("run"))
+            .agg(F.min("license_id").alias("license_id")))
+
+
+def licenses_of_runs(rows: DataFrame, runs: DataFrame) -> DataFrame:
+    """(row_id, license_id) of runs of blocks in ``rows`` (row_id, blocks); only blocks that a known text begins with start one."""
+    small = runs.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    sent = F.broadcast if small else (lambda x: x)
+    starts = sent(runs.select(F.col("first").alias("digest"), "length").distinct())
+    begun = materialize(rows.select("row_id", F.posexplode("blocks").alias("at", "digest")).join(starts, "digest").select("row_id", "at", "length"), "license-starts")
+    found = begun.join(rows.select("row_id", "blocks"), "row_id").where(F.col("at") + F.col("length") <= F.size("blocks"))
+    return (found.select("row_id", "length", run_digest(F.slice("blocks", F.col("at") + 1, F.col("length"))).alias("run"))
+            .join(sent(runs.select("run", "length", "license_id")), ["run", "length"]).select("row_id", "license_id"))
+
+
 def scan_licenses(docs: DataFrame, licenses: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, license_ids (distinct, sorted, comma-joined; empty if none), n_licenses, and
     whole_license (of the licence that the whole text is, else null)."""
@@ -70,12 +95,16 @@ def scan_licenses(docs: DataFrame, licenses: DataFrame | None = None, id_col: st
     known = materialize(known_digests(licenses), "license-digests")
     if known.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         known = F.broadcast(known)
-    whole, units = unit_digests(F.col("text"))
+    runs = materialize(known_runs(licenses, known), "license-runs")
+    whole, blocks, lines = unit_digests(F.col("text"))
     rows = materialize(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-                       .select("doc_id", F.monotonically_increasing_id().alias("row_id"), whole.alias("whole"), units.alias("units")), "license-units")
-    found = (rows.select("row_id", "whole", F.explode("units").alias("digest")).join(known, "digest")
+                       .select("doc_id", F.monotonically_increasing_id().alias("row_id"), whole.alias("whole"), blocks.alias("blocks"), lines.alias("lines")), "license-units")
+    units = F.array_distinct(F.array_compact(F.concat(F.array("whole"), "blocks", "lines")))
+    by_unit = (rows.select("row_id", "whole", F.explode(units).alias("digest")).join(known, "digest")
+               .select("row_id", "license_id", (F.col("digest") == F.col("whole")).alias("is_whole")))
+    found = (by_unit.unionByName(licenses_of_runs(rows, runs).withColumn("is_whole", F.lit(False)))
              .groupBy("row_id").agg(F.array_sort(F.collect_set("license_id")).alias("ids"),
-                                    F.min(F.when(F.col("digest") == F.col("whole"), F.col("license_id"))).alias("whole_license")))
+                                    F.min(F.when(F.col("is_whole"), F.col("license_id"))).alias("whole_license")))
     return (rows.select("doc_id", "row_id").join(found, "row_id", "left")
             .select("doc_id", F.coalesce(F.array_join("ids", ","), F.lit("")).alias("license_ids"),
                     F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_licenses"), "whole_license"))

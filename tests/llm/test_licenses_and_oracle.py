@@ -38,6 +38,15 @@ def test_whole_texts_and_file_headers(docs):
     assert by == {**{n + i: (spdx, spdx) for i, spdx in enumerate(FILES) for n in (0, 100)}, 200: ("GPL-3.0", None), 201: ("Unlicense", "Unlicense")}
 
 
+def test_texts_of_several_blocks_inside_documents(docs):
+    bsd = {spdx: t for spdx, t in TEXTS if spdx.startswith("BSD")}
+    source = "/*\n * tool.c - a tool\n *\n * Copyright (c) 2020 Somebody\n *\n" + "".join(f" * {x}\n" for x in _MIT.split("\n")) + " */\n\nint main() {}\n"
+    readme = "# Tool\n\nWhat it does.\n\n## License\n\n" + bsd["BSD-3-Clause"] + "\n\n## Thanks\n\n" + bsd["BSD-2-Clause"]
+    cut = "x\n\n" + _MIT[:_MIT.rindex("\n\n")] + "\n\nend"
+    rows = scan_licenses(docs([(1, source), (2, readme), (3, cut), (4, "a\n\n" + _MIT)])).collect()
+    assert {r["doc_id"]: (r["license_ids"], r["n_licenses"], r["whole_license"]) for r in rows} == {1: ("MIT", 1, None), 2: ("BSD-2-Clause,BSD-3-Clause", 2, None), 3: ("", 0, None), 4: ("MIT", 1, None)}
+
+
 def test_own_license_table(spark, docs):
     own = spark.createDataFrame([("B", "Own Licence"), ("A", "own license."), ("C", None), ("D", "!!")], "license_id string, text string")
     rows = scan_licenses(docs([(1, "OWN LICENSE"), (2, "!!"), (3, "own")]), own).collect()
