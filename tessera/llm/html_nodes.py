@@ -51,7 +51,8 @@ TOKEN_GROUPS = ["article content main post entry story text body copy page".spli
                 "hidden none invisible sr only".split()]
 GROUP_OF = {t: g for g, tokens in enumerate(TOKEN_GROUPS) for t in tokens}
 
-TAG = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>)")
+#: A > in a quoted value does not end a tag; a quote that never closes is taken as a plain character.
+TAG = re.compile(r"""<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)|=)*+)>)""")
 NAMES = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none", re.I)
 TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -154,10 +155,6 @@ def parse(page: str, truth_mark: str | None = None) -> Nodes:
             continue
         at = m.end()
         tag, attributes = m[4].lower(), m[5]
-        for _ in range(8):  # a > inside quotes
-            if attributes.count('"') % 2 == 0 or (end := page.find(">", at)) < 0:
-                break
-            attributes, at = page[m.start(5):end], end + 1
         if tag in INLINE:
             if tag == "a":
                 in_link = not m[3]

