@@ -65,3 +65,40 @@ found AS (
 SELECT d.doc_id, coalesce(f.license_ids, '') AS license_ids, coalesce(f.n_licenses, 0) AS n_licenses, f.whole_license
 FROM docs d LEFT JOIN found f USING (doc_id)
 """
+
+
+def _cluster_rounds(rounds: int, k: int, dims: int, scale: int, seed: int) -> str:
+    """The rounds one after the other; a floor of a quotient of integers is written out, since ``//`` cuts towards zero."""
+    nearest = "min({{'d': list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT, 'k': k}})"
+    parts = [f"""
+v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dims}
+),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS k, v AS c
+  FROM (SELECT sha256('{seed}:' || vec_id) AS h, v FROM v ORDER BY h NULLS LAST, v LIMIT {k})
+)"""]
+    for i in range(rounds + 1):
+        parts.append(f"a{i} AS MATERIALIZED (SELECT r, {nearest.format()} AS near FROM v, c{i} GROUP BY r)")
+        if i < rounds:
+            parts.append(f"""
+s{i} AS (
+  SELECT near.k AS k, pos, sum(x)::BIGINT AS s, count(*) AS n
+  FROM (SELECT near, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM v JOIN a{i} USING (r)) GROUP BY ALL
+),
+c{i + 1} AS MATERIALIZED (
+  SELECT k, coalesce(m, c) AS c
+  FROM c{i} LEFT JOIN (SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY pos) AS m FROM s{i} GROUP BY k) USING (k)
+)""")
+    return ",\n".join(parts)
+
+
+ORACLE_SQL["op13_centroid_clusters"] = f"""
+WITH {_cluster_rounds(rounds=10, k=8, dims=64, scale=1024, seed=3)}
+SELECT vec_id, near.k::INT AS cluster, near.d AS distance,
+       (sum(near.d) OVER (PARTITION BY near.k))::BIGINT AS cluster_inertia, (sum(near.d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM v JOIN a10 USING (r) JOIN c10 ON c10.k = near.k
+"""

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe
+from tessera.llm.centroid_clusters import cluster_vectors
 from tessera.llm.common import crc_fold, read
 from tessera.llm.exact_dedup import exact_dedup
 from tessera.llm.html_extract import extract
@@ -70,6 +71,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read(spark, sf_dir, "documents"))
 
 
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(read(spark, sf_dir, "embeddings"), dims=64, k=8, rounds=10, scale=1024, seed=3)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_packing": op2_packing,
@@ -81,4 +86,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_license_scan": op10_license_scan,
+    "op13_centroid_clusters": op13_centroid_clusters,
 }
