@@ -102,3 +102,19 @@ SELECT vec_id, near.k::INT AS cluster, near.d AS distance,
        sha256(array_to_string(c, ',')) AS centroid_sha256
 FROM v JOIN a10 USING (r) JOIN c10 ON c10.k = near.k
 """
+
+ORACLE_SQL["op12_topk_search"] = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id,
+         coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])), 0)::BIGINT AS score
+  FROM v q JOIN v c ON q.r <> c.r AND len(q.v) = len(c.v)
+  WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, (row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST))::INT AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""

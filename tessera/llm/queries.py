@@ -19,6 +19,7 @@ from tessera.llm.nn_descent import near_duplicates
 from tessera.llm.packing import pack
 from tessera.llm.quality_classifier import FOLDS, HELD_OUT_FOLD, fit, score
 from tessera.llm.simhash_dedup import simhash_classes
+from tessera.llm.topk_search import top_k
 from tessera.llm.warc import locate_records, read_records, write_archives
 
 
@@ -71,6 +72,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read(spark, sf_dir, "documents"))
 
 
+def op12_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(read(spark, sf_dir, "embeddings"), every=50, k=5, scale=256)
+
+
 def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_vectors(read(spark, sf_dir, "embeddings"), dims=64, k=8, rounds=10, scale=1024, seed=3)
 
@@ -86,5 +91,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_license_scan": op10_license_scan,
+    "op12_topk_search": op12_topk_search,
     "op13_centroid_clusters": op13_centroid_clusters,
 }
