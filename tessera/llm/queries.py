@@ -19,6 +19,7 @@ from tessera.llm.nn_descent import near_duplicates
 from tessera.llm.packing import pack
 from tessera.llm.quality_classifier import FOLDS, HELD_OUT_FOLD, fit, score
 from tessera.llm.simhash_dedup import simhash_classes
+from tessera.llm.token_alignment import align
 from tessera.llm.topk_search import top_k
 from tessera.llm.warc import locate_records, read_records, write_archives
 
@@ -72,6 +73,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op12_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(read(spark, sf_dir, "embeddings"), every=50, k=5, scale=256)
 
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_license_scan": op10_license_scan,
+    "op11_token_alignment": op11_token_alignment,
     "op12_topk_search": op12_topk_search,
     "op13_centroid_clusters": op13_centroid_clusters,
 }
