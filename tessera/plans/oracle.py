@@ -280,3 +280,61 @@ select extraction_id, 'missing', 0, 0, true from per_doc where no % 5 = 0""",
 # damaged re-deliveries leave the table as it was.
 ORACLE["upsert_after_interruption"] = ORACLE["catalog_roundtrip"] = ORACLE["telemetry_upserted"]
 ORACLE["object_integrity"] = ORACLE["telemetry_decoded"]
+
+ORACLE["redelivered_objects"] = f"""
+with {BRONZE_CHUNKS.strip()},
+{_documents('bronze_chunks').strip()},
+{_records().strip()},
+objects as (select extraction_id, cast(substr(extraction_id, 5) as bigint) as no,
+  exists (select 1 from records r where r.extraction_id = b.extraction_id) as decoded
+  from (select distinct extraction_id from bronze_chunks) b)
+select extraction_id, case no % 14 when 7 then 5 when 0 then 2 else 1 end as deliveries,
+  case when no % 14 = 7 then 'missing' when decoded then 'processed' else 'empty' end as status, no % 14 = 7 as dead
+from objects"""
+
+ORACLE["notification_audit"] = f"""
+with {_NOTIFICATIONS.strip()}
+select case when not json_valid(payload) then 'malformed' when payload = '{{}}' then 'empty' else 'valid' end as status, count(*) as notifications
+from notes group by 1"""
+
+ORACLE["notifications_all_records"] = r"""
+with keys as (
+  select event_id as notification_id, unnest(['telemetry%2Fdevice%3D' || cast(user_id as varchar) || '%2Fa+b%2Ffile.parquet', 'telemetry%2F100%zz.parquet',
+    'telemetry%2Fextraction_id%3Dext-' || cast(user_id as varchar) || '%2Ffile' || case event_id % 2 when 0 then '.parquet' else '.metadata.json' end]) as key
+  from events where event_id % 7 <> 0),
+decoded as (
+  select notification_id, url_decode(replace(key, '+', '%20')) as object_key from keys
+  where not contains(regexp_replace(key, '%[0-9A-Fa-f]{2}', '', 'g'), '%'))
+select notification_id, 'bronze' as bucket, object_key, coalesce(nullif(regexp_extract(object_key, 'extraction_id=([^/]+)/', 1), ''), object_key) as correlation_id
+from decoded where contains(object_key, 'telemetry/') and ends_with(object_key, '.parquet')"""
+
+ORACLE["silver_odd_ids"] = f"""
+with odd as (
+  select event_id, case event_id % 6 when 0 then 'a/' || user_id when 1 then 'a\\' || user_id when 2 then 'a b' || user_id when 3 then ' a:' || user_id || ' ' when 4 then '  ' end as device_id,
+    case event_id % 3 when 0 then 'Imbera Link' when 1 then ':' else 'EL/TEC' end as technology,
+    epoch_ms(cast(floor(epoch(ts)) as bigint) * 1000 + event_id % 1000) as time
+  from events),
+safe as (select event_id, time, case when device_id is null then 'unknown' else {_safe('device_id')} end as device_dir, {_safe('technology')} as technology_dir from odd)
+select event_id, device_dir, 's3://silver/telemetry/technology=' || technology_dir || '/device_id=' || device_dir || '/' as silver_prefix,
+  cast(year(time) as integer) as year, cast(month(time) as integer) as month, cast(day(time) as integer) as day
+from safe"""
+
+ORACLE["telemetry_by_layouts"] = f"""
+with {BRONZE_CHUNKS.strip()},
+typed_chunks as (
+  select * replace (case document_sequence % 3 when 0 then 'short' when 1 then 'long' end as id_type) from bronze_chunks),
+{_documents('typed_chunks').strip()},
+fields(firmware, for_type, name, bit, width) as (
+  select '126', null, f.name, f.bit, 1 from (values {_FIELD_VALUES}) f(name, bit)
+  union all values ('136', 'short', 'mode', 35, 3), ('136', 'short', 'level', 40, 8))
+select f.name, cast((try_cast('0x' || r.payload_hex as bigint) >> (48 - f.bit - f.width)) & ((1 << f.width) - 1) as double) as value,
+  epoch_ms(try_cast('0x' || substr(r.payload_hex, 1, 8) as bigint) * 1000) as timestamp,
+  r.resolved_technology as technology, r.id_controller as device_id, r.extraction_id
+from resolved r join fields f on r.ble_version = f.firmware and (f.for_type is null or f.for_type = r.id_type)
+where r.type = 'EVENTS' and r.resolved_technology = 'ImberaLink' and regexp_full_match(r.payload_hex, '[0-9a-fA-F]{{12}}')
+  and r.extraction_id is not null and r.id_controller is not null"""
+
+ORACLE["decode_counters"] = f"""
+with audit as ({ORACLE['decode_audit']}),
+decoded as ({ORACLE['telemetry_decoded']})
+select decode_reason, documents, (select count(*) from decoded) as n_records from audit"""

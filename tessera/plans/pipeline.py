@@ -14,12 +14,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import (audit_reason, decodable_chunks, decode_records, last_delivery_wins, object_outcomes,
-                               reassemble, resolve_technology)
-from tessera.sinks.silver import delete_files, ensure_schemas, files_before, write_silver_files
-from tessera.sinks.table import upsert_telemetry
-from tessera.sources import chunk_rows, keys_table, read_objects
-from tessera.session import delete_dir, fresh_dir, materialize
+from tessera.operators import decodable_chunks, decode_records, last_delivery_wins, object_outcomes, observed_audit, reassemble, resolve_technology
+from tessera.schemas import REJECTS
+from tessera.session import Workspace, materialize
+from tessera.sinks.silver import ensure_schemas, write_silver_files
+from tessera.sinks.table import replace_rows, upsert_telemetry
+from tessera.sources import read_objects
 
 OUTCOME_COLUMNS = ["object_key", "n_documents", "n_records", "status", "silver_prefix", "single_device", "error"]
 
@@ -34,66 +34,64 @@ def records_of(chunks: DataFrame, fields=None) -> DataFrame:
     return decode_records(documents_of(decodable_chunks(chunks, fields)), fields)
 
 
-def write_rejects(docs: DataFrame, objects: DataFrame, path: str, fields=None) -> None:
+def write_rejects(audited: DataFrame, objects: DataFrame, table: str, location: str, buckets: int | None = None) -> None:
     """B10 side table: every document that yields no records, with the reason and
     the ids needed to find it again (extraction, device, sequence, object).
 
-    One directory per object (a digest of its key): the rejects of the batch's
-    ``objects`` (object_key) replace those of earlier runs, also by none.
+    The rejects of the batch's ``objects`` (object_key) replace those of earlier runs, also by none.
     """
-    object_id = F.sha1(F.col("object_key"))
-    old = files_before(objects.select(object_id.alias("object_id")), path, ["object_id"])
-    (audit_reason(docs, fields).where(F.col("decode_reason") != "ok")
-     .select("extraction_id", "id_controller", "document_sequence", "technology", "ble_version", "type",
-             "object_key", "decode_reason", object_id.alias("object_id"))
-     .write.mode("append").partitionBy("object_id").parquet(path))
-    delete_files(old, path)
-
-
-def _stage(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    rejects = audited.where("decode_reason != 'ok'").select(*REJECTS.fieldNames())
+    replace_rows(rejects, table, location, REJECTS, ["object_key"], replaced=objects, buckets=buckets)
 
 
 @dataclass
 class SilverTarget:
-    """Where a batch goes: Silver file root, table path (and optional catalog name).
+    """Where a batch goes: root of the Silver files, name of the table in the catalog, and of the rejects' (if any).
 
-    ``buckets``: of a table that is made now; an existing one keeps its own.
+    Tables that are made now lie below ``table_root`` (default: ``tables`` below the Silver root) and
+    get ``buckets`` buckets; existing ones keep their place and count.
     """
     silver_root: str
-    table_path: str
-    table: str | None = None
+    table: str = "silver.telemetry_decoded"
+    rejects_table: str | None = None
+    table_root: str | None = None
     buckets: int | None = None
     file_partitions: int | None = None
-    rejects_path: str | None = None
+
+    def location(self, table: str) -> str:
+        return f"{(self.table_root or self.silver_root.rstrip('/') + '/tables').rstrip('/')}/{table.rsplit('.', 1)[-1]}"
 
 
 def bronze_to_silver(spark: SparkSession, bronze_root: str, keys: Iterable[str] | DataFrame | None,
-                     target: SilverTarget, fields=None) -> DataFrame:
+                     target: SilverTarget, fields=None, work: Workspace | None = None, counts: dict | None = None) -> DataFrame:
     """Read the named objects (a list, a table ``object_key``, or every object below
-    ``bronze_root``), refine, write; the written outcomes, one row per object.
+    ``bronze_root``), refine, write; the outcomes, one row per object.
 
     A bad object never fails its neighbours, and writes nothing: ``processed``, ``empty``
     (read, nothing decoded), ``unreadable`` (damaged, not fitting, or without rows) or
     ``missing``; the last two carry an ``error`` text and can be re-run with ``reprocess``.
 
-    Objects are read once and staged with their status; documents and winning records are
-    staged too, which cuts the lineage and lets sinks and outcomes read the same rows.
-    These stages are removed when the batch is written; only its outcomes stay.
+    Chunks, audited documents and winning records are staged in one folder, which cuts the
+    lineage and lets sinks and outcomes read the same rows. It is ``work``, which the caller
+    removes, with the outcomes in it; without one, it is removed here, and the outcomes are
+    staged on their own. ``counts`` receives the counters of the decoding (documents by
+    reason, records), which come along with the staging of the documents.
     """
-    work = fresh_dir(spark, "batch")
-    objects = _stage(read_objects(keys_table(spark, bronze_root, keys), bronze_root), f"{work}/objects")
-    asked = objects.where("object_status IS NOT NULL").select("object_key", "object_status", "error")
-    docs = _stage(documents_of(chunk_rows(objects)), f"{work}/documents")
-    if target.table:
-        ensure_schemas(spark, target.silver_root)
-    if target.rejects_path:
-        write_rejects(docs, asked, target.rejects_path, fields)
-    winners = _stage(last_delivery_wins(decode_records(docs, fields)), f"{work}/records")
+    if work is None:
+        with Workspace(spark, "batch") as own:
+            return materialize(bronze_to_silver(spark, bronze_root, keys, target, fields, own, counts), "outcomes")
+    chunks, asked = read_objects(spark, bronze_root, keys, work)
+    docs, counters = observed_audit(documents_of(chunks), fields)
+    docs = work.materialize(docs, "documents")
+    if counts is not None:
+        counts.update(counters.get)
+    ensure_schemas(spark, target.silver_root)
+    if target.rejects_table:
+        write_rejects(docs, asked, target.rejects_table, target.location(target.rejects_table), target.buckets)
+    winners = work.materialize(last_delivery_wins(decode_records(docs, fields)), "records")
     if not winners.isEmpty():
         write_silver_files(winners, target.silver_root, target.file_partitions)
-        upsert_telemetry(winners, target.table_path, buckets=target.buckets, table=target.table, staged=True)
+        upsert_telemetry(winners, target.table, target.location(target.table), target.buckets)
     decoded = object_outcomes(docs, target.silver_root, fields)
     outcomes = asked.join(decoded, "object_key", "left").select(
         "object_key",
@@ -104,12 +102,10 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, keys: Iterable[str]
         F.coalesce("single_device", F.lit(True)).alias("single_device"),
         "error",
     )
-    outcomes = materialize(outcomes.select(*OUTCOME_COLUMNS), "outcomes")
-    delete_dir(spark, work)
-    return outcomes
+    return work.materialize(outcomes.select(*OUTCOME_COLUMNS), "outcomes")
 
 
 def reprocess(spark: SparkSession, bronze_root: str, keys: Iterable[str], target: SilverTarget,
-              fields=None) -> DataFrame:
+              fields=None, work: Workspace | None = None) -> DataFrame:
     """Manual re-run of explicit object keys (same path as the automatic one)."""
-    return bronze_to_silver(spark, bronze_root, list(keys), target, fields)
+    return bronze_to_silver(spark, bronze_root, list(keys), target, fields, work)

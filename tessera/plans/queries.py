@@ -10,19 +10,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions import mac_prefix, silver_prefix
-from tessera.operators import (audit_reason, decodable_chunks, decode_audit, last_delivery_wins, object_outcomes, qualifying_objects,
-                               reassemble, resolve_technology, telemetry)
-from tessera.plans.pipeline import SilverTarget, documents_of, records_of
-from tessera.schemas import DOCUMENT_KEYS
+from tessera.functions import date_parts, epoch_millis_to_ntz, mac_prefix, path_safe, silver_prefix
+from tessera.operators import (audit_reason, decodable_chunks, decode_audit, last_delivery_wins, object_outcomes, observed_audit, qualifying_objects,
+                               reassemble, resolve_technology, stored_layouts, telemetry)
+from tessera.plans.pipeline import SilverTarget, bronze_to_silver, documents_of, records_of
+from tessera.plans.staging import notify, stage_bronze_objects, stage_notifications
+from tessera.schemas import DOCUMENT_KEYS, TELEMETRY
 from tessera.session import fresh_dir, materialize
 from tessera.sinks.silver import ensure_schemas, read_silver_files, silver_file_rows, write_silver_files
-from tessera.sinks.table import read_table_rows, upsert_telemetry
-from tessera.sources import (bronze_chunks, bronze_deliveries, notification_payloads,
-                             parse_notifications, read_table)
+from tessera.sinks.table import TABLE_KEY, merge_buckets, rebucket, upsert_telemetry
+from tessera.sources import (bronze_chunks, bronze_deliveries, list_objects, notification_payloads, notification_records, odd_ids,
+                             parse_notifications, read_table, two_layouts)
+from tessera.streaming.stream import MAX_DELIVERIES, dead_letters, stream_silver
 
 # Silver root used when a query reports paths without writing (as in production).
 SILVER_ROOT = "s3://silver"
@@ -81,15 +83,21 @@ def q_last_delivery_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
                           "object_key")
 
 
+def _new_table(spark: SparkSession, purpose: str) -> tuple[str, str]:
+    """Name and location of a table that no other run has."""
+    work = fresh_dir(spark, purpose)
+    return f"silver.{work.rsplit('/', 1)[-1].replace('-', '_')}", f"{work}/table"
+
+
 def q_telemetry_upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two deliveries upserted one after the other into a fresh bucketed table."""
     # Both upserts read the decoded deliveries: materialize once in the shared
     # folder instead of recomputing the scan and the reassembly shuffle per upsert.
     records = materialize(records_of(_deliveries(spark, sf_dir)), "q-upserted-records")
-    table_path = f"{fresh_dir(spark, 'q-upserted')}/table"
+    table, location = _new_table(spark, "q-upserted")
     for seq in (1, 2):
-        upsert_telemetry(records.where(F.col("delivery_seq") == seq), table_path, buckets=8, staged=True)
-    return telemetry(read_table_rows(spark, table_path))
+        upsert_telemetry(records.where(F.col("delivery_seq") == seq), table, location, buckets=8)
+    return telemetry(spark.table(table))
 
 
 def q_object_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,37 +116,41 @@ def q_silver_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "year", "month", "day")
 
 
+def _new_target(spark: SparkSession, purpose: str) -> tuple[str, SilverTarget]:
+    """A fresh folder and a target below it."""
+    work = fresh_dir(spark, purpose)
+    return work, SilverTarget(silver_root=f"{work}/silver", table=f"silver.{work.rsplit('/', 1)[-1].replace('-', '_')}", buckets=8)
+
+
+def _run_stream(spark: SparkSession, feed: str, bronze_root: str, target: SilverTarget, work: str, **more) -> None:
+    query = stream_silver(spark, feed, bronze_root, target, checkpoint=f"{work}/checkpoint",
+                          outcomes_path=f"{work}/outcomes", available_now=True, **more)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
 def q_stream_availablenow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze objects + a notification feed derived from ``events``, run through
     the streaming job with an available-now trigger; returns the Silver table."""
-    from tessera.plans.staging import stage_bronze_objects, stage_notifications
-    from tessera.streaming.stream import stream_silver
-
-    work = fresh_dir(spark, "q-stream")
+    work, target = _new_target(spark, "q-stream")
     bronze_root, feed = f"{work}/bronze", f"{work}/notifications"
     stage_bronze_objects(_chunks(spark, sf_dir), bronze_root)
     stage_notifications(spark, bronze_root, feed)
-    target = SilverTarget(silver_root=f"{work}/silver", table_path=f"{work}/table", buckets=8)
-    query = stream_silver(spark, feed, bronze_root, target, checkpoint=f"{work}/checkpoint",
-                          outcomes_path=f"{work}/outcomes", available_now=True)
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise RuntimeError(str(query.exception()))
-    return telemetry(read_table_rows(spark, target.table_path))
+    _run_stream(spark, feed, bronze_root, target, work)
+    return telemetry(spark.table(target.table))
 
 
 def q_upsert_after_interruption(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``telemetry_upserted``, but the second upsert first breaks off after it has written
-    its merged buckets and before they become a version; then it is run again."""
-    from tessera.sinks.table import interrupted_upsert
-
+    its merged buckets and before the catalog points at them; then it is run again."""
     records = materialize(records_of(_deliveries(spark, sf_dir)), "q-interrupted-records")
-    table_path = f"{fresh_dir(spark, 'q-interrupted')}/table"
+    table, location = _new_table(spark, "q-interrupted")
     first, second = (records.where(F.col("delivery_seq") == seq) for seq in (1, 2))
-    upsert_telemetry(first, table_path, buckets=8, staged=True)
-    interrupted_upsert(second, table_path)
-    upsert_telemetry(second, table_path, staged=True)
-    return telemetry(read_table_rows(spark, table_path))
+    upsert_telemetry(first, table, location, buckets=8)
+    merge_buckets(second, second.select(*TABLE_KEY).distinct(), table, location, TELEMETRY, TABLE_KEY, 8)
+    upsert_telemetry(second, table, location)
+    return telemetry(spark.table(table))
 
 
 def q_silver_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,58 +164,115 @@ def q_silver_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("source_device_id").alias("device_id"), F.col("source_extraction_id").alias("extraction_id"))
 
 
-def _staged_objects(spark: SparkSession, sf_dir: str, work: str) -> tuple[str, DataFrame]:
-    """Bronze objects of all extractions, and their keys with the number of the extraction."""
-    from tessera.plans.staging import stage_bronze_objects
-    from tessera.sources import list_objects
+def _extraction_no() -> Column:
+    """Number of a fixture extraction, in a row of its chunks."""
+    return F.substring("extraction_id", 5, 100).cast("long")
 
-    bronze_root = f"{work}/bronze"
-    stage_bronze_objects(_chunks(spark, sf_dir), bronze_root)
-    number = F.regexp_extract("object_key", "extraction=ext-([0-9]+)/", 1).cast("long")
-    return bronze_root, materialize(list_objects(spark, bronze_root).withColumn("extraction_no", number), "q-keys")
+
+def _unfit(chunks: DataFrame) -> DataFrame:
+    """Chunks whose sequence numbers no chunk column can hold."""
+    return chunks.withColumn("document_sequence", F.col("document_sequence") + F.lit(1 << 40))
 
 
 def q_object_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All objects are refined; then every seventh is re-delivered with damage inside, and all
-    are refined again: the table keeps the rows that damaged objects had."""
-    from tessera.plans.pipeline import bronze_to_silver
-    from tessera.plans.staging import damage_objects
-
-    work = fresh_dir(spark, "q-integrity")
-    bronze_root, keys = _staged_objects(spark, sf_dir, work)
-    target = SilverTarget(silver_root=f"{work}/silver", table_path=f"{work}/table", buckets=8)
+    """All objects are refined; then every seventh is re-delivered with numbers that do not fit,
+    and all are refined again: the table keeps the rows that these objects had."""
+    work, target = _new_target(spark, "q-integrity")
+    bronze_root, chunks = f"{work}/bronze", _chunks(spark, sf_dir)
+    stage_bronze_objects(chunks, bronze_root)
     bronze_to_silver(spark, bronze_root, None, target)
-    damage_objects(keys.where("extraction_no % 7 = 0"), bronze_root)
+    stage_bronze_objects(_unfit(chunks.where(_extraction_no() % 7 == 0)), bronze_root)
     bronze_to_silver(spark, bronze_root, None, target)
-    return telemetry(read_table_rows(spark, target.table_path))
+    return telemetry(spark.table(target.table))
 
 
 def q_reprocess_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Outcome of every asked key: sound, without decodable documents, damaged, and missing objects."""
-    from tessera.plans.pipeline import bronze_to_silver
-    from tessera.plans.staging import damage_objects
-
-    work = fresh_dir(spark, "q-outcomes")
-    bronze_root, keys = _staged_objects(spark, sf_dir, work)
-    damage_objects(keys.where("extraction_no % 7 = 0"), bronze_root)
-    asked = keys.select("object_key").unionByName(
-        keys.where("extraction_no % 5 = 0").select(F.concat(F.lit("telemetry/extraction=ext-"), F.col("extraction_no").cast("string"), F.lit("/gone +%25.parquet")).alias("object_key")))
-    target = SilverTarget(silver_root=f"{work}/silver", table_path=f"{work}/table", buckets=8)
+    """Outcome of every asked key: sound, without decodable documents, not fitting, and missing objects."""
+    work, target = _new_target(spark, "q-outcomes")
+    bronze_root, chunks = f"{work}/bronze", _chunks(spark, sf_dir)
+    stage_bronze_objects(chunks.where(_extraction_no() % 7 != 0), bronze_root)
+    stage_bronze_objects(_unfit(chunks.where(_extraction_no() % 7 == 0)), bronze_root)
+    number = F.regexp_extract("object_key", "extraction=ext-([0-9]+)/", 1)
+    keys = materialize(list_objects(spark, bronze_root), "q-keys")
+    asked = keys.unionByName(keys.where(number.cast("long") % 5 == 0).select(F.concat(F.lit("telemetry/extraction=ext-"), number, F.lit("/gone +%25.parquet")).alias("object_key")))
     outcomes = bronze_to_silver(spark, bronze_root, asked, target)
     return outcomes.select(F.regexp_extract("object_key", "extraction=(ext-[0-9]+)/", 1).alias("extraction_id"), "status", "n_documents", "n_records",
                            F.col("error").isNotNull().alias("has_error"))
 
 
 def q_catalog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two upserts of a table that the catalog shows, read by its name."""
-    import uuid
-
+    """Two upserts of a table in a schema of the catalog's own place, and another bucket count between them."""
     records = materialize(records_of(_deliveries(spark, sf_dir)), "q-catalog-records")
-    work, name = fresh_dir(spark, "q-catalog"), f"silver.telemetry_{uuid.uuid4().hex[:12]}"
-    ensure_schemas(spark, work)
-    for seq in (1, 2):
-        upsert_telemetry(records.where(F.col("delivery_seq") == seq), f"{work}/table", buckets=8, table=name, staged=True)
-    return telemetry(spark.table(name))
+    table, location = _new_table(spark, "q-catalog")
+    ensure_schemas(spark, location)
+    upsert_telemetry(records.where("delivery_seq = 1"), table, location, buckets=8)
+    rebucket(spark, table, TABLE_KEY, 4)
+    upsert_telemetry(records.where("delivery_seq = 2"), table, location, buckets=4)
+    return telemetry(spark.table(table))
+
+
+def q_redelivered_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects of every seventh extraction are notified before they are there; half of them appear before
+    the second delivery, the others never: each object's deliveries, last status, and whether it is a dead letter."""
+    work, target = _new_target(spark, "q-redelivery")
+    bronze_root, feed, redelivery = f"{work}/bronze", f"{work}/notifications", f"{work}/redelivery"
+    chunks = _chunks(spark, sf_dir)
+    stage_bronze_objects(chunks.where(_extraction_no() % 14 != 7), bronze_root)
+    never = chunks.where(_extraction_no() % 14 == 7).select("extraction_id").distinct()
+    never = never.select(F.concat(F.lit("telemetry/extraction="), "extraction_id", F.lit("/never.parquet")).alias("object_key"))
+    staged = materialize(list_objects(spark, bronze_root), "q-keys")
+    late = F.regexp_extract("object_key", "extraction=ext-([0-9]+)/", 1).cast("long") % 14 == 0
+    notify(staged.where(late).unionByName(never), feed, files=2)
+    _run_stream(spark, feed, f"{work}/nothing-yet", target, work, redelivery_path=redelivery)
+    notify(staged.where(~late), feed, files=4)
+    _run_stream(spark, feed, bronze_root, target, work, redelivery_path=redelivery)
+    for _ in range(MAX_DELIVERIES - 1):  # a batch needs something new in the feed: a notification that names nothing
+        spark.range(1).select(F.lit("{}").alias("value")).write.mode("append").text(feed)
+        _run_stream(spark, feed, bronze_root, target, work, redelivery_path=redelivery)
+    last = (spark.read.parquet(f"{work}/outcomes").groupBy("object_key")
+            .agg(F.max("deliveries").alias("deliveries"), F.max_by("status", "deliveries").alias("status")))
+    dead = dead_letters(spark, redelivery).select("object_key", F.lit(True).alias("dead"))
+    return last.join(dead, "object_key", "left").select(
+        F.regexp_extract("object_key", "extraction=(ext-[0-9]+)/", 1).alias("extraction_id"), "deliveries", "status",
+        F.coalesce("dead", F.lit(False)).alias("dead"))
+
+
+def q_notification_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many notifications are valid, empty and malformed."""
+    notes = parse_notifications(notification_payloads(read_table(spark, sf_dir, "events")))
+    return notes.groupBy(F.col("notification_status").alias("status")).agg(F.count("*").alias("notifications"))
+
+
+def q_notifications_all_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every qualifying record of notifications that name several objects, some by keys with a ``+`` or
+    with a percent sign that starts no escape."""
+    notes = parse_notifications(notification_records(read_table(spark, sf_dir, "events")))
+    return qualifying_objects(notes, all_records=True).select("notification_id", "bucket", "object_key", "correlation_id")
+
+
+def q_silver_odd_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Directory values of ids with slashes, backslashes, spaces and colons, and of times in milliseconds."""
+    events = read_table(spark, sf_dir, "events")
+    return (odd_ids(events).select("event_id", path_safe(F.col("device_id")).alias("device_dir"),
+                                   silver_prefix(SILVER_ROOT, F.col("technology"), F.col("device_id")).alias("silver_prefix"),
+                                   *date_parts(epoch_millis_to_ntz(F.col("millis")))))
+
+
+def q_telemetry_by_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decoded with a stored table of two layouts: the built-in one, and one of a few bits for firmware 136 that
+    only documents of one id type have."""
+    chunks = _chunks(spark, sf_dir).withColumn("id_type", F.when(F.col("document_sequence") % 3 == 0, "short").when(F.col("document_sequence") % 3 == 1, "long"))
+    table = materialize(two_layouts(spark), "q-layouts")
+    return telemetry(records_of(chunks, stored_layouts(table)))
+
+
+def q_decode_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit's counts and the number of records as counters of the job that writes the documents."""
+    docs, counters = observed_audit(documents_of(_chunks(spark, sf_dir)))
+    materialize(docs, "q-counters")
+    found = dict(counters.get)
+    n_records = found.pop("n_records")
+    return spark.createDataFrame([(k, n, n_records) for k, n in found.items() if n], "decode_reason string, documents long, n_records long")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -224,4 +293,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "object_integrity": q_object_integrity,
     "reprocess_outcomes": q_reprocess_outcomes,
     "catalog_roundtrip": q_catalog_roundtrip,
+    "redelivered_objects": q_redelivered_objects,
+    "notification_audit": q_notification_audit,
+    "notifications_all_records": q_notifications_all_records,
+    "silver_odd_ids": q_silver_odd_ids,
+    "telemetry_by_layouts": q_telemetry_by_layouts,
+    "decode_counters": q_decode_counters,
 }

@@ -7,20 +7,19 @@ notification per object (URL-encoded key, as the bucket sends it).
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.schemas import BRONZE_CHUNKS
-from tessera.session import prepare_workers
-from tessera.sources.bronze import object_key_of
-from tessera.sources.files import file_system
+from tessera.sources import list_objects
 
 
 def stage_bronze_objects(chunks: DataFrame, bronze_root: str) -> str:
     """Write one Parquet object per extraction (the upstream invariant: an object
     is one delivery of one extraction, so an extraction is never split).
 
+    Objects of the same extractions that are there already are replaced.
+
     Range partitioning on the extraction packs small extractions into shared
     tasks by row count instead of hashing them unevenly.
     """
@@ -31,44 +30,22 @@ def stage_bronze_objects(chunks: DataFrame, bronze_root: str) -> str:
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     (chunks.withColumn("extraction", F.col("extraction_id"))
      .repartitionByRange(n, "extraction")
-     .write.mode("overwrite").partitionBy("extraction").parquet(target))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("extraction").parquet(target))
     return target
 
 
 def stage_notifications(spark: SparkSession, bronze_root: str, feed_dir: str, files: int = 20) -> str:
-    """Write created-object notifications for every object below ``bronze_root``.
+    """Write created-object notifications for every object below ``bronze_root``, spread
+    over ``files`` JSON-lines files."""
+    return notify(list_objects(spark, bronze_root), feed_dir, files)
 
-    Keys come from the objects' file metadata in a distributed scan (no path
-    list on the driver); the feed is spread over ``files`` JSON-lines files.
-    """
-    objects = (spark.read.schema(BRONZE_CHUNKS).option("recursiveFileLookup", "true")
-               .option("pathGlobFilter", "*.parquet").parquet(bronze_root)
-               .select(object_key_of(F.col("_metadata.file_path"), bronze_root).alias("key"))
-               .distinct())
+
+def notify(objects: DataFrame, feed_dir: str, files: int = 1) -> str:
+    """Add created-object notifications of the objects (object_key) to the feed."""
     record = F.struct(
         F.lit("s3:ObjectCreated:Put").alias("eventName"),
         F.struct(F.struct(F.lit("bronze").alias("name")).alias("bucket"),
-                 F.struct(F.url_encode(F.col("key")).alias("key")).alias("object")).alias("s3"))
+                 F.struct(F.url_encode(F.col("object_key")).alias("key")).alias("object")).alias("s3"))
     payload = F.to_json(F.struct(F.array(record).alias("Records")))
-    objects.select(payload.alias("value")).repartition(files).write.mode("overwrite").text(feed_dir)
+    objects.select(payload.alias("value")).repartition(files).write.mode("append").text(feed_dir)
     return feed_dir
-
-
-def damage_objects(objects: DataFrame, bronze_root: str) -> int:
-    """Overwrite bytes in the middle of the named objects (object_key), as a failing disk
-    or a torn upload would; their footers stay. For end-to-end runs; done by tasks."""
-    prepare_workers(objects.sparkSession)
-
-    def run(batches):
-        fs, base = file_system(bronze_root.rstrip("/"))
-        n = 0
-        for b in batches:
-            for key in b.column(0).to_pylist():
-                with fs.open_input_file(f"{base}/{key}") as f:
-                    data = f.read()
-                with fs.open_output_stream(f"{base}/{key}") as f:
-                    f.write(data[:4] + b"\xff" * 64 + data[68:])
-                n += 1
-        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
-
-    return objects.select("object_key").mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0

@@ -43,6 +43,10 @@ TELEMETRY = T.StructType([
     T.StructField("extraction_id", T.StringType(), True),
 ])
 
+# Documents that yield no records, with the reason.
+REJECT_COLUMNS = ["extraction_id", "id_controller", "document_sequence", "technology", "ble_version", "type", "object_key", "decode_reason"]
+REJECTS = T.StructType([T.StructField(c, T.IntegerType() if c == "document_sequence" else T.StringType(), True) for c in REJECT_COLUMNS])
+
 # Silver files: raw envelope values are kept as data columns, the sanitized ones
 # become the Hive partition directories.
 SILVER_PARTITIONS = ["technology", "device_id", "year", "month", "day", "extraction_id"]

@@ -97,6 +97,31 @@ def delete_dir(spark: SparkSession, path: str) -> None:
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
+class Workspace:
+    """One folder for all that a batch stages, removed when the ``with`` block ends, also by an error.
+
+    What is to outlive the batch is written elsewhere before that.
+    """
+
+    def __init__(self, spark: SparkSession, purpose: str):
+        self.spark, self.path = spark, fresh_dir(spark, purpose)
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_) -> None:
+        delete_dir(self.spark, self.path)
+
+    def fresh(self, purpose: str) -> str:
+        return f"{self.path}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+    def materialize(self, df: DataFrame, purpose: str) -> DataFrame:
+        """As the function of that name, in this folder."""
+        path = self.fresh(purpose)
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
+
 def prepare_workers(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver found it (local
     mode, a shared mount). Elsewhere ship it with ``--py-files``."""

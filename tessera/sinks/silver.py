@@ -2,21 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
-import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import date_parts, path_safe
 from tessera.schemas import SILVER_FILE, SILVER_PARTITIONS
-from tessera.session import materialize, prepare_workers
-from tessera.sources.files import file_system
-
-#: Fixed values of Hive partition directories.
-ESCAPED = frozenset("\"#%'*/:=?\\\x7f{[]^") | {chr(i) for i in range(1, 32)}
-DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def silver_file_rows(records: DataFrame) -> DataFrame:
@@ -34,74 +24,33 @@ def silver_file_rows(records: DataFrame) -> DataFrame:
     )
 
 
-def partition_dir(column: str, value: object) -> str:
-    """Name of a partition directory as Spark writes it."""
-    text = "" if value is None else str(value)
-    return f"{column}=" + ("".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in text) or DEFAULT_PARTITION)
-
-
-def files_before(dirs: DataFrame, target: str, columns: list[str] = SILVER_PARTITIONS) -> DataFrame:
-    """Written table (path) of the data files that the partition directories ``dirs`` hold now; listed by tasks."""
-    prepare_workers(dirs.sparkSession)
-    columns = list(columns)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, root = file_system(target)
-        for b in batches:
-            found = []
-            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                path = "/".join([root, *(partition_dir(c, v) for c, v in zip(columns, row, strict=True))])
-                selector = pyarrow.fs.FileSelector(path, allow_not_found=True)
-                found += [x.path for x in fs.get_file_info(selector) if x.base_name.endswith(".parquet")]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], ["path"])
-
-    return materialize(dirs.select(*columns).distinct().mapInArrow(run, "path string"), "old-files")
-
-
-def delete_files(files: DataFrame, target: str) -> int:
-    """Remove files (path) by tasks; files that are gone already are fine. How many there were."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, _ = file_system(target)
-        n = 0
-        for b in batches:
-            for path in b.column(0).to_pylist():
-                if fs.get_file_info(path).type != pyarrow.fs.FileType.NotFound:
-                    fs.delete_file(path)
-                n += 1
-        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
-
-    return files.mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-
-
 def write_silver_files(records: DataFrame, silver_root: str, partitions: int | None = None) -> str:
     """Write ``<root>/telemetry/technology=/device_id=/year=/month=/day=/extraction_id=``.
 
-    A re-delivered extraction replaces its own directories and leaves every other
-    extraction (also of the same day) alone. One path for every size: tasks list the
-    files that the directories of this write hold (none for new extractions), the rows
-    are appended, and tasks then remove the files listed before. A write that fails in
-    between is repeated from the start; the second run lists what the first one left,
-    so it ends in the same state. Nothing of this is gathered in the driver.
+    Spark's dynamic partition overwrite does the replacing: the rows are written to a
+    staging folder of this job, and its commit puts their directories in the place of the
+    old ones. So a re-delivered extraction replaces its own directories and leaves every
+    other extraction (also of the same day) alone; of two writers of one extraction, the
+    one that commits last leaves its files alone; a write that fails before its commit
+    changes nothing, and one repeated after a failure ends in the same state.
 
     Rows are range-partitioned on the partition columns plus time, so small extractions
     share a task (few files) while a hot extraction is split over several tasks.
 
-    The input is read several times (directories, range sample, write): pass
+    The input is read several times (directory count, range sample, write): pass
     materialized rows (staged files or a checkpoint), as the pipeline does.
     """
     spark = records.sparkSession
     target = f"{silver_root.rstrip('/')}/telemetry"
     rows = silver_file_rows(records)
-    dirs = materialize(rows.select(*SILVER_PARTITIONS).distinct(), "silver-dirs")
-    old = files_before(dirs, target)
     # An explicit task count (sized by the deployment through shuffle partitions), so
     # AQE does not coalesce small inputs into one task that opens every file serially;
     # never more tasks than directories, so a small directory is not cut into several files.
     n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    (rows.repartitionByRange(max(1, min(n, dirs.count())), *SILVER_PARTITIONS, "timestamp", "name")
-     .write.mode("append").partitionBy(*SILVER_PARTITIONS).parquet(target))
-    delete_files(old, target)
+    dirs = rows.select(*SILVER_PARTITIONS).distinct().limit(n).count()
+    if dirs:
+        (rows.repartitionByRange(dirs, *SILVER_PARTITIONS, "timestamp", "name")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*SILVER_PARTITIONS).parquet(target))
     return target
 
 

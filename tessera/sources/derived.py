@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.time import epoch_seconds_of
+from tessera.operators.decode import LAYOUT, PAYLOAD_FIELDS
 
 # Fixed values of the derived fixture: device MAC prefixes chosen by user_id % 9
 # (the seven known prefixes, then two unknown ones) and the low payload byte
@@ -120,3 +121,38 @@ def notification_payloads(events: DataFrame) -> DataFrame:
     )
     payload = F.when(eid % 23 == 0, "not json").when(eid % 29 == 0, "{}").otherwise(body)
     return events.select(eid.alias("notification_id"), payload.alias("payload"))
+
+
+def notification_records(events: DataFrame) -> DataFrame:
+    """Notification JSON text of several records, one per event: a removal, a key with ``+``, a key with
+    a broken escape, and one that qualifies for every second event; every seventh list is empty."""
+    eid, uid = F.col("event_id"), F.col("user_id").cast("string")
+
+    def record(event: str, *key: F.Column) -> F.Column:
+        return F.concat(F.lit(f'{{"eventName":"{event}","s3":{{"bucket":{{"name":"bronze"}},"object":{{"key":"'), *key, F.lit('"}}}'))
+
+    records = F.concat_ws(",", record("s3:ObjectRemoved:Delete", F.lit("telemetry%2Fgone.parquet")),
+                          record("s3:ObjectCreated:Put", F.lit("telemetry%2Fdevice%3D"), uid, F.lit("%2Fa+b%2Ffile.parquet")),
+                          record("s3:ObjectCreated:Copy", F.lit("telemetry%2F100%zz.parquet")),
+                          record("s3:ObjectCreated:Put", F.lit("telemetry%2Fextraction_id%3Dext-"), uid, F.lit("%2Ffile"),
+                                 F.when(eid % 2 == 0, ".parquet").otherwise(".metadata.json")))
+    return events.select(eid.alias("notification_id"),
+                         F.concat(F.lit('{"Records":['), F.when(eid % 7 == 0, "").otherwise(records), F.lit("]}")).alias("payload"))
+
+
+def odd_ids(events: DataFrame) -> DataFrame:
+    """Device ids and technologies with characters that no directory may have, and times in milliseconds."""
+    eid, uid = F.col("event_id"), F.col("user_id").cast("string")
+    device = (F.when(eid % 6 == 0, F.concat(F.lit("a/"), uid)).when(eid % 6 == 1, F.concat(F.lit("a\\"), uid)).when(eid % 6 == 2, F.concat(F.lit("a b"), uid))
+              .when(eid % 6 == 3, F.concat(F.lit(" a:"), uid, F.lit(" "))).when(eid % 6 == 4, "  "))
+    return events.select("event_id", device.alias("device_id"), F.when(eid % 3 == 0, "Imbera Link").when(eid % 3 == 1, ":").otherwise("EL/TEC").alias("technology"),
+                         (epoch_seconds_of(F.col("ts")) * 1000 + eid % 1000).alias("millis"))
+
+
+#: Fixed values of the derived fixture: a second payload layout, of firmware 136 and one id type.
+FIXTURE_LAYOUT = [("ImberaLink", "136", "short", "EVENTS", 6, "mode", 35, 3), ("ImberaLink", "136", "short", "EVENTS", 6, "level", 40, 8)]
+
+
+def two_layouts(spark: SparkSession) -> DataFrame:
+    """A table of payload layouts: the built-in ones and ``FIXTURE_LAYOUT``."""
+    return spark.createDataFrame([(*r[:2], None, *r[2:]) for r in PAYLOAD_FIELDS] + FIXTURE_LAYOUT, LAYOUT)

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import uuid
-
 import pyarrow.fs
 from pyspark.sql import SparkSession
 
@@ -27,6 +24,11 @@ def hadoop_path(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, jpath = hadoop_path(spark, path)
+    return fs.exists(jpath)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, jpath = hadoop_path(spark, path)
     stream = fs.open(jpath)
@@ -39,38 +41,3 @@ def read_text(spark: SparkSession, path: str) -> str:
 def list_names(spark: SparkSession, path: str) -> list[str]:
     fs, jpath = hadoop_path(spark, path)
     return sorted(s.getPath().getName() for s in fs.listStatus(jpath)) if fs.exists(jpath) else []
-
-
-def create_once(spark: SparkSession, path: str, text: str) -> bool:
-    """Create a file with its whole text, or leave an existing one alone; whether it was created.
-
-    The text is first written beside it. A local file appears by ``link``, one of another
-    store by a rename that refuses to overwrite; the store must make that one step (HDFS
-    does; an object store needs a committer that does).
-    """
-    fs, jpath = hadoop_path(spark, path)
-    fs.mkdirs(jpath.getParent())
-    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{jpath.getParent().toString()}/.{uuid.uuid4().hex}")
-    out = fs.create(draft, False)
-    try:
-        out.write(bytearray(text.encode()))
-    finally:
-        out.close()
-    if fs.getUri().getScheme() == "file":
-        try:
-            os.link(draft.toUri().getPath(), jpath.toUri().getPath())
-            return True
-        except FileExistsError:
-            return False
-        finally:
-            fs.delete(draft, False)
-    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
-    options = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
-    try:
-        context.rename(draft, jpath, options)
-        return True
-    except Exception:
-        if not fs.exists(jpath):
-            raise
-        fs.delete(draft, False)
-        return False

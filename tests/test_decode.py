@@ -2,7 +2,11 @@
 
 import datetime as dt
 
-from tessera.operators import audit_reason, decode_audit, decode_records, resolve_technology
+import pytest
+
+from tessera.operators import audit_reason, decodable_chunks, decode_audit, decode_records, resolve_technology, stored_layouts
+from tessera.operators import decode
+from tessera.operators.decode import LAYOUT
 
 
 def _doc(ble="126", type_="EVENTS", payload="000f424008a8", tech="ImberaLink", device="B4A2EB428B04"):
@@ -85,3 +89,57 @@ def test_layout_rows_decode_any_bit_slice(documents_df):
 
     assert got == {"twelve": float(bits(4, 12)), "three": float(bits(45, 3)), "ten": float(bits(36, 10))}
     assert got["twelve"] == float(0xABC)
+
+
+def _layouts(spark, *rows):
+    return spark.createDataFrame(list(rows), LAYOUT)
+
+
+STORED = [("ELTEC", "9", None, "EVENTS", 8, "low", 32, 4), ("ELTEC", "9", None, "EVENTS", 8, "high", 36, 28),
+          ("Villa", "2", "mac", "EVENTS", 5, "one", 39, 1), ("Villa", "2", "serial", "EVENTS", 6, "two", 32, 16)]
+
+
+def test_stored_layouts_are_chosen_by_all_four_keys(spark, documents_df):
+    docs = documents_df([("a", "D", "ELTEC", "mac", "9", 1, "EVENTS", "0000000a" + "5000000f"), ("b", "D", "ELTEC", None, "9", 1, "EVENTS", "0000000a" + "a0000001"),
+                         ("c", "D", "Villa", "mac", "2", 1, "EVENTS", "0000000b" + "01"), ("d", "D", "Villa", "serial", "2", 1, "EVENTS", "0000000c" + "0102"),
+                         ("e", "D", "Villa", None, "2", 1, "EVENTS", "0000000c" + "0102"), ("f", "D", "Villa", "serial", "2", 1, "START", "0000000c" + "0102"),
+                         ("g", "D", "Villa", "mac", "2", 1, "EVENTS", "0000000c" + "0102")])
+    layouts = stored_layouts(_layouts(spark, *STORED))
+    got = {(r["extraction_id"], r["name"], r["value"]) for r in decode_records(docs, layouts).collect()}
+    assert got == {("a", "low", 5.0), ("a", "high", 15.0), ("b", "low", 10.0), ("b", "high", 1.0), ("c", "one", 1.0), ("d", "two", 258.0)}
+    audited = audit_reason(docs, layouts)
+    reasons = {r["extraction_id"]: (r["decode_reason"], r["decoded_fields"]) for r in audited.collect()}
+    assert reasons == {"a": ("ok", 2), "b": ("ok", 2), "c": ("ok", 1), "d": ("ok", 1), "e": ("no_layout", 0), "f": ("no_layout", 0), "g": ("bad_payload", 0)}
+    assert {(r["extraction_id"], r["name"], r["value"]) for r in decode_records(audited, layouts).collect()} == got
+    plan = decode_records(docs, layouts)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2
+
+
+def test_chunks_of_stored_layouts_go_before_the_shuffle(spark, chunks_df):
+    chunks = chunks_df([(e, "AABBCC000001", "Villa", kind, "2", 1, "EVENTS", 0, "00") for e, kind in (("x", "mac"), ("y", "other"), ("z", None))])
+    assert [r["extraction_id"] for r in decodable_chunks(chunks, stored_layouts(_layouts(spark, *STORED))).collect()] == ["x"]
+
+
+def test_many_layouts_are_not_broadcast(spark, documents_df, monkeypatch):
+    monkeypatch.setattr(decode, "BROADCAST_ROWS", 3)
+    docs = documents_df([("a", "D", "ELTEC", "mac", "9", 1, "EVENTS", "0000000a" + "5000000f")])
+    df = decode_records(docs, stored_layouts(_layouts(spark, *STORED)))
+    assert "ResolvedHint" not in df._jdf.queryExecution().analyzed().toString()
+    assert {(r["name"], r["value"]) for r in df.collect()} == {("low", 5.0), ("high", 15.0)}
+
+
+@pytest.mark.parametrize("row, fault", [
+    (("ELTEC", None, None, "EVENTS", 8, "x", 64, 1), "a column is null"),
+    (("ELTEC", "9", None, "EVENTS", 8, "x", 63, 2), "bits outside the payload"),
+    (("ELTEC", "9", None, "EVENTS", 8, "x", -1, 2), "bits outside the payload"),
+    (("Villa", "3", None, "EVENTS", 16, "x", 40, 0), "the width is not 1 to 60 bits"),
+    (("Villa", "3", None, "EVENTS", 16, "x", 40, 61), "the width is not 1 to 60 bits"),
+    (("Villa", "3", None, "EVENTS", 16, "x", 31, 1), "bits of the sample time"),
+    (("ELTEC", "9", None, "EVENTS", 8, "x", 35, 1), "bits of another field"),
+    (("Villa", "2", "mac", "EVENTS", 6, "x", 40, 1), "payload sizes differ"),
+    (("Villa", "2", "serial", "EVENTS", 6, "two", 32, 16), "bits of another field"),
+    (("Villa", "2", None, "EVENTS", 6, "x", 40, 1), "layouts for any and for one id type"),
+])
+def test_faulty_layouts_are_refused(spark, row, fault):
+    with pytest.raises(ValueError, match=fault):
+        stored_layouts(_layouts(spark, *STORED, row))

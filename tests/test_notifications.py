@@ -71,3 +71,16 @@ def test_key_functions(spark):
     assert out[0]["d"] == "a/extraction_id=x1/f g.parquet" and out[0]["c"] == "x1"
     assert out[1]["d"] is None  # broken escape does not fail the batch
     assert out[2]["d"] == "" and out[2]["c"] == ""
+
+
+@pytest.mark.parametrize("text, status", [
+    ('{"Records":[{"eventName":"x"}]}', "valid"), ('{"Records":[{}],"more":1}', "valid"), ("{}", "empty"), ('{"Records":[]}', "empty"), ('{"Records":null}', "empty"),
+    ("", "empty"), ("  ", "empty"), (None, "empty"), ("not json", "malformed"), ('{"Records":[', "malformed"), ('{"Records":"text"}', "malformed"), ("[1, 2]", "malformed"), ("7", "malformed"),
+])
+def test_malformed_is_told_from_empty(spark, text, status):
+    from tessera.sources import rejected_notifications
+
+    notes = parse_notifications(spark.createDataFrame([(text,)], "payload string"))
+    assert notes.first()["notification_status"] == status
+    assert [r["payload"] for r in rejected_notifications(notes).collect()] == ([text] if status == "malformed" else [])
+    assert qualifying_objects(notes).count() == 0

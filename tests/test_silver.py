@@ -8,13 +8,20 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import path_safe, silver_prefix
+from tessera.schemas import TELEMETRY
 from tessera.sinks.silver import ensure_schemas, read_silver_files, write_silver_files
-from tessera.sinks.table import (TableConflict, current_version, read_table_rows, rebucket, upsert_telemetry)
+from tessera.sinks.table import TABLE_KEY, TableConflict, buckets_for, merge_buckets, rebucket, remove_unused, replace_rows, upsert_telemetry
 
 TS = dt.datetime(2026, 5, 28, 20, 26, 40)  # 1780000000000 ms
 DAY_DIR = "telemetry/technology=ImberaLink/device_id=B4A2EB428B04/year=2026/month=5/day=28"
 
 
+@pytest.fixture()
+def place(workdir):
+    """Name and location of a new table."""
+    return f"silver.t_{os.urandom(6).hex()}", f"{workdir}/table"
+
+
 @pytest.fixture()
 def records(spark):
     def make(extraction, rows):
@@ -29,64 +36,59 @@ def _files(root, extraction):
     return glob.glob(f"{root}/{DAY_DIR}/extraction_id={extraction}/*.parquet")
 
 
-def _write(records_df, root, table):
+def _write(records_df, root, place):
     write_silver_files(records_df, root)
-    upsert_telemetry(records_df, table, buckets=4)
+    upsert_telemetry(records_df, *place, buckets=4)
 
 
-def test_layout_and_table(spark, records, workdir):
-    root, table = f"{workdir}/silver", f"{workdir}/table"
-    _write(records("ext-1", [("compressor_state", 1.0), ("door_state", 0.0)]), root, table)
+def test_layout_and_table(spark, records, workdir, place):
+    root = f"{workdir}/silver"
+    _write(records("ext-1", [("compressor_state", 1.0), ("door_state", 0.0)]), root, place)
     assert os.path.isdir(f"{root}/{DAY_DIR}")
     assert _files(root, "ext-1")
-    assert read_table_rows(spark, table).count() == 2
+    assert spark.table(place[0]).count() == 2
     back = read_silver_files(spark, root).collect()
     assert {(r["source_device_id"], r["year"], r["month"], r["day"]) for r in back} == {
         ("B4A2EB428B04", 2026, 5, 28)}
 
 
-def test_empty_records_write_nothing(spark, records, workdir):
-    root, table = f"{workdir}/silver", f"{workdir}/table"
-    _write(records("ext-1", []), root, table)
+def test_empty_records_write_nothing(spark, records, workdir, place):
+    root = f"{workdir}/silver"
+    _write(records("ext-1", []), root, place)
     assert not glob.glob(f"{root}/**/*.parquet", recursive=True)
-    assert not os.path.exists(table)
+    assert not glob.glob(f"{place[1]}/**/*.parquet", recursive=True) and spark.table(place[0]).count() == 0
 
 
-def test_redelivery_replaces_rows_and_file(spark, records, workdir):
-    root, table = f"{workdir}/silver", f"{workdir}/table"
-    _write(records("ext-redelivered", [("compressor_state", 1.0), ("door_state", 0.0)]), root, table)
+def test_redelivery_replaces_rows_and_file(spark, records, workdir, place):
+    root = f"{workdir}/silver"
+    _write(records("ext-redelivered", [("compressor_state", 1.0), ("door_state", 0.0)]), root, place)
     _write(records("ext-redelivered", [("compressor_state", 1.0), ("door_state", 0.0),
-                                       ("internal_temperature", 4.5)]), root, table)
+                                       ("internal_temperature", 4.5)]), root, place)
     assert len(_files(root, "ext-redelivered")) == 1
-    rows = read_table_rows(spark, table).where(F.col("extraction_id") == "ext-redelivered")
+    rows = spark.table(place[0]).where(F.col("extraction_id") == "ext-redelivered")
     assert rows.count() == 3
     assert read_silver_files(spark, root).count() == 3
 
 
-def test_two_extractions_accumulate(spark, records, workdir):
-    root, table = f"{workdir}/silver", f"{workdir}/table"
-    _write(records("ext-a", [("compressor_state", 1.0)]), root, table)
-    _write(records("ext-b", [("door_state", 0.0)]), root, table)
+def test_two_extractions_accumulate(spark, records, workdir, place):
+    root = f"{workdir}/silver"
+    _write(records("ext-a", [("compressor_state", 1.0)]), root, place)
+    _write(records("ext-b", [("door_state", 0.0)]), root, place)
     assert len(_files(root, "ext-a")) == 1 and len(_files(root, "ext-b")) == 1
-    assert read_table_rows(spark, table).count() == 2
-
-
-def test_upsert_touches_only_its_buckets(spark, records, workdir):
-    table = f"{workdir}/table"
-    many = records("x", []).sparkSession.createDataFrame(
-        [("s", 1.0, TS, "ImberaLink", f"D{i}", f"ext-{i}") for i in range(20)],
-        "name string, value double, timestamp timestamp_ntz, technology string, device_id string, "
-        "extraction_id string")
-    upsert_telemetry(many, table, buckets=4)
-    before = {p: os.path.getmtime(p) for p in glob.glob(f"{table}/data/*/bucket=*/*.parquet")}
-    one = many.where("extraction_id = 'ext-3'").withColumn("value", F.lit(9.0))
-    upsert_telemetry(one, table, buckets=4)
-    rows = read_table_rows(spark, table).collect()
+    assert spark.table(place[0]).count() == 2
+
+
+def test_upsert_touches_only_its_buckets(spark, place):
+    upsert_telemetry(_keyed(spark, 20, 1.0), *place, buckets=4)
+    before = {p: os.path.getmtime(p) for p in glob.glob(f"{place[1]}/*/bucket=*/*.parquet")}
+    upsert_telemetry(_keyed(spark, 1, 9.0, 3), *place)
+    rows = spark.table(place[0]).collect()
     assert len(rows) == 20
     assert [r["value"] for r in rows if r["extraction_id"] == "ext-3"] == [9.0]
-    touched = read_table_rows(spark, table).where("extraction_id = 'ext-3'").select("bucket").first()[0]
-    untouched = [p for p in before if f"bucket={touched}/" not in p]
-    assert untouched and all(os.path.exists(p) and os.path.getmtime(p) == before[p] for p in untouched)
+    touched = spark.table(place[0]).where("extraction_id = 'ext-3'").select("bucket").first()[0]
+    now = {x.removeprefix("file://") for x in spark.table(place[0]).inputFiles()}
+    assert {p for p in before if f"bucket={touched}/" not in p} <= now
+    assert all(os.path.getmtime(p) == before[p] for p in before)  # what readers may hold is still there
 
 
 def test_path_safe_rules(spark):
@@ -127,19 +129,16 @@ def test_escaped_partition_values_take_the_replace_path(spark, workdir):
     assert [r["name"] for r in read_silver_files(spark, root).collect()] == ["t"]
 
 
-def test_upsert_registers_the_catalog_table(spark, records, workdir):
+def test_schemas_of_the_catalog(spark, records, workdir):
     ensure_schemas(spark, workdir)
-    name = f"silver.telemetry_decoded_{os.urandom(3).hex()}"
-    table = f"{workdir}/table"
-    upsert_telemetry(records("ext-1", [("compressor_state", 1.0), ("door_state", 0.0)]), table, buckets=4, table=name)
-    upsert_telemetry(records("ext-1", [("compressor_state", 0.0)]), table, buckets=4, table=name)
-    assert spark.catalog.tableExists(name)
-    assert [(r["name"], r["value"]) for r in spark.table(name).collect()] == [("compressor_state", 0.0)]
+    name = f"gold.telemetry_{os.urandom(3).hex()}"
+    upsert_telemetry(records("ext-1", [("compressor_state", 1.0), ("door_state", 0.0)]), name, f"{workdir}/table", buckets=4)
+    upsert_telemetry(records("ext-1", [("compressor_state", 0.0)]), name, f"{workdir}/table", buckets=4)
+    assert [(r["name"], r["value"]) for r in spark.sql(f"SELECT * FROM {name}").collect()] == [("compressor_state", 0.0)]
+    assert [f.name for f in spark.table(name).schema] == [*TELEMETRY.fieldNames(), "bucket"]
 
 
 def test_bucket_count_follows_table_size():
-    from tessera.sinks.table import buckets_for
-
     assert buckets_for(0) == 1
     assert buckets_for(256 << 20) == 1
     assert buckets_for((256 << 20) + 1) == 2
@@ -152,88 +151,124 @@ def _keyed(spark, n, value, first=0):
         "name string, value double, timestamp timestamp_ntz, technology string, device_id string, extraction_id string")
 
 
-def test_a_crash_before_the_version_loses_nothing(spark, workdir):
-    from tessera.sinks.table import interrupted_upsert
+def _values(spark, place):
+    return sorted(r["value"] for r in spark.table(place[0]).collect())
+
+
+def test_a_crash_before_the_catalog_knows_loses_nothing(spark, place):
+    upsert_telemetry(_keyed(spark, 20, 1.0), *place, buckets=4)
+    again = _keyed(spark, 5, 2.0)
+    merge_buckets(again, again.select(*TABLE_KEY), *place, TELEMETRY, TABLE_KEY, 4)
+    assert _values(spark, place) == [1.0] * 20
+    upsert_telemetry(again, *place)
+    assert _values(spark, place) == [1.0] * 15 + [2.0] * 5
 
-    table = f"{workdir}/table"
-    upsert_telemetry(_keyed(spark, 20, 1.0), table, buckets=4)
-    interrupted_upsert(_keyed(spark, 5, 2.0), table)
-    assert sorted(r["value"] for r in read_table_rows(spark, table).collect()) == [1.0] * 20
-    upsert_telemetry(_keyed(spark, 5, 2.0), table)
-    assert sorted(r["value"] for r in read_table_rows(spark, table).collect()) == [1.0] * 15 + [2.0] * 5
 
+def test_repeated_upserts_end_the_same(spark, place):
+    for _ in range(3):
+        upsert_telemetry(_keyed(spark, 20, 1.0), *place, buckets=4)
+        upsert_telemetry(_keyed(spark, 5, 2.0, 3), *place)
+        assert _values(spark, place) == [1.0] * 15 + [2.0] * 5
 
-def test_concurrent_writers_lose_no_rows(spark, workdir):
+
+def test_one_catalog_call_for_all_known_buckets(spark, place, monkeypatch):
+    """No statement a bucket: their number does not depend on how many buckets a replace touches."""
+    from pyspark.sql import SparkSession
+
+    said, real = [], SparkSession.sql
+    monkeypatch.setattr(SparkSession, "sql", lambda self, q, *a, **k: said.append(q) or real(self, q, *a, **k))
+    sizes = []
+    for n in (2, 300):
+        upsert_telemetry(_keyed(spark, n, 1.0), *place, buckets=64)
+        said.clear()
+        upsert_telemetry(_keyed(spark, n, 2.0), *place)
+        sizes.append(len(said))
+    assert sizes[0] == sizes[1] < 10
+    assert _values(spark, place) == [2.0] * 300
+
+
+def test_concurrent_writers_lose_no_rows(spark, place):
     from concurrent.futures import ThreadPoolExecutor
 
-    table = f"{workdir}/table"
-    upsert_telemetry(_keyed(spark, 1, 0.0, 99), table, buckets=1)
+    upsert_telemetry(_keyed(spark, 1, 0.0, 99), *place, buckets=1)
 
     def write(i):
         try:
-            upsert_telemetry(_keyed(spark, 1, float(i), i), table)
+            upsert_telemetry(_keyed(spark, 1, float(i), i), *place)
             return True
         except TableConflict:
             return False
 
     with ThreadPoolExecutor(4) as pool:
         done = list(pool.map(write, range(4)))
-    rows = {r["extraction_id"] for r in read_table_rows(spark, table).collect()}
+    rows = {r["extraction_id"] for r in spark.table(place[0]).collect()}
     assert rows == {"ext-99", *(f"ext-{i}" for i in range(4) if done[i])}  # a writer that gave up said so
     assert sum(done) >= 1
 
 
-def test_a_version_is_made_once(spark, workdir):
-    from tessera.sources.files import create_once, list_names, read_text
-
-    assert create_once(spark, f"{workdir}/v/1.json", "a")
-    assert not create_once(spark, f"{workdir}/v/1.json", "b")
-    assert read_text(spark, f"{workdir}/v/1.json") == "a" and list_names(spark, f"{workdir}/v") == ["1.json"]
+def test_rows_replaced_by_none(spark, place):
+    upsert_telemetry(_keyed(spark, 20, 1.0), *place, buckets=4)
+    gone = _keyed(spark, 18, 1.0)
+    replace_rows(gone.where("false"), *place, TELEMETRY, TABLE_KEY, replaced=gone)
+    assert sorted(r["extraction_id"] for r in spark.table(place[0]).collect()) == ["ext-18", "ext-19"]
 
 
-def test_another_bucket_count_is_refused(spark, workdir):
-    table = f"{workdir}/table"
-    upsert_telemetry(_keyed(spark, 20, 1.0), table, buckets=16)
+def test_another_bucket_count_is_refused(spark, place):
+    upsert_telemetry(_keyed(spark, 20, 1.0), *place, buckets=16)
     with pytest.raises(ValueError, match="16 buckets"):
-        upsert_telemetry(_keyed(spark, 20, 2.0), table, buckets=4)
-    upsert_telemetry(_keyed(spark, 20, 2.0), table)  # without a count: the table's own
-    assert sorted(r["value"] for r in read_table_rows(spark, table).collect()) == [2.0] * 20
-    rebucket(spark, table, 4)
-    assert current_version(spark, table).buckets == 4
-    upsert_telemetry(_keyed(spark, 20, 3.0), table, buckets=4)
-    assert sorted(r["value"] for r in read_table_rows(spark, table).collect()) == [3.0] * 20
+        upsert_telemetry(_keyed(spark, 20, 2.0), *place, buckets=4)
+    upsert_telemetry(_keyed(spark, 20, 2.0), *place)  # without a count: the table's own
+    assert _values(spark, place) == [2.0] * 20
+    rebucket(spark, place[0], TABLE_KEY, 4)
+    assert {r["bucket"] for r in spark.table(place[0]).collect()} <= {0, 1, 2, 3} and _values(spark, place) == [2.0] * 20
+    upsert_telemetry(_keyed(spark, 20, 3.0), *place, buckets=4)
+    assert _values(spark, place) == [3.0] * 20
+
 
+def test_rows_of_a_table_that_the_catalog_lost_are_not_hidden(spark, place):
+    upsert_telemetry(_keyed(spark, 2, 1.0), *place, buckets=4)
+    with pytest.raises(ValueError, match="does not know"):
+        upsert_telemetry(_keyed(spark, 2, 2.0), f"{place[0]}_other", place[1])
 
-def test_files_follow_buckets_not_tasks(spark, workdir):
-    table = f"{workdir}/table"
-    upsert_telemetry(_keyed(spark, 400, 1.0).repartition(32), table, buckets=16)
-    upsert_telemetry(_keyed(spark, 400, 2.0).repartition(32), table)
-    for version in glob.glob(f"{table}/data/commit=*"):
-        assert len(glob.glob(f"{version}/bucket=*/*.parquet")) <= 2 * 16
 
+def test_files_follow_buckets_not_tasks(spark, place):
+    upsert_telemetry(_keyed(spark, 400, 1.0).repartition(32), *place, buckets=16)
+    upsert_telemetry(_keyed(spark, 400, 2.0).repartition(32), *place)
+    for folder in glob.glob(f"{place[1]}/replace=*"):
+        assert len(glob.glob(f"{folder}/bucket=*/*.parquet")) <= 2 * 16
 
-def test_old_versions_are_removed(spark, workdir):
-    table = f"{workdir}/table"
+
+def test_unused_folders_are_removed_when_old(spark, place):
     for i in range(4):
-        upsert_telemetry(_keyed(spark, 8, float(i)), table, buckets=2, keep_versions=2)
-    assert len(glob.glob(f"{table}/versions/*.json")) == 2
-    assert len(glob.glob(f"{table}/data/commit=*/bucket=*")) <= 4
-    assert {r["value"] for r in read_table_rows(spark, table).collect()} == {3.0}
+        upsert_telemetry(_keyed(spark, 8, float(i)), *place, buckets=2)
+    upsert_telemetry(_keyed(spark, 1, 9.0), *place)  # one bucket of the last folder stays in use
+    assert remove_unused(spark, place[0]) == 0  # too young
+    assert remove_unused(spark, place[0], hours=0) == 7
+    assert len(glob.glob(f"{place[1]}/replace=*/bucket=*")) == 2 and len(glob.glob(f"{place[1]}/replace=*")) == 2
+    assert _values(spark, place) == [3.0] * 7 + [9.0]
 
 
-def test_failed_silver_write_converges(spark, records, workdir, monkeypatch):
-    import tessera.sinks.silver as silver
+def test_two_writers_of_an_extraction_leave_one_copy(spark, records, workdir):
+    """Both list what is there, and write, before either commits; whoever commits last stays."""
+    from concurrent.futures import ThreadPoolExecutor
 
-    root, real = f"{workdir}/silver", silver.delete_files
-    write_silver_files(records("ext-a", [("compressor_state", 1.0)]), root)
+    root = f"{workdir}/silver"
+    write_silver_files(records("ext-z", [("door_state", 1.0)]), root)
+    many = [records("ext-a", [(f"s{i}", float(w)) for i in range(50)]) for w in range(2)]
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda df: write_silver_files(df, root), many))
+    rows = read_silver_files(spark, root).where("extraction_id = 'ext-a'").collect()
+    assert len(rows) == 50 and len({r["value"] for r in rows}) == 1
+    assert read_silver_files(spark, root).count() == 51
 
-    def crash(*_):
-        raise RuntimeError("lost after the append")
 
-    monkeypatch.setattr(silver, "delete_files", crash)
-    with pytest.raises(RuntimeError):
-        write_silver_files(records("ext-a", [("fan_state", 1.0)]), root)
-    monkeypatch.setattr(silver, "delete_files", real)
+def test_a_silver_write_that_breaks_off_changes_nothing(spark, records, workdir):
+    root = f"{workdir}/silver"
+    write_silver_files(records("ext-a", [("compressor_state", 1.0)]), root)
+    broken = records("ext-a", [("fan_state", 1.0)] * 100).withColumn("value", F.when(F.rand(1) < 0.5, F.raise_error(F.lit("lost"))).otherwise(F.col("value")).cast("double"))
+    with pytest.raises(Exception, match="lost"):
+        write_silver_files(broken, root)
+    assert [r["name"] for r in read_silver_files(spark, root).collect()] == ["compressor_state"]
     write_silver_files(records("ext-a", [("fan_state", 1.0)]), root)
     assert [r["name"] for r in read_silver_files(spark, root).collect()] == ["fan_state"]
 
