@@ -10,9 +10,11 @@
    fewer agree in a whole band. A shard is the set of fingerprints with one value in
    one band; each shard becomes a BK-tree (children keyed by the Hamming distance to
    their parent) in the task that it is dealt to. Fingerprints are never gathered in
-   the driver or sent to every executor: a tree goes just to the tasks whose queries
-   can reach it. A shard of more than ``split`` fingerprints is sent to several tasks,
-   each of which answers its share of the shard's queries.
+   the driver or sent to every executor. A shard of more than ``split`` fingerprints is
+   cut into blocks of about ``split``; every two blocks meet in a cell, where one is the
+   tree and the other queries it, so no task holds more than two blocks, however hot the
+   shard. Cells are as many as the square of the blocks: every two fingerprints of a
+   shard have to meet.
 4. Every fingerprint queries its trees, following only edges within the radius
    (``|edge - distance to the node| <= distance``). All trees of a task are built and
    searched level by level in numpy. A task emits one link per fingerprint, to the
@@ -97,19 +99,23 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class BKForest:
     """BK-trees over 64-bit codes, one per tree id, built and searched together.
 
-    A node is the row number of its code. ``edge_key`` (parent * 65 + distance to the
-    parent) of all nodes but the roots is sorted, so the children of a node within a
-    range of distances are one slice. Equal codes of a tree hang below each other at
-    distance 0.
+    A node is the row number of its code; rows that are no nodes only query the tree of
+    their id. ``edge_key`` (parent * 65 + distance to the parent) of all nodes but the
+    roots is sorted, so the children of a node within a range of distances are one slice.
+    Equal codes of a tree hang below each other at distance 0. ``root_of`` is -1 where a
+    tree has no nodes.
     """
 
-    def __init__(self, codes: np.ndarray, trees: np.ndarray):
+    def __init__(self, codes: np.ndarray, trees: np.ndarray, is_node: np.ndarray | None = None):
         self.codes = codes
-        n = len(codes)
-        _, first, tree = np.unique(trees, return_index=True, return_inverse=True)
-        self.root_of = first[tree]
+        inside = np.arange(len(codes)) if is_node is None else np.flatnonzero(is_node)
+        names, first = np.unique(trees[inside], return_index=True)
+        self.root_of = np.full(len(codes), -1)
+        if len(names):
+            tree = np.minimum(np.searchsorted(names, trees), len(names) - 1)
+            self.root_of = np.where(names[tree] == trees, inside[first][tree], -1)
         at = self.root_of.copy()
-        waiting = np.flatnonzero(at != np.arange(n))
+        waiting = inside[at[inside] != inside]
         keys, nodes = [], []
         while len(waiting):  # everybody descends one level; the first at a free edge takes it
             key = at[waiting] * 65 + distances(codes[waiting], codes[at[waiting]])
@@ -125,7 +131,8 @@ class BKForest:
 
     def search(self, queries: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs (query, node) within the radius, level by level; queries are row numbers."""
-        q, node = queries, self.root_of[queries]
+        q = queries[self.root_of[queries] >= 0]
+        node = self.root_of[q]
         while len(q):
             d = distances(self.codes[q], self.codes[node])
             near = d <= radius
@@ -155,9 +162,10 @@ def merge_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             label[:] = up
 
 
-def shard_links(codes: np.ndarray, trees: np.ndarray, is_query: np.ndarray, radius: int, block: int = 4096) -> tuple[np.ndarray, np.ndarray]:
-    """(node, smallest member of its class) for all whose class has others, by BK-tree searches."""
-    forest = BKForest(codes, trees)
+def shard_links(codes: np.ndarray, trees: np.ndarray, is_query: np.ndarray, radius: int, block: int = 4096,
+                is_node: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(code, smallest member of its class) for all whose class has others, by BK-tree searches."""
+    forest = BKForest(codes, trees, is_node)
     label = np.arange(len(codes))
     queries = np.flatnonzero(is_query)
     for i in range(0, len(queries), block):
@@ -172,29 +180,35 @@ def link_fingerprints(fps: DataFrame, distance: int = 3, split: int = 8192) -> D
 
     ``fps``: one column ``fp``, distinct signed longs.
     """
-    spark = fps.sparkSession
-    prepare_workers(spark)
-    keys = [F.struct(F.lit(i).cast("long").alias("band"),
-                     F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << width) - 1)).alias("value"))
-            for i, (shift, width) in enumerate(bands_of(distance))]
-    n = fps.count()
-    keyed = materialize(fps.select("fp", F.explode(F.array(*keys)).alias("key")).select("fp", "key.band", "key.value"), "bands", 4 * n)
-    shards = materialize(keyed.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1"), "shards", 2 * n)
-    parts = F.ceil(F.col("n") / F.lit(split)).cast("long")
-    routed = (keyed.join(shards, ["band", "value"])
-              .withColumn("mine", F.pmod(F.xxhash64("fp"), parts))
-              .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
-              .select("band", "value", "part", "fp", (F.col("mine") == F.col("part")).alias("query")))
-    order = ["band", "value", "part"]
+    prepare_workers(fps.sparkSession)
+    cells = deal_cells(fps, distance, split)
+    order = ["band", "value", "low", "high"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in complete_groups(batches, order):
             key = np.stack([t.column(c).to_numpy() for c in order], axis=1)
             tree = np.concatenate(([0], np.cumsum((key[1:] != key[:-1]).any(axis=1))))
-            u, v = shard_links(t.column("fp").to_numpy().view(np.uint64), tree, t.column("query").to_numpy(), distance)
+            query, node = (t.column(c).to_numpy() for c in ("query", "node"))
+            u, v = shard_links(t.column("fp").to_numpy().view(np.uint64), tree, query, distance, is_node=node)
             yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["u", "v"])
 
-    return routed.repartition(*order).sortWithinPartitions(*order, "fp").mapInArrow(run, "u long, v long")
+    return cells.repartition(*order).sortWithinPartitions(*order, "fp").mapInArrow(run, "u long, v long")
+
+
+def deal_cells(fps: DataFrame, distance: int, split: int) -> DataFrame:
+    """Fingerprints dealt to cells (band, value, low, high): in each, those of block ``low`` of the shard
+    query the tree of block ``high``; a fingerprint of block b is in the cells that b has with each block."""
+    keys = [F.struct(F.lit(i).cast("long").alias("band"),
+                     F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << width) - 1)).alias("value"))
+            for i, (shift, width) in enumerate(bands_of(distance))]
+    n = fps.count()
+    keyed = materialize(fps.select("fp", F.explode(F.array(*keys)).alias("key")).select("fp", "key.band", "key.value"), "bands", 4 * n)
+    shards = materialize(keyed.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1"), "shards", 2 * n)
+    blocks = F.ceil(F.col("n") / F.lit(split)).cast("long")
+    met = keyed.join(shards, ["band", "value"]).withColumn("mine", F.pmod(F.xxhash64("fp"), blocks))
+    return (met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+            .select("band", "value", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "fp",
+                    (F.col("mine") <= F.col("other")).alias("query"), (F.col("mine") >= F.col("other")).alias("node")))
 
 
 def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,

@@ -136,3 +136,38 @@ def test_prefix_sums(spark, workdir):
         for r in group:
             assert r["before"] == at
             at += r["x"]
+
+
+def test_a_hot_shard_is_split_on_both_sides(spark):
+    """More than 100,000 fingerprints agree in a band: no cell holds more than two blocks, and no link is lost."""
+    rng = np.random.default_rng(12)
+    high = rng.integers(0, 1 << 48, 102_000, dtype=np.uint64)
+    chain = high[:1500]
+    for _ in range(2):  # chains of copies at 1 to 3 bits, so that components have up to three members
+        flips = np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 48, (3, len(chain)), dtype=np.uint64), axis=0)
+        chain = chain ^ flips
+        high = np.concatenate([high, chain])
+    codes = np.unique(high << np.uint64(16) | np.uint64(0xBEEF))
+    fps = spark.createDataFrame([(int(c),) for c in codes.view(np.int64)], "fp long")
+    sizes = simhash_dedup.deal_cells(fps, 3, 8192).groupBy("band", "value", "low", "high").count().agg({"count": "max"}).first()[0]
+    assert sizes < 2.2 * 8192
+    found = {r["node"]: r["root"] for r in connected_components(simhash_dedup.link_fingerprints(fps, 3)).collect()}
+    label = np.arange(len(codes))
+    for i in range(0, len(codes), 256):
+        a, b = np.nonzero(np.bitwise_count(codes[i:i + 256, None] ^ codes[None, i:]) <= 3)
+        simhash_dedup.merge_labels(label, a[a < b] + i, b[a < b] + i)
+    members = {}
+    for k, root in enumerate(label.tolist()):
+        members.setdefault(root, []).append(int(codes.view(np.int64)[k]))
+    want = {c: min(group) for group in members.values() if len(group) > 1 for c in group}
+    assert len(want) > 4000 and found == want
+
+
+def test_rows_that_only_query(spark):
+    rng = np.random.default_rng(13)
+    codes, trees = rng.integers(0, 1 << 12, 400, dtype=np.uint64), np.sort(rng.integers(0, 9, 400))
+    is_node = (rng.random(400) < 0.5) & (trees != 4)  # one tree has no node
+    forest = simhash_dedup.BKForest(codes, trees, is_node)
+    queries = np.flatnonzero(~is_node)
+    pairs = {(int(q), int(n)) for qs, ns in forest.search(queries, 2) for q, n in zip(qs, ns, strict=True)}
+    assert pairs == {(q, n) for q in queries.tolist() for n in np.flatnonzero(is_node).tolist() if trees[q] == trees[n] and int(codes[q] ^ codes[n]).bit_count() <= 2}
