@@ -85,28 +85,35 @@ def windows(sequences: list[np.ndarray], lanes: int, steps: int, end: int) -> It
         lane, seq, at = lane[on], seq[on].copy(), at[on]
 
 
-def run_states(w: Weights, table: np.ndarray, x: np.ndarray, h: np.ndarray, keep: bool) -> tuple[np.ndarray, list]:
-    """States after each step (step, lane, hidden); with ``keep`` what backpropagation needs."""
+def run_states(w: Weights, table: np.ndarray, x: np.ndarray, h: np.ndarray, keep: bool) -> tuple[np.ndarray, tuple | None]:
+    """States after each step (step, lane, hidden); with ``keep`` what backpropagation needs: states before each
+    step, update and reset gates, candidates, and what the reset gates act on."""
     hidden = h.shape[1]
-    states, kept = np.empty((len(x), *h.shape), np.float32), []
+    states = np.empty((len(x), *h.shape), h.dtype)
+    inputs = table[x]
+    gates = np.empty((len(x), len(h), 2 * hidden), h.dtype)
+    if keep:
+        candidates, recurrent = np.empty_like(states), np.empty_like(states)
+    first, half, one = h, h.dtype.type(0.5), h.dtype.type(1)
     for t in range(len(x)):
-        gx, gh = table[x[t]], h @ w["state"]
-        gates = gx[:, :2 * hidden] + gh[:, :2 * hidden]
-        gates *= np.float32(0.5)
-        np.tanh(gates, out=gates)
-        gates += np.float32(1)
-        gates *= np.float32(0.5)
-        z, r = gates[:, :hidden], gates[:, hidden:]
-        candidate = r * gh[:, 2 * hidden:]
-        candidate += gx[:, 2 * hidden:]
+        gh = h @ w["state"]
+        gate = gates[t]
+        np.add(inputs[t, :, :2 * hidden], gh[:, :2 * hidden], out=gate)
+        gate *= half
+        np.tanh(gate, out=gate)
+        gate += one
+        gate *= half
+        candidate = gate[:, hidden:] * gh[:, 2 * hidden:]
+        candidate += inputs[t, :, 2 * hidden:]
         np.tanh(candidate, out=candidate)
         if keep:
-            kept.append((h, z, r, candidate, gh[:, 2 * hidden:]))
-        h = h - candidate
-        h *= z
+            candidates[t], recurrent[t] = candidate, gh[:, 2 * hidden:]
+        h = np.subtract(h, candidate, out=states[t])
+        h *= gate[:, :hidden]
         h += candidate
-        states[t] = h
-    return states, kept
+    if not keep:
+        return states, None
+    return states, (np.concatenate((first[None], states[:-1])), gates[:, :, :hidden], gates[:, :, hidden:], candidates, recurrent)
 
 
 def log_softmax(logits: np.ndarray) -> np.ndarray:
@@ -118,37 +125,34 @@ def log_softmax(logits: np.ndarray) -> np.ndarray:
 def output(w: Weights, h: np.ndarray, y: np.ndarray, gradients: Weights | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """Log-probability of each target (natural log); adds to ``gradients`` of the mean loss and returns that of h."""
     members = w["member"].shape[2]
-    cls, member = y // members, y % members
-    order = np.argsort(cls, kind="stable")
-    h, cls, member = h[order], cls[order], member[order]
+    order = np.argsort(y // members, kind="stable")
+    h, cls, member = h[order], y[order] // members, y[order] % members
     rows = np.arange(len(y))
     by_class = log_softmax(h @ w["class"] + w["class_bias"])
-    found = by_class[rows, cls].astype(np.float64)
-    starts = np.searchsorted(cls, np.arange(len(w["class_bias"]) + 1))
-    dh = None
-    if gradients is not None:
-        d = np.exp(by_class)
-        d[rows, cls] -= 1
-        d /= len(y)
-        gradients["class"] += h.T @ d
-        gradients["class_bias"] += d.sum(axis=0)
-        dh = d @ w["class"].T
-    for c in range(len(starts) - 1):
-        a, b = starts[c], starts[c + 1]
-        if a == b:
-            continue
-        part, picked = log_softmax(h[a:b] @ w["member"][c] + w["member_bias"][c]), member[a:b]
-        found[a:b] += part[rows[:b - a], picked]
-        if gradients is not None:
-            d = np.exp(part)
-            d[rows[:b - a], picked] -= 1
-            d /= len(y)
-            gradients["member"][c] += h[a:b].T @ d
-            gradients["member_bias"][c] += d.sum(axis=0)
-            dh[a:b] += d @ w["member"][c].T
+    starts = np.searchsorted(cls, np.arange(len(w["class_bias"]) + 1)).tolist()
+    parts = [(c, slice(a, b)) for c, (a, b) in enumerate(zip(starts, starts[1:], strict=False)) if b > a]
+    logits = w["member_bias"][cls]
+    for c, part in parts:
+        logits[part] += h[part] @ w["member"][c]
+    by_member = log_softmax(logits)
+    found = by_class[rows, cls].astype(np.float64) + by_member[rows, member]
     back = np.empty_like(order)
     back[order] = rows
-    return found[back], None if dh is None else dh[back]
+    if gradients is None:
+        return found[back], None
+    for logs, picked in ((by_class, cls), (by_member, member)):
+        np.exp(logs, out=logs)
+        logs[rows, picked] -= 1
+        logs /= len(y)
+    gradients["class"] += h.T @ by_class
+    gradients["class_bias"] += by_class.sum(axis=0)
+    dh = by_class @ w["class"].T
+    for c, part in parts:
+        gradients["member"][c] += h[part].T @ by_member[part]
+        dh[part] += by_member[part] @ w["member"][c].T
+    filled = [c for c, _ in parts]
+    gradients["member_bias"][filled] += np.add.reduceat(by_member, [part.start for _, part in parts], axis=0)
+    return found[back], dh[back]
 
 
 def log_likelihoods(w: Weights, sequences: list[np.ndarray], end: int, lanes: int = 768, steps: int = 64) -> np.ndarray:
@@ -166,41 +170,56 @@ def log_likelihoods(w: Weights, sequences: list[np.ndarray], end: int, lanes: in
     return total
 
 
-def train(w: Weights, sequences: list[np.ndarray], end: int, lanes: int = 48, steps: int = 16, rate: float = 0.01) -> tuple[Weights, int]:
-    """Truncated backpropagation through time: one Adam step a window. New weights, and symbols learned from."""
+def window_gradients(w: Weights, x: np.ndarray, y: np.ndarray, n: np.ndarray, h: np.ndarray) -> tuple[Weights, np.ndarray]:
+    """Gradients of the mean loss of a window (inputs and targets (step, lane), lengths) that starts from
+    states ``h``, by backpropagation through its steps; and the states after it."""
+    hidden = h.shape[1]
+    table = w["embedding"] @ w["input"] + w["input_bias"]
+    states, (before, z, r, candidate, recurrent) = run_states(w, table, x, h, True)
+    valid = np.arange(len(x))[:, None] < n
+    g = {k: np.zeros_like(a) for k, a in w.items()}
+    d_states = np.zeros_like(states)
+    _, d_states[valid] = output(w, states[valid], y[valid], g)
+    # what a step's gradient of its state is multiplied by, for the three inputs of the gates and the candidate
+    by_candidate = (1 - z) * (1 - candidate * candidate)
+    factors = np.concatenate(((before - candidate) * z * (1 - z), by_candidate * recurrent * r * (1 - r), by_candidate), axis=2)
+    # and the same for what the state gives them
+    by_state = factors.copy()
+    by_state[:, :, 2 * hidden:] *= r
+    back, dh = np.ascontiguousarray(w["state"].T), np.zeros_like(h)
+    for t in range(len(x) - 1, -1, -1):
+        dh += d_states[t]
+        three = np.concatenate((dh, dh, dh), axis=1)
+        factors[t] *= three
+        by_state[t] *= three
+        dh *= z[t]
+        dh += by_state[t] @ back
+    flat_x, d_input, d_state = x.ravel(), factors.reshape(-1, 3 * hidden), by_state.reshape(-1, 3 * hidden)
+    g["state"] += before.reshape(-1, hidden).T @ d_state
+    g["input"] += w["embedding"][flat_x].T @ d_input
+    g["input_bias"] += d_input.sum(axis=0)
+    order = np.argsort(flat_x, kind="stable")
+    sorted_x = flat_x[order]
+    first = np.flatnonzero(np.concatenate(([True], sorted_x[1:] != sorted_x[:-1])))
+    g["embedding"][sorted_x[first]] = np.add.reduceat((d_input @ w["input"].T)[order], first)
+    return g, states[-1]
+
+
+def train(w: Weights, sequences: list[np.ndarray], end: int, lanes: int = 384, steps: int = 16, rate: float = 0.03) -> tuple[Weights, int]:
+    """Truncated backpropagation through time: one Adam step a window. New weights, and symbols learned from.
+
+    ``rate`` is that of windows of ``lanes`` x ``steps`` symbols. It falls with the square root where all windows
+    are smaller, to a third at least, and in proportion in the last windows, which hold few sequences and tell little.
+    """
     w = {k: v.copy() for k, v in w.items()}
     m, v, step, learned = {k: np.zeros_like(a) for k, a in w.items()}, {k: np.zeros_like(a) for k, a in w.items()}, 0, 0
-    hidden = w["state"].shape[0]
-    state = np.zeros((lanes, hidden), np.float32)
+    state = np.zeros((lanes, w["state"].shape[0]), np.float32)
+    full = 0
     for lane, _, at, x, y, n in windows(sequences, lanes, steps, end):
+        full = max(full, n.sum())
+        size = rate * max(1 / 3, np.sqrt(full / (lanes * steps))) * n.sum() / full
         state[lane[at == 0]] = 0
-        table = w["embedding"] @ w["input"] + w["input_bias"]
-        states, kept = run_states(w, table, x, state[lane], True)
-        state[lane] = states[-1]
-        valid = np.arange(len(x))[:, None] < n
-        g = {k: np.zeros_like(a) for k, a in w.items()}
-        _, dh_out = output(w, states[valid], y[valid], g)
-        d_states = np.zeros_like(states)
-        d_states[valid] = dh_out
-        dh = np.zeros_like(states[0])
-        d_table = np.empty((*x.shape, 3 * hidden), np.float32)
-        for t in range(len(x) - 1, -1, -1):
-            before, z, r, candidate, gh = kept[t]
-            dh = dh + d_states[t]
-            dc = dh * (1 - z) * (1 - candidate * candidate)
-            dz = dh * (before - candidate) * z * (1 - z)
-            dr = dc * gh * r * (1 - r)
-            d_table[t] = np.concatenate((dz, dr, dc), axis=1)
-            d_hidden = np.concatenate((dz, dr, dc * r), axis=1)
-            g["state"] += before.T @ d_hidden
-            dh = dh * z + d_hidden @ w["state"].T
-        flat_x, flat_d = x.ravel(), d_table.reshape(-1, 3 * hidden)
-        g["input"] += w["embedding"][flat_x].T @ flat_d
-        g["input_bias"] += flat_d.sum(axis=0)
-        order = np.argsort(flat_x, kind="stable")
-        sorted_x = flat_x[order]
-        first = np.flatnonzero(np.concatenate(([True], sorted_x[1:] != sorted_x[:-1])))
-        g["embedding"][sorted_x[first]] = np.add.reduceat((flat_d @ w["input"].T)[order], first)
+        g, state[lane] = window_gradients(w, x, y, n, state[lane])
         norm = np.sqrt(sum(float((a * a).sum()) for a in g.values()))
         step += 1
         learned += int(n.sum())
@@ -209,5 +228,5 @@ def train(w: Weights, sequences: list[np.ndarray], end: int, lanes: int = 48, st
                 a /= np.float32(norm)
             m[k] += np.float32(0.1) * (a - m[k])
             v[k] += np.float32(0.01) * (a * a - v[k])
-            w[k] -= np.float32(rate / (1 - 0.9 ** step)) * m[k] / (np.sqrt(v[k] / np.float32(1 - 0.99 ** step)) + np.float32(1e-6))
+            w[k] -= np.float32(size / (1 - 0.9 ** step)) * m[k] / (np.sqrt(v[k] / np.float32(1 - 0.99 ** step)) + np.float32(1e-6))
     return w, learned

@@ -140,6 +140,32 @@ def test_gradients_against_differences():
     assert dh.shape == h.shape
 
 
+def test_gradients_through_time_against_differences():
+    """Of every weight, over a window of lanes of different lengths that starts from a state."""
+    _, w = small_network()
+    w = {k: v.astype(np.float64) for k, v in w.items()}
+    rng = np.random.default_rng(2)
+    n, hidden = np.array([7, 4, 1]), w["state"].shape[0]
+    x, y = rng.integers(0, 12, (2, 7, 3))
+    h = rng.standard_normal((3, hidden))
+    g, last = gru.window_gradients(w, x, y, n, h)
+    valid = np.arange(7)[:, None] < n
+
+    def loss():
+        states, _ = gru.run_states(w, w["embedding"] @ w["input"] + w["input_bias"], x, h, False)
+        return -gru.output(w, states[valid], y[valid])[0].mean()
+
+    assert set(g) == set(w) and last.shape == h.shape
+    for k in w:
+        for _ in range(6):
+            at = tuple(rng.integers(0, m) for m in w[k].shape)
+            w[k][at] += 1e-5
+            up = loss()
+            w[k][at] -= 2e-5
+            assert (up - loss()) / 2e-5 == pytest.approx(g[k][at], abs=1e-6), k
+            w[k][at] += 1e-5
+
+
 def test_training_lowers_the_loss():
     shape, w = small_network()
     sequences = [np.tile(np.array([1, 5, 9], np.uint16), 30) for _ in range(20)]
