@@ -226,6 +226,10 @@ def locate_records(archives: DataFrame) -> DataFrame:
     return archives.select("archive").mapInArrow(run, "archive string, at long, length long")
 
 
+#: Bytes of an archive that one task reads from its start to its end.
+STRETCH = 4 << 20
+
+
 def read_records(located: DataFrame) -> DataFrame:
     """Range-read the located records: page_id, url, payload (null of revisits), payload_bytes,
     payload_digest, record_type, refers_to."""
@@ -245,5 +249,9 @@ def read_records(located: DataFrame) -> DataFrame:
                 found = [parse_record(gzip.decompress(read_at(opened(name), at, n))) for name, at, n in rows[i:i + 256]]
                 yield pa.RecordBatch.from_pylist(found, schema)
 
-    return located.select("archive", "at", "length").mapInArrow(
+    # Records are dealt by stretches of their archives: a manifest's few files would make few tasks.
+    spark = located.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    dealt = located.select("archive", "at", "length").repartition(n, "archive", F.expr(f"at div {STRETCH}")).sortWithinPartitions("archive", "at")
+    return dealt.mapInArrow(
         run, "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long")
