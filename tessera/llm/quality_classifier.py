@@ -205,7 +205,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 def keep_good(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs`` that score ``threshold`` or more, all columns as they are."""
     prepare_workers(docs.sparkSession)
-    at = docs.columns.index(text_col)
+    at = [c.lower() for c in docs.columns].index(text_col.lower())  # as Spark finds columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = shared_scorer(model)
