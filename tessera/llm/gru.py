@@ -117,8 +117,12 @@ def run_states(w: Weights, table: np.ndarray, x: np.ndarray, h: np.ndarray, keep
 
 
 def log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    """In place. One number is subtracted from all rows where none of them could vanish by it, else each row's largest."""
+    if not logits.size:
+        return logits
+    top = logits.max()
+    logits -= top if top - logits.min() < 80 else logits.max(axis=1, keepdims=True)
+    logits -= np.log(np.exp(logits) @ np.ones((logits.shape[1], 1), logits.dtype))  # a sum along short rows
     return logits
 
 
@@ -145,7 +149,7 @@ def output(w: Weights, h: np.ndarray, y: np.ndarray, gradients: Weights | None =
         logs[rows, picked] -= 1
         logs /= len(y)
     gradients["class"] += h.T @ by_class
-    gradients["class_bias"] += by_class.sum(axis=0)
+    gradients["class_bias"] += np.ones(len(y), by_class.dtype) @ by_class
     dh = by_class @ w["class"].T
     for c, part in parts:
         gradients["member"][c] += h[part].T @ by_member[part]

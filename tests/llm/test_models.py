@@ -122,6 +122,15 @@ def test_state_is_carried_across_windows_and_lanes():
     assert gru.log_likelihoods(w, sequences, 4, lanes=2, steps=7) == pytest.approx(whole, rel=1e-4, abs=1e-6)
 
 
+def test_log_softmax_of_far_apart_numbers():
+    for spread in (1.0, 50.0, 3000.0):
+        x = (np.random.default_rng(3).standard_normal((40, 7)) * spread).astype(np.float32)
+        exact = x.astype(np.float64) - x.max(axis=1, keepdims=True)
+        exact -= np.log(np.exp(exact).sum(axis=1, keepdims=True))
+        assert gru.log_softmax(x.copy()) == pytest.approx(exact, rel=1e-4, abs=1e-4)
+    assert gru.log_softmax(np.empty((0, 7), np.float32)).shape == (0, 7)
+
+
 def test_gradients_against_differences():
     _, w = small_network()
     w = {k: v.astype(np.float64) for k, v in w.items()}
