@@ -351,8 +351,11 @@ def links_between_components(nodes: DataFrame, rooted: DataFrame, roots: DataFra
 
 
 def links_in_components(nodes: DataFrame, rooted: DataFrame, roots: DataFrame, s: Settings) -> DataFrame:
-    """(id, linked): copies linked to each node of the components ``roots`` (root, size), compared in blocks."""
-    blocks = F.ceil(F.col("size") / s.block).cast("long")
+    """(id, linked): copies linked to each node of the components ``roots`` (root, size), compared in blocks.
+
+    A component of less than some blocks is cut into up to eight smaller ones, so that several tasks share its cells.
+    """
+    blocks = F.greatest(F.ceil(F.col("size") / s.block), F.least(F.lit(8), F.ceil(F.col("size") * 16 / s.block))).cast("long")
     member = (rooted.join(roots, "root").join(nodes, "id").withColumn("blocks", blocks).withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")))
               .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))))
     cells = (member.select("root", F.col("mine").alias("i"), F.col("other").alias("j"), "id", "vec", "copies", F.lit(0).cast("long").alias("target"))
