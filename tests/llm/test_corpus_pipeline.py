@@ -1,7 +1,11 @@
 from __future__ import annotations
 
 import corpus_pipeline
+import public_tokenizers
 import pytest
+from test_dedup import classes, fingerprint, normalised, null_last
+from test_packing import checked
+from tokenizers import Tokenizer
 
 from tessera.llm.exact_dedup import exact_dedup
 from tessera.llm.quality_classifier import fit, score
@@ -46,3 +50,41 @@ def test_no_documents(spark, docs, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         table = stage(spark, table, sf_dir)
         assert table.count() == 0
+
+
+def plain(rows, model):
+    """What the filtering stages leave of (doc_id, text) rows, row by row in plain Python."""
+    good = sorted(((i, t) for i, t in rows if model.probability(t or "") >= 0.3), key=lambda r: null_last(r[0]))
+    first = {}
+    for i, t in good:
+        first.setdefault(normalised(t), (i, t))
+    distinct = list(first.values())
+    label = classes(list(range(len(distinct))), [fingerprint(t) for _, t in distinct])  # rows stand in the order of their ids
+    return [distinct[k] for k in sorted(set(label))]
+
+
+def packed_well(rows, left):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    tokenizer.encode_special_tokens = True
+    checked(rows, left, tokenizer, 4096)
+
+
+def test_run_against_plain_python(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    left = plain([(r["doc_id"], r["text"]) for r in docs.collect()], fit(docs, labels))
+    assert 0 < len(left) < docs.count()
+    rows = [{**r.asDict(), "row_id": r["doc_id"]} for r in corpus_pipeline.run(spark, sf_dir).collect()]
+    assert {r["doc_id"] for r in rows} == {i for i, _ in left}
+    packed_well(rows, left)
+
+
+def test_odd_rows_through_all_stages(spark, docs, odd_texts, sf_dir):
+    """Nulls, empty and very long texts, repeats; the classifier is fitted on the same few odd rows' labels, or none."""
+    table = docs(odd_texts)
+    left = plain(odd_texts, fit(table, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        columns, table = table.columns, stage(spark, table, sf_dir).persist()
+        assert table.columns == columns
+    assert sorted((null_last(r["doc_id"]), normalised(r["text"])) for r in table.collect()) == sorted((null_last(i), normalised(t)) for i, t in left)
+    rows = [{**r.asDict(), "row_id": r["doc_id"]} for r in corpus_pipeline.STAGES[-1][1](spark, table, sf_dir).collect()]
+    packed_well(rows, left)
