@@ -16,7 +16,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from tessera.plans.queries import QUERIES  # noqa: E402
 from tessera.session import build_session  # noqa: E402
 
-WRITERS = {"telemetry_upserted", "silver_roundtrip", "stream_availablenow"}
+WRITERS = {"telemetry_upserted", "silver_roundtrip", "stream_availablenow", "upsert_after_interruption", "silver_redelivered", "object_integrity",
+           "reprocess_outcomes", "catalog_roundtrip", "redelivered_objects", "decode_counters"}
 
 
 def main() -> None:
