@@ -81,9 +81,12 @@ def licenses_of_runs(rows: DataFrame, runs: DataFrame) -> DataFrame:
     sent = F.broadcast if small else (lambda x: x)
     starts = sent(runs.select(F.col("first").alias("digest"), "length").distinct())
     begun = materialize(rows.select("row_id", F.posexplode("blocks").alias("at", "digest")).join(starts, "digest").select("row_id", "at", "length"), "license-starts")
-    found = begun.join(rows.select("row_id", "blocks"), "row_id").where(F.col("at") + F.col("length") <= F.size("blocks"))
-    return (found.select("row_id", "length", run_digest(F.slice("blocks", F.col("at") + 1, F.col("length"))).alias("run"))
-            .join(sent(runs.select("run", "length", "license_id")), ["run", "length"]).select("row_id", "license_id"))
+    # A text's blocks are carried once, however often it repeats a known first block; one of its runs is a known text once.
+    of_text = begun.groupBy("row_id").agg(F.collect_list(F.struct("at", "length")).alias("begun"))
+    inside = F.filter("begun", lambda r: r["at"] + r["length"] <= F.size("blocks"))
+    runs_of_text = F.array_distinct(F.transform(inside, lambda r: F.struct(r["length"].alias("length"), run_digest(F.slice("blocks", r["at"] + 1, r["length"])).alias("run"))))
+    found = of_text.join(rows.select("row_id", "blocks"), "row_id").select("row_id", F.explode(runs_of_text).alias("found")).select("row_id", "found.*")
+    return found.join(sent(runs.select("run", "length", "license_id")), ["run", "length"]).select("row_id", "license_id")
 
 
 def scan_licenses(docs: DataFrame, licenses: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -47,6 +47,13 @@ def test_texts_of_several_blocks_inside_documents(docs):
     assert {r["doc_id"]: (r["license_ids"], r["n_licenses"], r["whole_license"]) for r in rows} == {1: ("MIT", 1, None), 2: ("BSD-2-Clause,BSD-3-Clause", 2, None), 3: ("", 0, None), 4: ("MIT", 1, None)}
 
 
+def test_a_text_that_repeats_a_licence(docs):
+    """Many starts of the same known text, and of ones that break off."""
+    first = _MIT.split("\n\n")[0]
+    rows = scan_licenses(docs([(1, "\n\n".join([_MIT] * 300)), (2, "\n\n".join([first] * 500)), (3, "\n\n".join([first] * 500 + [_MIT]))])).collect()
+    assert {r["doc_id"]: (r["license_ids"], r["n_licenses"]) for r in rows} == {1: ("MIT", 1), 2: ("", 0), 3: ("MIT", 1)}
+
+
 def test_own_license_table(spark, docs):
     own = spark.createDataFrame([("B", "Own Licence"), ("A", "own license."), ("C", None), ("D", "!!")], "license_id string, text string")
     rows = scan_licenses(docs([(1, "OWN LICENSE"), (2, "!!"), (3, "own")]), own).collect()
