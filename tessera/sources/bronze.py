@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from tessera.schemas import BRONZE_CHUNKS
 from tessera.session import Workspace, prepare_workers
-from tessera.sources.files import exists, file_system
+from tessera.sources.files import exists, file_system, qualified
 
 #: What the footers say: ``n_rows`` where the object is sound so far, else its status and the error.
 FOOTERS = T.StructType([T.StructField("object_key", T.StringType()), T.StructField("n_rows", T.LongType()),
@@ -54,6 +54,7 @@ def scanned_key(root: str) -> Column:
 
 def list_objects(spark: SparkSession, root: str) -> DataFrame:
     """(object_key) of every Parquet object below the root, from Spark's file listing."""
+    root = qualified(spark, root)
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", "*.parquet").load(root))
     return files.select(object_key_of(F.col("path"), root).alias("object_key"))
@@ -132,6 +133,7 @@ def read_objects(spark: SparkSession, root: str, keys: Iterable[str] | DataFrame
     The scan of every object below the root is one; named objects are scanned ``paths_at_once``
     at a time, so that is what the driver holds of a long list. Both results are staged in ``work``.
     """
+    root = qualified(spark, root)
     footers = work.materialize(read_footers(keys_table(spark, root, keys), root), "footers")
     staged = work.fresh("chunks")
     if keys is None:

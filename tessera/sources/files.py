@@ -24,6 +24,12 @@ def hadoop_path(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as Spark names files below it: absolute, with scheme and authority."""
+    fs, jpath = hadoop_path(spark, path)
+    return fs.makeQualified(jpath).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, jpath = hadoop_path(spark, path)
     return fs.exists(jpath)

@@ -242,6 +242,18 @@ def test_chunk_bytes_stay_in_the_jvm(spark, workdir):
             assert "MapInArrow" not in df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_roots_may_be_written_in_other_ways(spark, workdir):
+    """A relative root, a URI, a trailing slash, a space in the name."""
+    bronze = f"{workdir}/bro nze"
+    key = put_object(spark, bronze, "telemetry/extraction_id=run-7", ONE_OBJECT)
+    for root in (os.path.relpath(bronze), f"file://{bronze}", f"file:{bronze}/", f"{bronze}/"):
+        for keys in ([key], None):
+            with Workspace(spark, "test") as work:
+                chunks, objects = read_objects(spark, root, keys, work)
+                assert [(r["object_key"], r["object_status"]) for r in objects.collect()] == [(key, "read")], root
+                assert chunks.where(F.col("object_key") == key).count() == 3
+
+
 def test_many_keys_are_scanned_some_at_a_time(spark, workdir):
     bronze = f"{workdir}/bronze"
     keys = [put_object(spark, bronze, f"telemetry/extraction_id=run-{i}", [event(f"run-{i}", 1)]) for i in range(7)]
