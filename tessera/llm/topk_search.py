@@ -14,8 +14,12 @@ Queries meet all candidates in passes: a pass broadcasts queries of about ``at_o
 components in all, every task runs its blocks of candidates against them with the
 thresholds it has, and keeps k + 1 hits a query; a window picks the best of all tasks.
 Candidates are neither shuffled nor copied. First thresholds come from a bounded number
-of candidates (``seeds``); they only save work. The work is the number of queries times
-the number of vectors, as the exact search of a query set that grows with its table is.
+of candidates (``seeds``). A pass then takes the candidates in portions, by a hash, each
+``growth`` times what went before it, and what it found gives the thresholds of the next:
+a portion has about ``growth`` times k + 1 candidates that reach a query's threshold, so
+the hits that are shuffled grow with the logarithm of the table, not with its tasks.
+Thresholds only save work. The work is the number of queries times the number of
+vectors, as the exact search of a query set that grows with its table is.
 
 Hits have one place more than asked for, because a query's own row is among the candidates:
 the row of its id and vector with the best place is left out at the end. Equal rows are
@@ -210,13 +214,34 @@ def search(queries, scale: int, k: int, row: str):
             s = slice(i, i + (1 << 16))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rows[query[s]]), pa.array(query_ids[query[s]]), pa.array(ids[s], pa.int64(), mask=none[s]), pa.array(score[s]), pa.array(own[s])],
-                ["row", "query_id", "vec_id", "score", "own"])
+                [row, "query_id", "vec_id", "score", "own"])
 
     return run
 
 
+def portions(rows: int, seeds: int, growth: int) -> list[tuple[int, int]]:
+    """Ranges of a hash modulo the last one's end: each portion has ``growth`` times the candidates
+    of those before it, and the first about that many times ``seeds`` at most."""
+    ends = [1]
+    while rows > seeds * growth * ends[-1]:
+        ends.append(growth * ends[-1])
+    return list(zip([0, *ends], ends))
+
+
+def best_of_all(hits: DataFrame, row: str, k: int) -> DataFrame:
+    """The k best hits of each query, with their ``place``."""
+    place = F.row_number().over(Window.partitionBy(row).orderBy(F.desc("score"), F.col("vec_id").asc_nulls_last(), F.desc("own")))
+    return hits.withColumn("place", place).where(F.col("place") <= k)
+
+
+def raised(queries: DataFrame, best: DataFrame, row: str, k: int) -> DataFrame:
+    """Queries with the threshold that their k-th best hit gives, where they have so many."""
+    last = best.where(F.col("place") == k).select(row, F.col("score").alias("last"))
+    return queries.join(last, row, "left").select("id", "v", F.greatest("floor", "last").alias("floor"), row)
+
+
 def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 50, k: int = 5,
-          scale: int = 256, at_once: int = 1 << 22, seeds: int = BLOCK) -> DataFrame:
+          scale: int = 256, at_once: int = 1 << 22, seeds: int = BLOCK, growth: int = 16) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k best rows for every row whose id is divisible by ``every``."""
     spark = vectors.sparkSession
     prepare_workers(spark)
@@ -227,17 +252,19 @@ def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
                             .mapInArrow(with_floors(some, scale, k + 1), f"id long, v {vector_type}, floor long"))
     components, = queries.agg(F.sum(F.size("v"))).first()
     passes = max(1, -(-(components or 0) // at_once))
+    parts = portions(table.count(), seeds, growth)
+    portion = F.pmod(F.xxhash64("id", "v"), F.lit(parts[-1][1]))
     found = None
     for i in range(passes):
-        shared = spark.sparkContext.broadcast(queries.where(F.pmod(F.xxhash64(row), F.lit(passes)) == i).toArrow())
-        hits = table.mapInArrow(search(shared, scale, k + 1, row), "row long, query_id long, vec_id long, score long, own boolean")
-        along = Window.partitionBy("row")
-        place = F.row_number().over(along.orderBy(F.desc("score"), F.col("vec_id").asc_nulls_last(), F.desc("own")))
-        own = F.coalesce(F.min(F.when(F.col("own"), F.col("place"))).over(along), F.lit(k + 1))
-        ranked = (hits.withColumn("place", place).where(F.col("place") <= k + 1)
-                  .withColumn("left_out", own).where(F.col("place") != F.col("left_out"))
-                  .select("query_id", (F.col("place") - (F.col("place") > F.col("left_out")).cast("int")).alias("rank"), "vec_id", "score"))
-        done = materialize(ranked, "hits")
-        shared.unpersist()
-        found = done if found is None else found.unionByName(done)
-    return found
+        mine, best = queries.where(F.pmod(F.xxhash64(row), F.lit(passes)) == i), None
+        for start, end in parts:
+            now = mine if best is None else raised(mine, best, row, k + 1)
+            shared = spark.sparkContext.broadcast(now.toArrow())
+            candidates = table.where((portion >= start) & (portion < end))
+            hits = candidates.mapInArrow(search(shared, scale, k + 1, row), f"{row} long, query_id long, vec_id long, score long, own boolean")
+            best = materialize(best_of_all(hits if best is None else hits.unionByName(best.drop("place")), row, k + 1), "hits")
+            shared.unpersist()
+        found = best if found is None else found.unionByName(best)
+    own = F.coalesce(F.min(F.when(F.col("own"), F.col("place"))).over(Window.partitionBy(row)), F.lit(k + 1))
+    return (found.withColumn("left_out", own).where(F.col("place") != F.col("left_out"))
+            .select("query_id", (F.col("place") - (F.col("place") > F.col("left_out")).cast("int")).alias("rank"), "vec_id", "score"))

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from tessera.llm import topk_search
-from tessera.llm.topk_search import SortedLists, qualifying, top_k
+from tessera.llm.topk_search import SortedLists, portions, qualifying, top_k
 
 SCHEMA = "vec_id long, embedding array<float>, id long, v string, row long, score long, own int, floor int"
 
@@ -35,7 +35,14 @@ def test_against_brute_force(spark):
     rng = np.random.default_rng(5)
     rows = [(i, floats(rng.standard_normal(16) * (1 + i % 3))) for i in range(600)]
     assert found(spark, rows) == brute(rows)
-    assert found(spark, rows, every=7, k=3, at_once=160, seeds=8) == brute(rows, 7, 3)
+    assert found(spark, rows, every=7, k=3, at_once=640, seeds=8, growth=4) == brute(rows, 7, 3)
+
+
+def test_portions_grow_and_cover_every_hash():
+    assert portions(0, 4096, 16) == portions(65536, 4096, 16) == [(0, 1)]
+    assert portions(65537, 4096, 16) == [(0, 1), (1, 16)]
+    assert portions(10 ** 9, 4096, 16) == [(0, 1), (1, 16), (16, 256), (256, 4096), (4096, 65536)][:len(portions(10 ** 9, 4096, 16))]
+    assert 10 ** 9 <= 4096 * 16 * portions(10 ** 9, 4096, 16)[-1][1]
 
 
 def test_odd_vectors(spark):
@@ -53,6 +60,7 @@ def test_ties_in_a_hot_vector(spark):
     rng = np.random.default_rng(6)
     rows = [(i, [1.0, 1.0, 0.0] if i % 3 == 0 else floats(rng.uniform(-1, 1, 3))) for i in range(900, 0, -1)]
     assert found(spark, rows) == brute(rows)
+    assert found(spark, [*rows, *rows[:50], (None, [1.0, 1.0, 0.0])], seeds=4, growth=8) == brute([*rows, *rows[:50], (None, [1.0, 1.0, 0.0])])
 
 
 def test_numbers_of_all_sizes(spark):
