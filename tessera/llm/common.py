@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tessera.session import fresh_dir
 from tessera.session import materialize as written
 
-__all__ = ["RecentlyUsed", "complete_groups", "connected_components", "crc_fold", "files_for", "fresh_dir", "levels", "materialize", "prepare_workers",
+__all__ = ["RecentlyUsed", "buckets_for", "complete_groups", "connected_components", "crc_fold", "files_for", "fresh_dir", "levels", "materialize", "prepare_workers",
            "numbered", "prefix_sums", "read", "read_binary_rows"]
 
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -64,6 +64,11 @@ def materialize(df: DataFrame, purpose: str, rows: int | None = None) -> DataFra
     return written(df if rows is None else df.coalesce(files_for(rows)), purpose)
 
 
+def buckets_for(rows: int) -> int:
+    """Buckets of ``prefix_sums`` for so many rows: about 250,000 rows each, 1,024 at least."""
+    return max(1024, -(-rows // 250_000))
+
+
 def prefix_sums(df: DataFrame, key: str, value: str | Column, out: str, group: str | None = None,
                 buckets: int = 1024) -> DataFrame:
     """``out``: the sum of ``value`` over all rows before this one (of its ``group``) in (bucket, key) order.

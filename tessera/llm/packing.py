@@ -34,7 +34,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize, prefix_sums, prepare_workers
+from tessera.llm.common import buckets_for, materialize, prefix_sums, prepare_workers
 
 #: Words and pre-tokens whose ids a worker keeps; only memory depends on it.
 CACHED_WORDS, CACHED_PRE_TOKENS = 400_000, 400_000
@@ -232,8 +232,9 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2, capacit
                 seq[at] = np.where(sequence[k] >= 0, sequence[k] + (rank[at] - first[k]) // each[k], -1)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(seq)], ["row_id", "rest_n", "seq"])
 
-    ranked = prefix_sums(rests, "row_id", F.lit(1), "rank", group="class").select("row_id", "rest_n", "class", "rank")
-    assigned = materialize(ranked.mapInArrow(assign, "row_id long, rest_n long, seq long"), "assigned", sum(r["docs"] for r in found))
+    n_docs = sum(r["docs"] for r in found)
+    ranked = prefix_sums(rests, "row_id", F.lit(1), "rank", "class", buckets_for(n_docs)).select("row_id", "rest_n", "class", "rank")
+    assigned = materialize(ranked.mapInArrow(assign, "row_id long, rest_n long, seq long"), "assigned", n_docs)
 
     # Documents of a pattern lie in their sequence one after the other.
     closed = assigned.where("seq >= 0")
@@ -253,8 +254,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2, capacit
     def binned(df: DataFrame, lo: str, size: str) -> DataFrame:
         return df.withColumn("bin", F.explode(F.sequence(F.expr(f"{lo} div {capacity}"), F.expr(f"({lo} + {size} - 1) div {capacity}"))))
 
-    left = binned(prefix_sums(assigned.where("seq < 0"), "row_id", "rest_n", "doc_at"), "doc_at", "rest_n").drop("seq")
-    right = binned(prefix_sums(gaps, "seq", "size", "gap_at"), "gap_at", "size")
+    left = binned(prefix_sums(assigned.where("seq < 0"), "row_id", "rest_n", "doc_at", buckets=buckets_for(n_docs)), "doc_at", "rest_n").drop("seq")
+    right = binned(prefix_sums(gaps, "seq", "size", "gap_at", buckets=buckets_for(whole)), "gap_at", "size")
     lo, hi = F.greatest("doc_at", "gap_at"), F.least(F.col("doc_at") + F.col("rest_n"), F.col("gap_at") + F.col("size"))
     filling = (left.join(right, "bin").withColumn("lo", lo).withColumn("hi", hi)
                .where((F.col("lo") < F.col("hi")) & (F.expr(f"lo div {capacity}") == F.col("bin")))
@@ -274,7 +275,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2, capacit
                       F.col("n").alias("doc_tokens"), F.col("seq").alias("sequence_id"), "offset"))
 
     long_docs = tokens.where(F.col("n") >= capacity).select("row_id", "doc_id", "n", "crcs")
-    full = (prefix_sums(long_docs, "row_id", F.size("crcs"), "sequences_before")
+    full = (prefix_sums(long_docs, "row_id", F.size("crcs"), "sequences_before", buckets=buckets_for(long_docs.count()))
             .select("row_id", "doc_id", "n", "sequences_before", F.posexplode("crcs").alias("i", "crc"))
             .select("doc_id", "row_id", (F.col("i").cast("long") * capacity).alias("start"), F.lit(capacity).cast("long").alias("length"),
                     F.col("crc").alias("ids_crc32"), F.col("n").alias("doc_tokens"),
