@@ -16,8 +16,10 @@
    nodes of a component with a saturated list get the longest list there can be, every
    node of the component; it is compared in blocks, and only counts leave a block. A link
    that neither list holds lies between two saturated nodes, so components with saturated
-   lists are also compared with each other, in blocks, where their balls (a center, and the
-   largest angle to it) are near enough for a link; what links becomes one component.
+   lists are also compared with each other, in blocks, where they share a leaf of a tree and
+   their balls (a center, and the largest angle to it) are near enough for a link; what links
+   becomes one component. One link in a shared leaf is enough for all links of two components
+   to be counted, and a leaf shared by more of them is compared in blocks, none left out.
 6. Audit: all links of one node in ``audit_every`` (of more nodes where that would be under
    ``audit``) are found by brute force, in blocks over all nodes, and set against the links
    counted for the result. Two shares must reach ``recall``: that of links, and the mean over
@@ -128,8 +130,8 @@ def trees_for(n: int, s: Settings) -> int:
     return max(s.trees, int(np.ceil(np.log(1 - s.recall) / np.log(1 - together))))
 
 
-def leaf_neighbours(nodes: DataFrame, n: int, k: int, trees: range, s: Settings) -> DataFrame:
-    """(u, v, sim): the best neighbours of each node in its leaf of each tree."""
+def leaf_codes(nodes: DataFrame, n: int, trees: range, s: Settings) -> DataFrame:
+    """Written table (id, tree, dim, leaf): the leaf of each node in each of the trees."""
     depth = depth_of(n, s)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,12 +146,18 @@ def leaf_neighbours(nodes: DataFrame, n: int, k: int, trees: range, s: Settings)
                     yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), pa.array(np.full(len(at), tree)), pa.array(np.full(len(at), int(d))), pa.array(leaf)],
                                                      ["id", "tree", "dim", "leaf"])
 
-    leaf_key = ["tree", "dim", "leaf"]
-    coded = materialize(nodes.select("id", F.col("dim").cast("long").alias("dim"), "vec").mapInArrow(code, "id long, tree long, dim long, leaf long"), "leaves")
-    large = materialize(coded.groupBy(*leaf_key).agg(F.count("*").alias("n")).where(F.col("n") > s.leaf), "large-leaves")
+    return materialize(nodes.select("id", F.col("dim").cast("long").alias("dim"), "vec").mapInArrow(code, "id long, tree long, dim long, leaf long"), "leaves")
+
+
+LEAF = ["tree", "dim", "leaf"]
+
+
+def leaf_neighbours(nodes: DataFrame, coded: DataFrame, k: int, s: Settings) -> DataFrame:
+    """(u, v, sim): the best neighbours of each node in its leaf of each tree of ``coded``."""
+    large = materialize(coded.groupBy(*LEAF).agg(F.count("*").alias("n")).where(F.col("n") > s.leaf), "large-leaves")
     parts = F.coalesce(F.ceil(F.col("n") / s.leaf), F.lit(1)).cast("long")
-    key = [*leaf_key, "part"]
-    placed = (coded.join(large, leaf_key, "left").withColumn("part", F.pmod(F.xxhash64("id", "tree"), parts)).drop("n", "dim")
+    key = [*LEAF, "part"]
+    placed = (coded.join(large, LEAF, "left").withColumn("part", F.pmod(F.xxhash64("id", "tree"), parts)).drop("n", "dim")
               .join(nodes.select("id", "vec", F.col("dim").cast("long").alias("dim")), "id").select(*key, "id", "vec"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,9 +224,9 @@ def met_around_pivots(graph: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
             .repartition("pivot").sortWithinPartitions("pivot").mapInArrow(run, LINKS))
 
 
-def descend(nodes: DataFrame, n: int, graph: DataFrame | None, k: int, trees: range, s: Settings) -> DataFrame:
-    """The neighbour graph after leaves of ``trees`` and rounds of NN-descent."""
-    graph = keep_best(graph, leaf_neighbours(nodes, n, k, trees, s), n, k)
+def descend(nodes: DataFrame, n: int, graph: DataFrame | None, k: int, coded: DataFrame, s: Settings) -> DataFrame:
+    """The neighbour graph after the leaves ``coded`` and rounds of NN-descent."""
+    graph = keep_best(graph, leaf_neighbours(nodes, coded, k, s), n, k)
     for _ in range(s.rounds):
         graph = keep_best(graph, met_around_pivots(graph, nodes, k), n, k)
         if graph.where("new = 1").count() <= s.few * n * k:
@@ -266,11 +274,12 @@ def audited_recall(nodes: DataFrame, linked: DataFrame, n: int, s: Settings) ->
     return (row[1] / row[0], row[2]) if row[0] else (1.0, 1.0)
 
 
-def near_components(nodes: DataFrame, member: DataFrame, s: Settings) -> DataFrame:
+def near_components(nodes: DataFrame, leaves: DataFrame, member: DataFrame, s: Settings) -> DataFrame:
     """Written table (a, b, size_a, size_b): pairs of components that may have links between them, the larger one first.
 
-    ``member``: root, size and id of the nodes of all components in question. By the triangle
-    inequality of angles no other pair of these components has a link.
+    ``member``: root, size and id of the nodes of all components in question. Components that
+    share a leaf are set against each other; by the triangle inequality of angles no other pair
+    that shares one has a link.
     """
     reach = float(np.arccos(s.threshold)) + 1e-6
     center = nodes.select(F.col("id").alias("root"), F.col("dim").cast("long").alias("dim"), F.col("vec").alias("center"))  # a root is one of its nodes
@@ -286,13 +295,14 @@ def near_components(nodes: DataFrame, member: DataFrame, s: Settings) -> DataFra
     measured = (member.join(nodes.select("id", "vec"), "id").join(center, "root").select("root", "dim", "vec", "center")
                 .mapInArrow(angles, "root long, angle double").groupBy("root").agg(F.max("angle").alias("radius")))
     balls = materialize(member.select("root", "size").distinct().join(measured, "root").join(center, "root").select("root", "dim", "size", "radius", "center"), "balls")
-    count = balls.groupBy("dim").agg(F.ceil(F.count("*") / s.block).cast("long").alias("blocks"))
-    dealt = (balls.join(F.broadcast(count), "dim").withColumn("mine", F.pmod(F.xxhash64("root"), F.col("blocks")))
-             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))))
+    present = materialize(leaves.join(member.select("id", "root"), "id").select(*LEAF, "root").distinct(), "present")
+    shared = present.groupBy(*LEAF).agg(F.count("*").alias("n")).where("n > 1")
+    dealt = (present.join(shared, LEAF).withColumn("blocks", F.ceil(F.col("n") / s.block).cast("long")).withColumn("mine", F.pmod(F.xxhash64("root"), F.col("blocks")))
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).join(balls.drop("dim"), "root"))
     columns = ["root", "size", "radius", "center"]
-    cells = (dealt.select("dim", F.col("mine").alias("i"), F.col("other").alias("j"), *columns, F.lit(0).cast("long").alias("target"))
-             .unionByName(dealt.select("dim", F.col("other").alias("i"), F.col("mine").alias("j"), *columns, F.lit(1).cast("long").alias("target"))))
-    key = ["dim", "i", "j"]
+    cells = (dealt.select(*LEAF, F.col("mine").alias("i"), F.col("other").alias("j"), *columns, F.lit(0).cast("long").alias("target"))
+             .unionByName(dealt.select(*LEAF, F.col("other").alias("i"), F.col("mine").alias("j"), *columns, F.lit(1).cast("long").alias("target"))))
+    key = [*LEAF, "i", "j"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in complete_groups(batches, key, 1024):
@@ -300,6 +310,8 @@ def near_components(nodes: DataFrame, member: DataFrame, s: Settings) -> DataFra
             for a, b in zip(starts, starts[1:], strict=False):
                 cell = t.slice(a, b - a)
                 target = cell.column("target").to_numpy() == 1
+                if target.all() or not target.any():
+                    continue
                 x, root, size, radius = matrix(cell.column("center")), cell.column("root").to_numpy(), cell.column("size").to_numpy(), cell.column("radius").to_numpy()
                 first = ~target
                 apart = np.arccos(np.clip(x[first] @ x[target].T, -1, 1)) - radius[first][:, None] - radius[target][None, :]
@@ -307,14 +319,15 @@ def near_components(nodes: DataFrame, member: DataFrame, s: Settings) -> DataFra
                 u, v = np.nonzero((apart <= reach) & larger)
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in (root[first][u], root[target][v], size[first][u], size[target][v])], ["a", "b", "size_a", "size_b"])
 
-    return materialize(cells.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "a long, b long, size_a long, size_b long"), "near-components")
+    near = cells.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "a long, b long, size_a long, size_b long")
+    return materialize(near.distinct(), "near-components")
 
 
-def links_between_components(nodes: DataFrame, rooted: DataFrame, roots: DataFrame, s: Settings) -> DataFrame | None:
+def links_between_components(nodes: DataFrame, leaves: DataFrame, rooted: DataFrame, roots: DataFrame, s: Settings) -> DataFrame | None:
     """Written table (u, v, linked): of each node u (v null) the copies linked to it in other components of ``roots`` (root, size);
     and pairs (u, v) of components that have a link (linked null). None if no components are near each other."""
     member = rooted.join(roots, "root").select("root", "size", "id")
-    pairs = near_components(nodes, member, s)
+    pairs = near_components(nodes, leaves, member, s)
     if pairs.isEmpty():
         return None
     # What is near a component is dealt over blocks together, however small its components are.
@@ -375,7 +388,7 @@ def links_in_components(nodes: DataFrame, rooted: DataFrame, roots: DataFrame, s
     return cells.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "id long, linked long").groupBy("id").agg(F.sum("linked").alias("linked"))
 
 
-def counted_links(graph: DataFrame, nodes: DataFrame, n: int, s: Settings) -> DataFrame:
+def counted_links(graph: DataFrame, nodes: DataFrame, leaves: DataFrame, n: int, s: Settings) -> DataFrame:
     """Written table (id, root, linked): the component of each node, and the copies of other nodes that are linked to it."""
     links, rooted = components_of(graph, nodes, n, s)
     saturated = graph.where(F.col("low") >= s.threshold).select(F.col("u").alias("id")).distinct().join(rooted, "id").select("root").distinct()
@@ -383,7 +396,7 @@ def counted_links(graph: DataFrame, nodes: DataFrame, n: int, s: Settings) -> Da
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     from_lists = both.join(nodes.select(F.col("id").alias("v"), "copies"), "v").groupBy(F.col("u").alias("id")).agg(F.sum("copies").alias("listed"))
     in_blocks = links_in_components(nodes, rooted, saturated, s)
-    between = links_between_components(nodes, rooted, saturated, s)
+    between = links_between_components(nodes, leaves, rooted, saturated, s)
     if between is not None:
         in_blocks = in_blocks.unionByName(between.where("v IS NULL").select(F.col("u").alias("id"), "linked")).groupBy("id").agg(F.sum("linked").alias("linked"))
         joined = connected_components(between.where("v IS NOT NULL").select("u", "v").distinct()).select(F.col("node").alias("root"), F.col("root").alias("joined"))
@@ -397,10 +410,12 @@ def near_duplicates(vectors: DataFrame, settings: Settings = Settings(), id_col:
     s = settings
     rows, nodes = nodes_of(vectors, id_col, vector_col)
     n = nodes.count()
-    k, trees, graph = s.k, range(trees_for(n, s)), None
+    k, trees, graph, leaves = s.k, range(trees_for(n, s)), None, None
     for turn in range(s.retries + 1):
-        graph = descend(nodes, n, graph, k, trees, s)
-        linked = counted_links(graph, nodes, n, s)
+        coded = leaf_codes(nodes, n, trees, s)
+        leaves = coded if leaves is None else leaves.unionByName(coded)
+        graph = descend(nodes, n, graph, k, coded, s)
+        linked = counted_links(graph, nodes, leaves, n, s)
         of_links, of_nodes = audited_recall(nodes, linked, n, s)
         if min(of_links, of_nodes) >= s.recall:
             break

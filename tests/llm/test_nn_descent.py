@@ -75,6 +75,23 @@ def test_links_between_groups_with_full_lists(spark):
     assert found(spark, rows, Settings(k=4)) == brute(rows)
 
 
+def test_many_full_groups_meet_in_shared_leaves(spark):
+    """Forty groups with full lists, every fourth linked with the one before; leaves shared by more than a block of them."""
+    rng = np.random.default_rng(9)
+    rows, center = [], None
+    for g in range(40):
+        if g % 4 == 3:
+            side = rng.standard_normal(24)
+            side -= side @ center / (center @ center) * center
+            center = 0.95 * center / np.linalg.norm(center) + np.sqrt(1 - 0.95 ** 2) * side / np.linalg.norm(side)
+        else:
+            center = rng.standard_normal(24)
+        rows += [(100 * g + i, near(rng, center, 0.08)) for i in range(7)]
+    want = brute(rows)
+    assert len({r[2] for r in want}) == 30
+    assert found(spark, rows, Settings(k=4, leaf=32, block=4)) == want
+
+
 def test_isolated_pairs_beside_a_large_group(spark):
     """The group's links are so many that the pairs hardly show among them."""
     rng = np.random.default_rng(4)
