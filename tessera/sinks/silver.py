@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import date_parts, path_safe
 from tessera.schemas import SILVER_FILE, SILVER_PARTITIONS
+from tessera.sinks.directories import replace_directories
 
 
 def silver_file_rows(records: DataFrame) -> DataFrame:
@@ -27,12 +28,12 @@ def silver_file_rows(records: DataFrame) -> DataFrame:
 def write_silver_files(records: DataFrame, silver_root: str, partitions: int | None = None) -> str:
     """Write ``<root>/telemetry/technology=/device_id=/year=/month=/day=/extraction_id=``.
 
-    Spark's dynamic partition overwrite does the replacing: the rows are written to a
-    staging folder of this job, and its commit puts their directories in the place of the
-    old ones. So a re-delivered extraction replaces its own directories and leaves every
-    other extraction (also of the same day) alone; of two writers of one extraction, the
-    one that commits last leaves its files alone; a write that fails before its commit
-    changes nothing, and one repeated after a failure ends in the same state.
+    The rows are written to a staging folder of this job, and its commit puts their
+    directories in the place of the old ones. So a re-delivered extraction replaces its own
+    directories and leaves every other extraction (also of the same day) alone; of two
+    writers of one extraction, the one that commits last leaves its files alone; a write that
+    fails before its commit changes nothing, and one repeated after a failure ends in the
+    same state (``replace_directories``).
 
     Rows are range-partitioned on the partition columns plus time, so small extractions
     share a task (few files) while a hot extraction is split over several tasks.
@@ -49,8 +50,7 @@ def write_silver_files(records: DataFrame, silver_root: str, partitions: int | N
     n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     dirs = rows.select(*SILVER_PARTITIONS).distinct().limit(n).count()
     if dirs:
-        (rows.repartitionByRange(dirs, *SILVER_PARTITIONS, "timestamp", "name")
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*SILVER_PARTITIONS).parquet(target))
+        replace_directories(rows.repartitionByRange(dirs, *SILVER_PARTITIONS, "timestamp", "name"), target, SILVER_PARTITIONS)
     return target
 
 

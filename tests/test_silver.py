@@ -4,11 +4,13 @@ import datetime as dt
 import glob
 import os
 
+import pyarrow.fs
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import path_safe, silver_prefix
 from tessera.schemas import TELEMETRY
+from tessera.sinks.directories import put_in_place, replace_directories
 from tessera.sinks.silver import ensure_schemas, read_silver_files, write_silver_files
 from tessera.sinks.table import TABLE_KEY, TableConflict, buckets_for, merge_buckets, rebucket, remove_unused, replace_rows, upsert_telemetry
 
@@ -283,3 +285,52 @@ def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
         master="spark://host:7077", _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: nowhere))))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_root(cluster)
+
+
+def _children_faults(spark):
+    """Page faults of the processes that the driver's JVM has run and seen end."""
+    with open(f"/proc/{spark._jvm.java.lang.ProcessHandle.current().pid()}/stat") as f:
+        return int(f.read().rpartition(")")[2].split()[8])
+
+
+def test_a_mounted_silver_root_takes_no_process_for_each_directory(spark, workdir):
+    rows = _keyed(spark, 100, 1.0)
+    write_silver_files(rows.limit(1), f"{workdir}/warm")
+    before = _children_faults(spark)
+    write_silver_files(rows, f"{workdir}/silver")
+    assert _children_faults(spark) - before < 100 * 100  # a chmod alone has some hundred
+    assert read_silver_files(spark, f"{workdir}/silver").count() == 100
+
+
+def test_directories_are_named_as_by_spark_and_hold_the_same_rows(spark, workdir):
+    odd = ["a b", "x=y", "c:d", "100%", "", None, "q?*", "[z]{^}", "it's \"#\"", "back\\slash", "tab\t", "plain-1_2.3", "é"]
+    rows = spark.createDataFrame([(i, v, i % 2) for i, v in enumerate(odd)] * 2, "n int, word string, year int")
+    rows.write.partitionBy("word", "year").parquet(f"{workdir}/spark")
+    replace_directories(rows.repartition(3), f"{workdir}/tasks", ["word", "year"])
+
+    def found(root):
+        return {os.path.relpath(p, root) for p, _, files in os.walk(root) if any(f.endswith(".parquet") for f in files)}
+
+    def read(root):
+        return sorted(map(str, spark.read.schema("n int, word string, year int").parquet(root).collect()))
+
+    assert found(f"{workdir}/tasks") == found(f"{workdir}/spark")
+    assert read(f"{workdir}/tasks") == read(f"{workdir}/spark")
+    assert all(not x.startswith(".staging") for x in os.listdir(f"{workdir}/tasks"))
+
+
+def test_a_directory_of_several_tasks_is_replaced_once(spark, workdir):
+    for n in (1000, 400):
+        replace_directories(spark.range(n).select("id", F.lit("a").alias("d")).repartition(4), f"{workdir}/t", ["d"])
+    assert spark.read.parquet(f"{workdir}/t").agg(F.count("*"), F.countDistinct("id")).first()[:] == (400, 400)
+    assert len(os.listdir(f"{workdir}/t/d=a")) == 4
+
+
+def test_a_repeated_move_leaves_what_is_in_place(workdir):
+    fs = pyarrow.fs.LocalFileSystem()
+    for name in ("staged", "place"):
+        os.makedirs(f"{workdir}/{name}")
+        open(f"{workdir}/{name}/of-{name}", "w").close()
+    assert put_in_place(fs, f"{workdir}/staged", f"{workdir}/place")
+    assert not put_in_place(fs, f"{workdir}/staged", f"{workdir}/place")
+    assert os.listdir(f"{workdir}/place") == ["of-staged"]
