@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.schemas import BRONZE_CHUNKS
+from tessera.sinks.directories import replace_directories
 from tessera.sources import list_objects
 
 
@@ -28,9 +29,7 @@ def stage_bronze_objects(chunks: DataFrame, bronze_root: str) -> str:
     # Explicit task count: AQE would coalesce a small input into one or two tasks
     # that create every object serially.
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    (chunks.withColumn("extraction", F.col("extraction_id"))
-     .repartitionByRange(n, "extraction")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("extraction").parquet(target))
+    replace_directories(chunks.withColumn("extraction", F.col("extraction_id")).repartitionByRange(n, "extraction"), target, ["extraction"])
     return target
 
 
