@@ -50,7 +50,8 @@ def word_encoder(path: str) -> Callable[[str], np.ndarray]:
     Words and pre-tokens seen before are looked up. New words of characters below U+0250,
     on whose classes and lower case all Unicode versions agree, are lower-cased and split
     here and each new pre-token goes to the tokenizer's model alone; all others go through
-    the whole tokenizer.
+    the whole tokenizer. Lower-case ASCII letters are kept once, as a word: most words are
+    also pre-tokens, and held as both they would take twice the memory.
     """
     from tokenizers import Tokenizer
 
@@ -60,12 +61,15 @@ def word_encoder(path: str) -> Callable[[str], np.ndarray]:
         raise ValueError("ids are stored in 16 bits")
     model, find = tokenizer.model, PRE_TOKENS.findall
 
+    def ids_of(piece: str) -> bytes:
+        symbols = piece.encode().decode("latin-1").translate(BYTE_SYMBOLS)
+        return array("H", [t.id for t in model.tokenize(symbols)]).tobytes()
+
     class PreTokens(dict):
         def __missing__(self, piece: str) -> bytes:
             if len(self) >= CACHED_PRE_TOKENS:
                 self.clear()
-            symbols = piece.encode().decode("latin-1").translate(BYTE_SYMBOLS)
-            self[piece] = out = array("H", [t.id for t in model.tokenize(symbols)]).tobytes()
+            self[piece] = out = ids_of(piece)
             return out
 
     pre_tokens = PreTokens()
@@ -78,7 +82,9 @@ def word_encoder(path: str) -> Callable[[str], np.ndarray]:
                 lower = word.lower()
                 stem = lower.rstrip(PUNCTUATION)
                 if stem.isalpha():  # most words: letters, then punctuation if any
-                    out = pre_tokens[stem] + pre_tokens[lower[len(stem):]] if len(stem) < len(lower) else pre_tokens[stem]
+                    out = (pre_tokens[stem] if not stem.isascii() else ids_of(stem) if stem == word else self[stem])
+                    if len(stem) < len(lower):
+                        out += pre_tokens[lower[len(stem):]]
                 else:
                     out = b"".join(map(pre_tokens.__getitem__, find(lower)))
             else:

@@ -85,3 +85,15 @@ def test_knapsack_against_brute_force():
         best = max(a * values[0] + b * values[1] + c * values[2] for a in range(8) for b in range(5) for c in range(4) if 3 * a + 5 * b + 7 * c <= 21)
         value, pattern = packing.best_pattern(values, sizes, 21)
         assert value == pytest.approx(best) and pattern @ sizes <= 21 and pattern @ values == pytest.approx(best)
+
+
+def test_a_plain_word_is_kept_once():
+    """Lower-case words lie in the cache of words, not in that of pre-tokens as well."""
+    import inspect
+
+    packing.word_encoder.cache_clear()
+    encode = packing.word_encoder(public_tokenizers.path("word_bpe_49k.json"))
+    words = inspect.getclosurevars(encode).nonlocals["words"]
+    encode("some plain words, Some Words. Some ÄHNLICH don't")
+    assert set(inspect.getclosurevars(type(words).__missing__).nonlocals["pre_tokens"]) == {",", ".", "ähnlich", "don", "'t"}
+    assert {"some", "plain", "words", "words,", "Some", "Words."} <= set(words)
