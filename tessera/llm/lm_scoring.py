@@ -27,13 +27,12 @@ other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,8 +40,8 @@ from tessera.llm.common import crc_fold, materialize, prepare_workers
 from tessera.llm.gru import Shape, flat, initial, log_likelihoods, train, unflat
 
 FOLDS, HELD_OUT_FOLD = 5, 1
-#: Distinct words that a task holds while it counts; only memory depends on it.
-COUNTED = 500_000
+#: Texts whose words a task holds at once; only memory depends on it.
+TEXTS_AT_ONCE = 2048
 #: Symbols that run through the network together; only memory depends on it.
 SYMBOLS_AT_ONCE = 4_000_000
 BLOCK = 1024
@@ -64,34 +63,33 @@ class Settings:
         return self.shape.symbols - self.shape.members - 1
 
 
-def bucket_of(word: bytes, buckets: int) -> int:
-    """Bucket of a word by its looks."""
-    last = word[-1:]
-    looks = 16 * (not word.isascii()) + 4 * (1 if last == b"." else 2 if last == b"," else 3 if last < b"0" else 0) + min(3, len(word) // 4)
-    return looks % buckets
+def buckets_of(words: pa.Array, buckets: int) -> np.ndarray:
+    """Bucket of each word (not empty) by its looks."""
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset + 1:words.offset + 1 + len(words)]
+    last = np.frombuffer(words.buffers()[2] or b"", np.uint8)[ends - 1]
+    beyond_ascii = ~pc.string_is_ascii(words.view(pa.string())).to_numpy(zero_copy_only=False)
+    by_last = np.where(last == ord("."), 1, np.where(last == ord(","), 2, np.where(last < ord("0"), 3, 0)))
+    return (16 * beyond_ascii + 4 * by_last + np.minimum(3, pc.binary_length(words).to_numpy() // 4)).astype(np.int64) % buckets
 
 
-def tokens_of(text: bytes | None) -> list[bytes]:
-    return text.lower().split() if text else []  # of bytes: ASCII letters and white space only
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of the lower-cased texts (binary, taken byte by byte; only ASCII letters and white space count) one after
+    the other, and where each text's words begin, with the end of all."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.string())))
+    words, length = lists.flatten(), pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+    full = pc.binary_length(words).to_numpy() > 0  # empty: before and after the white space at a text's ends
+    return words.filter(pa.array(full)), np.append(0, np.cumsum(full))[np.append(0, np.cumsum(length))]
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """Written table (word, c) of ``texts`` (text: binary)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out() -> Iterator[pa.RecordBatch]:
-            words, n = list(counts), list(counts.values())
-            for i in range(0, len(words), 20_000):
-                yield pa.RecordBatch.from_arrays([pa.array(words[i:i + 20_000], pa.binary()), pa.array(n[i:i + 20_000], pa.int64())], ["word", "c"])
-            counts.clear()
-
-        counts: Counter[bytes] = Counter()
         for b in batches:
-            for t in b.column(0):
-                counts.update(tokens_of(t.as_py()))
-                if len(counts) >= COUNTED:
-                    yield from out()
-        yield from out()
+            counted = words_of(b.column(0))[0].value_counts()
+            words, n = counted.field(0).view(pa.binary()), counted.field(1)
+            for i in range(0, len(words), 20_000):
+                yield pa.RecordBatch.from_arrays([words.slice(i, 20_000), n.slice(i, 20_000)], ["word", "c"])
 
     return materialize(texts.mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")), "word-counts")
 
@@ -112,16 +110,15 @@ class Vocabulary:
         rows = sorted(counts.where(step >= cut).collect(), key=lambda r: (-r["c"], bytes(r["word"])))
         self.head = [bytes(r["word"]) for r in rows]
         self.head_counts = np.array([r["c"] for r in rows], np.int64)
-        own = set(self.head[:s.words])
+        own = pa.array(self.head[:s.words], pa.binary())
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total, distinct = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
             for b in batches:
-                words = b.column(0).to_pylist()
-                at = np.fromiter((-1 if w in own else bucket_of(w, buckets) for w in words), np.int64, len(words))
-                c = b.column(1).to_numpy()
-                total += np.bincount(at[at >= 0], c[at >= 0], buckets).astype(np.int64)
-                distinct += np.bincount(at[at >= 0], minlength=buckets)
+                others = pc.is_in(b.column(0), value_set=own).to_numpy(zero_copy_only=False) == 0
+                at, c = buckets_of(b.column(0), buckets)[others], b.column(1).to_numpy()[others]
+                total += np.bincount(at, c, buckets).astype(np.int64)
+                distinct += np.bincount(at, minlength=buckets)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(buckets)), pa.array(total), pa.array(distinct)], ["bucket", "total", "distinct"])
 
         sums = counts.mapInArrow(run, "bucket long, total long, distinct long").groupBy("bucket").agg(F.sum("total"), F.sum("distinct")).collect()
@@ -150,33 +147,30 @@ def symbol_rows(docs: DataFrame, vocabulary: Vocabulary, s: Settings) -> DataFra
         head, head_counts, bucket_log = sent.value
         n_head, buckets = len(head), s.shape.members
 
-        class Numbers(dict):  # of head words; of other words, that of their bucket after them
-            def __missing__(self, word: bytes) -> bytes:
-                return packed[n_head + bucket_of(word, buckets)]
-
-        packed = [i.to_bytes(4, "little") for i in range(n_head + buckets)]
-        number = Numbers(zip(head, packed, strict=False)).__getitem__
+        head_words = pa.array(head, pa.binary()).view(pa.string())
+        # Numbers of words: of head words their place, of others that of their bucket after these.
         symbol = np.concatenate((s.end + 1 + np.arange(n_head), np.arange(buckets)))
-        symbol[s.words:n_head] = [bucket_of(w, buckets) for w in head[s.words:]]
+        symbol[s.words:n_head] = buckets_of(head_words[s.words:], buckets)
         symbol = symbol.astype(np.uint16)
         log = np.concatenate((np.log10(head_counts + 0.5), np.zeros(buckets)))
         in_bucket = np.where(symbol < buckets, log, 0) - bucket_log[symbol]
-        end = np.array([s.end], np.uint16)
         for whole in batches:
-            for i in range(0, whole.num_rows, 512):
-                b = whole.slice(i, 512)
-                found: list[list] = [[] for _ in range(5)]
-                tails, ends = [], [0]
-                for t in b.column(3):
-                    words = tokens_of(t.as_py())
-                    at = np.frombuffer(b"".join(map(number, words)), "<i4")
-                    tail = np.flatnonzero(at >= n_head)
-                    tails.append([words[k] for k in tail.tolist()])
-                    ends.append(ends[-1] + len(tail))
-                    for column, value in zip(found, (len(words) + 1, np.concatenate((symbol[at], end)).tobytes(), log[at].sum(), in_bucket[at].sum(), len(words) - len(tail)), strict=True):
-                        column.append(value)
-                tail_column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(list(chain.from_iterable(tails)), pa.binary()))
-                yield pa.RecordBatch.from_arrays([*b.columns[:3], *(pa.array(c, k) for c, k in zip(found, (pa.int64(), pa.binary(), pa.float64(), pa.float64(), pa.int64()), strict=True)), tail_column], columns)
+            for i in range(0, whole.num_rows, TEXTS_AT_ONCE):
+                b = whole.slice(i, TEXTS_AT_ONCE)
+                words, starts = words_of(b.column(3))
+                found = pc.index_in(words, value_set=head_words)
+                beyond = found.is_null()
+                is_tail, tail = beyond.to_numpy(zero_copy_only=False), words.filter(beyond)
+                at = pc.fill_null(found, 0).to_numpy().astype(np.int64)
+                at[is_tail] = n_head + buckets_of(tail, buckets)
+                tails, n_words = np.append(0, np.cumsum(is_tail))[starts], np.diff(starts)
+                with_ends = np.insert(symbol[at], starts[1:], np.uint16(s.end))
+                offsets = (2 * (starts + np.arange(len(starts)))).astype(np.int32)
+                logs, in_buckets, spans = log[at], in_bucket[at], list(zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True))
+                yield pa.RecordBatch.from_arrays([
+                    *b.columns[:3], pa.array(n_words + 1), pa.Array.from_buffers(pa.binary(), b.num_rows, [None, pa.py_buffer(offsets), pa.py_buffer(with_ends)]),
+                    *(pa.array([float(v[a:z].sum()) for a, z in spans], pa.float64()) for v in (logs, in_buckets)),
+                    pa.array(n_words - np.diff(tails)), pa.ListArray.from_arrays(pa.array(tails, pa.int32()), tail.view(pa.binary()))], columns)
 
     rows = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", "trains", "text")
     return materialize(rows.mapInArrow(run, "row_id long, doc_id long, trains boolean, n_tokens long, symbols binary, head_log double, bucketed_log double, n_head long, tail array<binary>"), "symbols")

@@ -3,11 +3,13 @@ from __future__ import annotations
 import html
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tessera.llm import gru, html_extract, lm_scoring
@@ -175,6 +177,38 @@ def test_gradients_through_time_against_differences():
             w[k][at] += 1e-5
 
 
+def test_windows_use_the_same_arrays_again():
+    """Results are those of fresh arrays, and a later window, also a smaller one, gets no large ones."""
+    shape = gru.Shape()
+    w = gru.initial(shape, np.ones(shape.symbols), 1)
+    rng = np.random.default_rng(5)
+    sequences = [rng.integers(0, shape.symbols, n).astype(np.uint16) for n in (300, 40, *[200] * 60)]
+    scratch, peaks = gru.Scratch(), []
+    for lane, _, _, x, y, n in gru.windows(sequences, 64, 100, shape.members):
+        h = rng.standard_normal((len(lane), shape.hidden)).astype(np.float32)
+        tracemalloc.start()
+        g, last = gru.window_gradients(w, x, y, n, h, scratch)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        fresh, fresh_last = gru.window_gradients(w, x, y, n, h)
+        assert all(np.array_equal(g[k], fresh[k]) for k in w) and np.array_equal(last, fresh_last)
+    assert len(peaks) == 3 and max(peaks[1:]) < peaks[0] / 4
+
+
+def test_windows_hold_each_symbol_once():
+    rng = np.random.default_rng(6)
+    sequences = [rng.integers(0, 12, n).astype(np.uint16) for n in (5, 0, 17, 1, 8, 8)]
+    inputs, targets = [[] for _ in sequences], [[] for _ in sequences]
+    for lane, seq, at, x, y, n in gru.windows(sequences, 2, 4, 4):
+        for k, i in enumerate(seq):
+            assert at[k] == len(targets[i]) and (x[n[k]:, k] == 4).all() and (y[n[k]:, k] == 4).all()
+            inputs[i] += x[:n[k], k].tolist()
+            targets[i] += y[:n[k], k].tolist()
+    assert targets == [s.tolist() for s in sequences]
+    assert inputs == [[4, *s.tolist()][:len(s)] for s in sequences]
+    assert list(gru.windows([], 2, 4, 4)) == []
+
+
 def test_training_lowers_the_loss():
     shape, w = small_network()
     sequences = [np.tile(np.array([1, 5, 9], np.uint16), 30) for _ in range(20)]
@@ -183,6 +217,19 @@ def test_training_lowers_the_loss():
     assert gru.log_likelihoods(trained, sequences, 4).sum() > 0.5 * gru.log_likelihoods(w, sequences, 4).sum()
 
 
+def test_words_of_any_bytes():
+    rng = np.random.default_rng(7)
+    pieces = [bytes([i]) for i in range(256)] + [b" ", b"\n", b"\x0b", b"Zz", b".", b",", "é".encode()] * 12
+    texts = [None, b"", b" ", b" A  b\tC ", b"\xff\xfe.", b"\x00 \x1c\x1f \x85\xa0", *(b"".join(pieces[i] for i in rng.integers(0, len(pieces), n)) for n in range(90))]
+    for some in (texts, texts[:1], []):
+        words, starts = lm_scoring.words_of(pa.array(some, pa.binary()))
+        words = words.view(pa.binary()).to_pylist()
+        assert [words[a:b] for a, b in zip(starts, starts[1:], strict=False)] == [(t or b"").lower().split() for t in some]
+    sliced = pa.array([b"x", *(w for t in texts for w in (t or b"").split())], pa.binary())[1:]
+    looks = [16 * (not t.isascii()) + 4 * {b".": 1, b",": 2}.get(t[-1:], 3 * (t[-1:] < b"0")) + min(3, len(t) // 4) for t in sliced.to_pylist()]
+    assert lm_scoring.buckets_of(sliced, 32).tolist() == looks and lm_scoring.buckets_of(sliced, 5).tolist() == [x % 5 for x in looks]
+
+
 @pytest.mark.parametrize("head", [200_000, 3])
 def test_lm_scores_of_odd_rows(docs, odd_texts, head):
     rows = lm_scoring.score_texts(docs(odd_texts), settings=lm_scoring.Settings(head=head)).collect()
