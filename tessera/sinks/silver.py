@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import date_parts, path_safe
 from tessera.schemas import SILVER_FILE, SILVER_PARTITIONS
-from tessera.sinks.directories import replace_directories
+from tessera.sinks.directories import read_directories, replace_directories
 
 
 def silver_file_rows(records: DataFrame) -> DataFrame:
@@ -56,8 +56,10 @@ def write_silver_files(records: DataFrame, silver_root: str, partitions: int | N
 
 def read_silver_files(spark: SparkSession, silver_root: str) -> DataFrame:
     """Read Silver files back with explicit types (no partition-type guessing:
-    a device id like ``4827E2000010`` must stay a string)."""
-    return spark.read.schema(SILVER_FILE).parquet(f"{silver_root.rstrip('/')}/telemetry")
+    a device id like ``4827E2000010`` must stay a string); by tasks where the root is
+    mounted, so that the driver holds no list of files (``read_directories``). Filters on
+    partition columns apply to what was read there."""
+    return read_directories(spark, f"{silver_root.rstrip('/')}/telemetry", SILVER_FILE, SILVER_PARTITIONS)
 
 
 def ensure_schemas(spark: SparkSession, root: str, names=("bronze", "silver", "gold")) -> None:

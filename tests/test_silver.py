@@ -4,13 +4,15 @@ import datetime as dt
 import glob
 import os
 
+import pyarrow as pa
 import pyarrow.fs
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import path_safe, silver_prefix
-from tessera.schemas import TELEMETRY
-from tessera.sinks.directories import put_in_place, replace_directories
+from tessera.schemas import SILVER_FILE, TELEMETRY
+from tessera.sinks.directories import put_in_place, read_directories, replace_directories
 from tessera.sinks.silver import ensure_schemas, read_silver_files, write_silver_files
 from tessera.sinks.table import TABLE_KEY, TableConflict, buckets_for, merge_buckets, rebucket, remove_unused, replace_rows, upsert_telemetry
 
@@ -334,3 +336,59 @@ def test_a_repeated_move_leaves_what_is_in_place(workdir):
     assert put_in_place(fs, f"{workdir}/staged", f"{workdir}/place")
     assert not put_in_place(fs, f"{workdir}/staged", f"{workdir}/place")
     assert os.listdir(f"{workdir}/place") == ["of-staged"]
+
+
+def test_the_driver_holds_no_list_of_a_mounted_roots_files(spark, workdir):
+    write_silver_files(_keyed(spark, 100, 1.0), f"{workdir}/silver")
+    back = read_silver_files(spark, f"{workdir}/silver")
+    assert back.inputFiles() == []  # of Spark's reader: one a directory
+    assert back.schema == SILVER_FILE and sorted(r["extraction_id"] for r in back.collect()) == sorted(f"ext-{i}" for i in range(100))
+
+
+def test_directories_read_by_tasks_give_what_spark_reads(spark, workdir):
+    odd = ["a b", "x=y", "c:d", "100%", "", None, "q?*", "[z]{^}", "it's \"#\"", "back\\slash", "tab\t", "plain-1_2.3", "é", "%zz", "%41"]
+    rows = spark.createDataFrame([(i, v, None if i == 3 else i % 2) for i, v in enumerate(odd)] * 3, "n int, word string, year int")
+    rows.repartition(4).write.partitionBy("word", "year").parquet(f"{workdir}/t")
+    day = f"{workdir}/t/word=a b/year=0"
+    pq.write_table(pa.table({"more": ["x"], "m": [1.5]}), f"{day}/other-columns.parquet")
+    pq.write_table(pa.table({"n": pa.array([], pa.int32())}), f"{day}/no-rows.parquet")
+    for name in ("_hidden", ".hidden", "copied._COPYING_", "empty.parquet"):
+        open(f"{day}/{name}", "w").close()
+    os.makedirs(f"{workdir}/t/.staging-1/word=a/year=1")
+    os.makedirs(f"{workdir}/t/word=nothing/year=1")
+    schema = spark.createDataFrame([], "n int, m double, word string, year int").schema
+    by_spark, by_tasks = spark.read.schema(schema).parquet(f"{workdir}/t"), read_directories(spark, f"{workdir}/t", schema, ["word", "year"])
+    assert by_tasks.schema == by_spark.schema
+    assert sorted(map(str, by_tasks.collect())) == sorted(map(str, by_spark.collect()))
+    assert by_tasks.count() == 3 * len(odd) + 1
+
+
+def test_a_large_file_is_read_by_several_tasks_each_row_once(spark, workdir):
+    os.makedirs(f"{workdir}/t/d=a")
+    pq.write_table(pa.table({"n": pa.array(range(50_000), pa.int64())}), f"{workdir}/t/d=a/x.parquet", row_group_size=1_000)
+    schema = spark.createDataFrame([], "n long, d string").schema
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        back = read_directories(spark, f"{workdir}/t", schema, ["d"])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert back.agg(F.count("*"), F.countDistinct("n"), F.min("d"), F.max("d")).first()[:] == (50_000, 50_000, "a", "a")
+    assert back.select(F.spark_partition_id()).distinct().count() > 1
+
+
+@pytest.mark.parametrize("stray", ["x.parquet", "d=a/x.parquet", "d=a/e=b/f=c/x.parquet", "other=a/e=b/x.parquet"])
+def test_files_where_none_belong_are_not_passed_over(spark, workdir, stray):
+    for path in ("d=b/e=c/x.parquet", stray):
+        os.makedirs(os.path.dirname(f"{workdir}/t/{path}"), exist_ok=True)
+        pq.write_table(pa.table({"n": [1]}), f"{workdir}/t/{path}")
+    schema = spark.createDataFrame([], "n long, d string, e string").schema
+    with pytest.raises(Exception, match="not a "):
+        read_directories(spark, f"{workdir}/t", schema, ["d", "e"]).collect()
+
+
+def test_a_root_that_is_not_there_is_said_and_an_empty_one_has_no_rows(spark, workdir):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_silver_files(spark, f"{workdir}/silver")
+    os.makedirs(f"{workdir}/silver/telemetry")
+    assert read_silver_files(spark, f"{workdir}/silver").count() == 0
